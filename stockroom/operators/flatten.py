@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,9 +59,10 @@ def with_lineage(lake_rows: DataFrame) -> DataFrame:
     )
 
 
-def text_schema(schema: T.StructType) -> T.StructType:
-    """The schema with every field as text, in both spellings."""
+def text_schema(schema: T.StructType, extra: Sequence[str] = ()) -> T.StructType:
+    """The schema with every field as text, in both spellings, and ``extra`` fields."""
     names = dict.fromkeys(n for f in schema for n in (camel_case(f.name), f.name))
+    names.update(dict.fromkeys(extra))
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
@@ -74,14 +77,22 @@ def discover_schema(lake_rows: DataFrame) -> T.StructType:
     return T.StructType.fromDDL(ddl[len("STRUCT<") : -1])
 
 
-def flatten(lake_rows: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+def flatten(
+    lake_rows: DataFrame, schema: T.StructType | None = None, evolve: bool = False
+) -> DataFrame:
     """Payload fields as snake_case columns beside the lineage columns.
 
     With a declared ``schema`` all fields arrive as text, so that coercion sees
-    what the source wrote; without one the batch's own types are used. A NULL or
-    unreadable payload keeps its lineage columns only.
+    what the source wrote; ``evolve`` adds the batch's undeclared fields, as text
+    too, so their type never changes between batches. Without a schema the
+    batch's own types are used. A NULL or unreadable payload keeps its lineage
+    columns only.
     """
-    target = discover_schema(lake_rows) if schema is None else text_schema(schema)
+    if schema is None:
+        target = discover_schema(lake_rows)
+    else:
+        extra = discover_schema(lake_rows).fieldNames() if evolve else []
+        target = text_schema(schema, extra)
     rows = with_lineage(lake_rows)
     if not target.fields:
         return rows.drop("raw_data")
@@ -96,7 +107,7 @@ def typed(flat: DataFrame, schema: T.StructType) -> DataFrame:
 
     def column(name: str):
         if name not in declared or name in RULES:
-            return F.col(name)
-        return F.col(name).cast(declared[name])
+            return F.col(f"`{name}`")
+        return F.col(name).cast(declared[name]).alias(name)
 
-    return lenient.select(*(column(c).alias(c) for c in lenient.columns))
+    return lenient.select(*(column(c) for c in lenient.columns))
