@@ -172,9 +172,12 @@ def quality_summary(
     flagged_payments: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
 ) -> DataFrame:
     """One row per known data issue with its count."""
+
+    def issue(label: str, column: str) -> Column:
+        return F.struct(F.lit(label).alias("issue"), F.col(column).alias("count"))
+
     issues = F.array(
-        F.struct(F.lit("Zero amount payment").alias("issue"), F.col("zero").alias("count")),
-        F.struct(F.lit("Unexplained negative payment"), F.col("negative")),
+        issue("Zero amount payment", "zero"), issue("Unexplained negative payment", "negative")
     )
     payments = flagged_payments.agg(
         F.count_if(F.col("amount_paid") == 0).alias("zero"),
@@ -187,8 +190,7 @@ def quality_summary(
             F.bool_or(F.col("is_current") & F.col("is_deleted")).alias("deleted"),
         )
         found = F.array(
-            F.struct(F.lit(f"Soft-deleted {label}").alias("issue"), F.col("deleted").alias("count")),
-            F.struct(F.lit(f"Versioned {label}"), F.col("versioned")),
+            issue(f"Soft-deleted {label}", "deleted"), issue(f"Versioned {label}", "versioned")
         )
         return per_member.agg(
             F.count_if("deleted").alias("deleted"),

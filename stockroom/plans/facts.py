@@ -41,7 +41,7 @@ class Dims:
     """
 
     members: Mapping[str, DataFrame]
-    date: DataFrame
+    date: DataFrame | None
     _sides: dict[str, DataFrame] = field(init=False)
     _small: dict[str, bool] = field(init=False, default_factory=dict)
 

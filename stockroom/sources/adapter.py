@@ -51,15 +51,18 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def read(self, name: str) -> DataFrame:
         """A table with its zone-less timestamps cast once to instants (UTC)."""
-        df = self.spark.read.parquet(self.path(name))
-        local = [c for c, t in df.dtypes if t == "timestamp_ntz"]
-        return df.withColumns({c: F.col(c).cast("timestamp") for c in local})
+        if name not in self._read:
+            df = self.spark.read.parquet(self.path(name))
+            local = [c for c, t in df.dtypes if t == "timestamp_ntz"]
+            self._read[name] = df.withColumns({c: F.col(c).cast("timestamp") for c in local})
+        return self._read[name]
 
     # -- small entities ----------------------------------------------------
 
@@ -245,9 +248,14 @@ class Tables:
 
     @cached_property
     def payments(self) -> DataFrame:
+        return self.payments_of(self.read("orders"))
+
+    @staticmethod
+    def payments_of(orders: DataFrame) -> DataFrame:
+        """One payment per order; ``orders`` may be a stream."""
         key, total, ordered = F.col("o_orderkey"), F.col("o_totalprice"), F.col("o_orderdate")
         amount = F.when(key % 25 == 0, 0.0).when(key % 17 == 0, -total).otherwise(total)
-        return self.read("orders").select(
+        return orders.select(
             key.alias("id"),
             key.alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
