@@ -93,25 +93,25 @@ class KeyedTable:
                 raise
             return None
 
-    def _live(self) -> tuple[dict[int, int], T.StructType | None]:
-        """Publication that holds each bucket, and the schema of the last one."""
+    def _live(self, batch_id: str = "") -> tuple[dict[int, int], T.StructType | None, bool]:
+        """Publication that holds each bucket, the last schema, and whether a batch is in."""
         log = self._log()
         if log is None:
-            return {}, None
+            return {}, None, False
         rows = (  # at most one row per bucket
             log.groupBy("bucket")
-            .agg(F.max("seq").alias("seq"), F.max_by("table_schema", "seq").alias("table_schema"))
+            .agg(
+                F.max("seq").alias("seq"),
+                F.max_by("table_schema", "seq").alias("table_schema"),
+                F.bool_or(F.col("batch_id") == batch_id).alias("seen"),
+            )
             .collect()
         )
         if not rows:
-            return {}, None
+            return {}, None, False
         last = max(rows, key=lambda r: r["seq"])
         schema = T.StructType.fromJson(json.loads(last["table_schema"]))
-        return {r["bucket"]: r["seq"] for r in rows}, schema
-
-    def _published(self, batch_id: str) -> bool:
-        log = self._log()
-        return log is not None and bool(log.filter(F.col("batch_id") == batch_id).take(1))
+        return {r["bucket"]: r["seq"] for r in rows}, schema, any(r["seen"] for r in rows)
 
     # -- reading -----------------------------------------------------------
 
@@ -121,7 +121,7 @@ class KeyedTable:
 
     def read(self) -> DataFrame | None:
         """The current rows, or None before the first merge."""
-        live, schema = self._live()
+        live, schema, _ = self._live()
         return self._scan(live, schema) if live else None
 
     # -- writing -----------------------------------------------------------
@@ -149,7 +149,8 @@ class KeyedTable:
         combine: Callable[[DataFrame | None, DataFrame], DataFrame],
     ) -> bool:
         """Replace every bucket that ``rows`` touches by ``combine(current rows, rows)``."""
-        if self._published(batch_id):
+        live, schema, seen = self._live(batch_id)
+        if seen:
             return False
         fresh = rows.persist()  # read three times: bucket list, anti join, union
         try:
@@ -157,7 +158,6 @@ class KeyedTable:
             touched = [r["bucket"] for r in fresh.select(bucket).distinct().collect()]
             if not touched:
                 return False
-            live, schema = self._live()
             seq = max(live.values(), default=0) + 1
             held = {b: live[b] for b in touched if b in live}
             if held:

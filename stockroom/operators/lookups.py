@@ -13,18 +13,14 @@ BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(sides: Mapping[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> dict[str, bool]:
-    """Measure, in one job, which frames have at most ``max_rows`` rows.
-
-    The limit stops each scan early, so a side far too large costs no more than
-    one just over the bound.
-    """
+    """Measure, in one job of plain counts, which frames have at most ``max_rows`` rows."""
     if not sides:
         return {}
-    probes = [
-        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in sides.items()
     ]
-    counted = reduce(DataFrame.unionByName, probes).collect()
+    counted = reduce(DataFrame.unionByName, counts).collect()
     return {row["name"]: row["n"] <= max_rows for row in counted}
 
 

@@ -25,24 +25,24 @@ def _mean(column: str, alias: str) -> Column:
     return F.round(F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0)), 6).alias(alias)
 
 
+def _per_key(fact: DataFrame, key: str, *columns: Column) -> DataFrame:
+    """Sums per dimension key: combined before the dimension joins, so the join moves few rows."""
+    return fact.groupBy(key).agg(*columns)
+
+
 def revenue_by_store(fct_sales: DataFrame, dim_store: DataFrame) -> DataFrame:
+    per_key = _per_key(fct_sales, "store_key", F.sum("gross_amount").alias("revenue"))
     return (
-        fct_sales.join(dim_store, "store_key")
+        per_key.join(dim_store, "store_key")
         .groupBy("store_name")
-        .agg(_total("gross_amount", "total_revenue"))
+        .agg(_total("revenue", "total_revenue"))
         .orderBy(F.desc("total_revenue"), "store_name")
     )
 
 
-def _sales_by_product(fct_sales: DataFrame, *columns: Column) -> DataFrame:
-    """Sums per product key: combined before the dimension joins, so the join moves few rows."""
-    return fct_sales.groupBy("product_key").agg(*columns)
-
-
 def top_products(fct_sales: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
-    per_key = _sales_by_product(
-        fct_sales, F.sum("gross_amount").alias("revenue"), F.sum("quantity").alias("units")
-    )
+    revenue, units = F.sum("gross_amount").alias("revenue"), F.sum("quantity").alias("units")
+    per_key = _per_key(fct_sales, "product_key", revenue, units)
     return (
         per_key.join(current_only(dim_product), "product_key")
         .groupBy("product_name", "category")
@@ -53,9 +53,9 @@ def top_products(fct_sales: DataFrame, dim_product: DataFrame, k: int = 10) -> D
 
 
 def _monthly(fct_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    per_day = fct_sales.groupBy("date_key").agg(F.sum("gross_amount").alias("revenue"))
+    per_key = _per_key(fct_sales, "date_key", F.sum("gross_amount").alias("revenue"))
     return (
-        per_day.join(dim_date, "date_key")
+        per_key.join(dim_date, "date_key")
         .groupBy("year", "month", "month_name")
         .agg(_total("revenue", "total_revenue"))
     )
@@ -76,9 +76,8 @@ def customer_segments(fct_sales: DataFrame, dim_customer: DataFrame) -> DataFram
 
     Sums per customer first: a row per customer then serves count, total and mean.
     """
-    per_customer = fct_sales.groupBy("customer_key").agg(
-        F.sum("gross_amount").alias("revenue"), F.count("gross_amount").alias("lines")
-    )
+    revenue, lines = F.sum("gross_amount").alias("revenue"), F.count("gross_amount").alias("lines")
+    per_customer = _per_key(fct_sales, "customer_key", revenue, lines)
     mean = F.round(F.sum("revenue").cast("double") / F.nullif(F.sum("lines"), F.lit(0)), 6)
     return (
         per_customer.join(current_only(dim_customer), "customer_key")
@@ -94,10 +93,12 @@ def customer_segments(fct_sales: DataFrame, dim_customer: DataFrame) -> DataFram
 
 def payment_methods(fct_payments: DataFrame, dim_payment_method: DataFrame) -> DataFrame:
     """Transactions per method; refunds count as negative amounts."""
+    paid = F.sum("amount_paid").alias("paid")
+    per_key = _per_key(fct_payments, "payment_method_key", _rows("transactions"), paid)
     return (
-        fct_payments.join(dim_payment_method, "payment_method_key")
+        per_key.join(dim_payment_method, "payment_method_key")
         .groupBy("method_name")
-        .agg(_rows("transaction_count"), _total("amount_paid", "total_amount"))
+        .agg(F.sum("transactions").alias("transaction_count"), _total("paid", "total_amount"))
         .orderBy(F.desc("total_amount"), "method_name")
     )
 
@@ -124,7 +125,7 @@ def lifecycle_metrics(fct_order_lifecycle: DataFrame) -> DataFrame:
 
 
 def revenue_by_category(fct_sales: DataFrame, dim_product: DataFrame) -> DataFrame:
-    per_key = _sales_by_product(fct_sales, F.sum("gross_amount").alias("revenue"))
+    per_key = _per_key(fct_sales, "product_key", F.sum("gross_amount").alias("revenue"))
     return (
         per_key.join(dim_product, "product_key")
         .groupBy("category")
@@ -154,9 +155,8 @@ def anomaly_share(stg_payments: DataFrame) -> DataFrame:
 
 
 def discount_by_product(fct_sales: DataFrame, dim_product: DataFrame) -> DataFrame:
-    per_key = _sales_by_product(
-        fct_sales, F.sum("discount_amount").alias("discount"), F.sum("net_amount").alias("net")
-    )
+    discount, net = F.sum("discount_amount").alias("discount"), F.sum("net_amount").alias("net")
+    per_key = _per_key(fct_sales, "product_key", discount, net)
     return (
         per_key.join(current_only(dim_product), "product_key")
         .groupBy("product_name")

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from stockroom.operators.checks import collect_report, raise_on_failure, require_rows, run_checks
-from stockroom.operators.checks import failing_rows
+from stockroom.operators.checks import (
+    collect_report,
+    failing_rows,
+    raise_on_failure,
+    require_rows,
+    run_checks,
+)
 from stockroom.operators.keyed import KeyedTable
 from stockroom.operators.scd2 import open_history, open_rows, snapshot_changes
 from stockroom.plans import dims as D
 from stockroom.plans import facts
 from stockroom.plans.staging import stage_all
 from stockroom.plans.suite import CHECKS
-from stockroom.plans.sync import Context, for_each_entity, load_entity, save_bounds, sync_entity
-from stockroom.sources.registry import ENTITIES
+from stockroom.plans.sync import Context, load_entity, save_bounds, sync_entity
+from stockroom.sources.registry import ENTITIES, EntitySpec
 from stockroom.sources.tables import register_views, write_mart
 
 # Columns a history tracks.
@@ -99,8 +107,18 @@ def build_facts(
     }
 
 
-def write_marts(models: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    return {name: write_mart(df, f"{root}/{name}") for name, df in models.items()}
+def concurrently(spark: SparkSession, calls: Mapping[str, Callable], parallel: int = 4) -> dict:
+    """Run independent driver-side steps, a few Spark jobs at a time; results by name."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        call = inheritable_thread_target(spark)(lambda step: step())
+        return dict(zip(calls, pool.map(call, calls.values()), strict=True))
+
+
+def write_marts(
+    spark: SparkSession, models: Mapping[str, DataFrame], root: str
+) -> dict[str, DataFrame]:
+    steps = {n: partial(write_mart, df, f"{root}/{n}") for n, df in models.items()}
+    return concurrently(spark, steps)
 
 
 def transform(
@@ -114,21 +132,25 @@ def transform(
     """Staging views, histories and marts from the raw tables. Returns every model."""
     stg = stage_all(raw)
     register_views(stg)
-    histories = [
-        run_snapshot(
-            snap_table(spark, f"{root}/snapshots/{name}", key, buckets),
-            stg[source].select(*tracked),
-            key,
-            as_of,
-            run_id,
-        )
-        for name, source, key, tracked in (
-            ("snap_customers", "stg_customers", "customer_id", TRACKED_CUSTOMER),
-            ("snap_products", "stg_products", "product_id", TRACKED_PRODUCT),
-        )
-    ]
-    dims = write_marts(build_dims(spark, stg, *histories), f"{root}/marts")
-    built = write_marts(build_facts(stg, dims, as_of), f"{root}/marts")
+
+    def history(name: str, source: str, key: str, tracked: list[str]) -> DataFrame:
+        table = snap_table(spark, f"{root}/snapshots/{name}", key, buckets)
+        return run_snapshot(table, stg[source].select(*tracked), key, as_of, run_id)
+
+    histories = concurrently(
+        spark,
+        {
+            "customers": partial(
+                history, "snap_customers", "stg_customers", "customer_id", TRACKED_CUSTOMER
+            ),
+            "products": partial(
+                history, "snap_products", "stg_products", "product_id", TRACKED_PRODUCT
+            ),
+        },
+    )
+    lazy = build_dims(spark, stg, histories["customers"], histories["products"])
+    dims = write_marts(spark, lazy, f"{root}/marts")
+    built = write_marts(spark, build_facts(stg, dims, as_of), f"{root}/marts")
     return {**stg, **dims, **built}
 
 
@@ -138,10 +160,14 @@ def run(ctx: Context, fail_on_checks: bool = False) -> DataFrame:
     ``fail_on_checks`` raises when any check fails. Empty entities always do.
     """
     specs = list(ENTITIES.values())
-    for_each_entity(ctx, specs, sync_entity)
+
+    def for_each(step: Callable[[Context, EntitySpec], bool]) -> None:
+        concurrently(ctx.spark, {s.name: partial(step, ctx, s) for s in specs}, ctx.parallel)
+
+    for_each(sync_entity)
     save_bounds(ctx, specs)
     require_rows({s.name: _present(ctx.lake(s)) for s in specs})
-    for_each_entity(ctx, specs, load_entity)
+    for_each(load_entity)
     raw = {s.name: _present(ctx.warehouse(s)) for s in specs}
     require_rows(raw)
 

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,11 +126,3 @@ def save_bounds(ctx: Context, specs: Iterable[EntitySpec]) -> bool:
         bound_literal(ctx.as_of).alias("last_run_at"),
     )
     return ctx.state.merge(rows, ctx.run_id)
-
-
-def for_each_entity(ctx: Context, specs: Iterable[EntitySpec], step) -> dict[str, bool]:
-    """Run ``step(ctx, spec)`` for independent entities, a few Spark jobs at a time."""
-    specs = list(specs)
-    with ThreadPoolExecutor(max_workers=ctx.parallel) as pool:
-        call = inheritable_thread_target(ctx.spark)(lambda spec: step(ctx, spec))
-        return dict(zip([s.name for s in specs], pool.map(call, specs), strict=True))

@@ -38,6 +38,8 @@ def local_session(cores: int = 8, app: str = "stockroom", **conf: str) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.warehouse.dir", tempfile.gettempdir() + "/stockroom-warehouse")

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 def write_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace a mart by ``df`` and return the written table.
 
-    Rebalancing keeps files near the advisory size: small shuffle partitions are
-    packed, and a partition value that holds much of the data is split.
+    Unpartitioned marts are written as they come, without a shuffle. A partitioned
+    one is first gathered by partition value: few files each, and a value that
+    holds much of the data is split over several tasks.
     """
-    even = df.hint("rebalance", *(F.col(c) for c in partition_by))
-    even.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    if partition_by:
+        df = df.hint("rebalance", *(F.col(c) for c in partition_by))
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
