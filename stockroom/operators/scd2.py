@@ -119,6 +119,7 @@ def next_time(
     alias: str,
     max_timeline: int = MAX_TIMELINE,
     units: Sequence[str] = TIME_UNITS,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Add the next later ``time`` of the same key; (key, time) must be unique.
 
@@ -127,28 +128,31 @@ def next_time(
     unit whose pieces fit: a piece finds its successors alone, and only its last
     row looks up the start of the key's next piece, found the same way among the
     far fewer starts. A second holds at most a million distinct microseconds, so
-    a piece always fits the default.
+    a piece always fits the default. ``measured`` may give the (key, time) pairs
+    more cheaply than ``versions`` does.
     """
-    plain = not units or _longest_timeline(versions, key) <= max_timeline
-    if plain:
+    pairs = versions.select(key, time) if measured is None else measured
+    if not units or _longest_timeline(pairs, key) <= max_timeline:
         timeline = Window.partitionBy(key).orderBy(time)
         return versions.withColumn(alias, F.lead(time).over(timeline))
 
     def piece(unit: str) -> Column:
         return F.date_trunc(unit, F.col(time))
 
-    fitting = (u for u in units if _longest_timeline(versions, key, piece(u)) <= max_timeline)
+    fitting = (u for u in units if _longest_timeline(pairs, key, piece(u)) <= max_timeline)
     unit = next(fitting, units[-1])
-    cut = versions.withColumn("_piece", piece(unit))
-    starts = cut.groupBy(key, "_piece").agg(F.min(time).alias("_start"))
+    # Column names carry the unit: the starts are cut again at a coarser one.
+    part, start, following, inside = (f"_{n}_{unit}" for n in ("piece", "start", "next", "inside"))
+    cut = versions.withColumn(part, piece(unit))
+    starts = cut.groupBy(key, part).agg(F.min(time).alias(start))
     coarser = units[: units.index(unit)]
-    following = next_time(starts, key, "_start", "_next_start", max_timeline, coarser)
-    within = Window.partitionBy(key, "_piece").orderBy(time)
+    linked = next_time(starts, key, start, following, max_timeline, coarser).drop(start)
+    within = Window.partitionBy(key, part).orderBy(time)
     return (
-        cut.withColumn("_next", F.lead(time).over(within))
-        .join(following.drop("_start"), [key, "_piece"], "left")
-        .withColumn(alias, F.coalesce("_next", "_next_start"))
-        .drop("_piece", "_next", "_next_start")
+        cut.withColumn(inside, F.lead(time).over(within))
+        .join(linked, [key, part], "left")
+        .withColumn(alias, F.coalesce(inside, following))
+        .drop(part, inside, following)
     )
 
 
@@ -167,7 +171,11 @@ def history_from_versions(
     columns = versions.columns
     order = list(tie_break) or [c for c in columns if c not in (key, updated_at)]
     single = latest_by_key(versions, [key, updated_at], order) if order else versions.distinct()
-    timed = next_time(single, key, updated_at, "_valid_to", max_timeline)
+    # Sizes are taken from the slim pairs: first as they come, then without repeats.
+    pairs = versions.select(key, updated_at)
+    if _longest_timeline(pairs, key) > max_timeline:
+        pairs = pairs.distinct()
+    timed = next_time(single, key, updated_at, "_valid_to", max_timeline, measured=pairs)
     return timed.select(*columns, *_version(key, updated_at, F.col("_valid_to")))
 
 

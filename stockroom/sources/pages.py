@@ -22,7 +22,10 @@ def _page_options(multi_line: bool) -> dict[str, str]:
 
 
 def _records(pages: DataFrame) -> DataFrame:
-    return pages.select(F.explode("data").alias("record"))
+    """One row per record. An unreadable page stays whole, as one record without a key."""
+    unreadable = F.col("_corrupt_record").isNotNull()
+    texts = F.when(unreadable, F.array("_corrupt_record")).otherwise(F.col("data"))
+    return pages.select(F.explode(texts).alias("record")).filter("record IS NOT NULL")
 
 
 def entity_path(root: str, spec: EntitySpec) -> str:
@@ -41,15 +44,6 @@ def read_pages(
     return _records(reader.json(entity_path(root, spec)))
 
 
-def bad_pages(
-    spark: SparkSession, root: str, spec: EntitySpec, multi_line: bool = False
-) -> DataFrame:
-    """Pages that are no valid envelope, as text."""
-    reader = spark.read.schema(ENVELOPE).options(**_page_options(multi_line))
-    pages = reader.json(entity_path(root, spec))
-    return pages.filter("_corrupt_record IS NOT NULL").select("_corrupt_record", "data")
-
-
 def stream_pages(
     spark: SparkSession,
     root: str,
