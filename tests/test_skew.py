@@ -34,9 +34,9 @@ def skewed_joins(spark):
         spark,
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
-        adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="1000",
         adaptive__skewJoin__skewedPartitionFactor="2",
-        adaptive__advisoryPartitionSizeInBytes="20000",
+        adaptive__advisoryPartitionSizeInBytes="1000",
         adaptive__coalescePartitions__enabled="false",
         shuffle__partitions="8",
     )
@@ -100,14 +100,18 @@ def test_fact_joins_split_a_hot_order_and_product(spark, sales_inputs):
     keyed._small = {"customer": False, "product": False}
     with skewed_joins(spark):
         got = facts.fct_sales(items, orders, keyed, ["customer", "product"])
-        got.write.format("noop").mode("overwrite").save()
         collected = got.agg(
-            F.count("*"), F.count("customer_key"), F.count("product_key"), F.sum("gross_amount")
+            F.count("*"),
+            F.count("customer_key"),
+            F.count("product_key"),
+            F.sum("gross_amount"),
+            F.max("sales_key"),  # rows must carry their own data, or the hot part compresses away
         )
-        row = collected.first()
+        row = collected.collect()[0]
         plan = collected._jdf.queryExecution().executedPlan().toString()
     assert tuple(row)[:3] == (N, N, N) and float(row[3]) == 2.0 * N
-    assert "skew=true" in plan
+    final = plan.split("Initial Plan")[0]
+    assert final.count("SortMergeJoin(skew=true)") == 3  # order, customer, product
     assert "CartesianProduct" not in plan
 
 
@@ -164,4 +168,4 @@ def test_checks_count_hot_values(spark):
     orphans = checks.relationships(child, "k", parent, "k").first()["failures"]
     assert orphans == N // 3
     plan = checks.relationships(child, "k", parent, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("LeftAnti") < plan.index("Aggregate [k", plan.index("LeftAnti"))
+    assert "Aggregate" in plan[plan.index("LeftAnti") :]  # values are counted below the join
