@@ -1,26 +1,30 @@
 """Keyed upsert, pure and as a Parquet table that can be merged into.
 
-Parquet tables take no ``MERGE INTO``. A merge therefore rewrites only the hash
-buckets its batch touches, into a new folder, and then appends one small file
-to a publication log. Readers follow the log, so they see a merge whole or not
-at all, and a batch that was published once is never applied again.
+Parquet tables take no ``MERGE INTO``. A table here is a set of segments, each a
+folder ``seq=<merge>/bucket=<hash of the key>``. A merge finds the segments that
+hold keys of its batch by reading key columns alone, rewrites only those, and
+adds the batch's rows as new segments; a batch of new keys rewrites nothing. It
+then appends one small file to a publication log. Readers follow the log, so
+they see a merge whole or not at all, and a batch that was published once is
+never applied again.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.operators.latest import latest_by_key
-from stockroom.operators.lookups import broadcast_if_small
+from stockroom.operators.lookups import BROADCAST_ROWS
 
 # Fixed value: layout of the publication log.
-LOG_SCHEMA = "seq bigint, batch_id string, bucket int, table_schema string"
+LOG_SCHEMA = "seq bigint, batch_id string, bucket int, live array<bigint>, table_schema string"
 
 
 def _union(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -55,12 +59,28 @@ def upsert(
     return _union(kept, latest_by_key(batch, keys, order))
 
 
+@dataclass(frozen=True)
+class _Version:
+    """What the log says: live segments per bucket, the schema, the last merge."""
+
+    live: dict[int, list[int]]
+    schema: T.StructType | None = None
+    seq: int = 0
+    seen: bool = False
+
+    def segments(self, buckets: Collection[int]) -> list[tuple[int, int]]:
+        return [(seq, b) for b in sorted(buckets) for seq in self.live.get(b, ())]
+
+
 class KeyedTable:
     """A Parquet table with one row per key, changed by idempotent merges.
 
     ``buckets`` should keep a bucket near a few GB. ``bucket_by`` (default: the
     keys) decides which rows share a bucket; ``sort_by`` clusters the rows of a
-    bucket, so that a filter on those columns skips row groups. One writer at a time.
+    segment, so that a filter on those columns skips row groups. A bucket of
+    ``max_segments`` segments is packed into one by the next merge that touches
+    it; the limit varies by bucket, so that packing spreads over merges. One
+    writer at a time.
     """
 
     def __init__(
@@ -73,6 +93,7 @@ class KeyedTable:
         bucket_by: Sequence[str] | None = None,
         sort_by: Sequence[str] = (),
         keep_newest: bool = False,
+        max_segments: int = 8,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -82,95 +103,154 @@ class KeyedTable:
         self.bucket_by = list(bucket_by or keys)
         self.sort_by = list(sort_by)
         self.keep_newest = keep_newest
+        self.max_segments = max_segments
 
     # -- publication log ---------------------------------------------------
 
-    def _log(self) -> DataFrame | None:
+    def _version(self, batch_id: str = "") -> _Version:
+        """The current version, and whether ``batch_id`` is already part of it."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
+            log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-
-    def _live(self, batch_id: str = "") -> tuple[dict[int, int], T.StructType | None, bool]:
-        """Publication that holds each bucket, the last schema, and whether a batch is in."""
-        log = self._log()
-        if log is None:
-            return {}, None, False
-        rows = (  # at most one row per bucket
+            return _Version({})
+        rows = (  # one row per bucket
             log.groupBy("bucket")
             .agg(
                 F.max("seq").alias("seq"),
+                F.max_by("live", "seq").alias("live"),
                 F.max_by("table_schema", "seq").alias("table_schema"),
                 F.bool_or(F.col("batch_id") == batch_id).alias("seen"),
             )
             .collect()
         )
         if not rows:
-            return {}, None, False
+            return _Version({})
         last = max(rows, key=lambda r: r["seq"])
-        schema = T.StructType.fromJson(json.loads(last["table_schema"]))
-        return {r["bucket"]: r["seq"] for r in rows}, schema, any(r["seen"] for r in rows)
+        return _Version(
+            {r["bucket"]: r["live"] for r in rows},
+            T.StructType.fromJson(json.loads(last["table_schema"])),
+            last["seq"],
+            any(r["seen"] for r in rows),
+        )
+
+    def _publish(
+        self, live: dict[int, list[int]], batch_id: str, seq: int, schema: T.StructType
+    ) -> None:
+        entries = [(seq, batch_id, b, segments, schema.json()) for b, segments in live.items()]
+        (
+            self.spark.createDataFrame(entries, LOG_SCHEMA)
+            .coalesce(1)  # one file, so it appears in one step
+            .write.mode("append")
+            .parquet(f"{self.path}/log")
+        )
 
     # -- reading -----------------------------------------------------------
 
-    def _scan(self, live: dict[int, int], schema: T.StructType) -> DataFrame:
-        folders = [f"{self.path}/data/seq={s}/bucket={b}" for b, s in sorted(live.items())]
-        return self.spark.read.schema(schema).parquet(*folders)
+    def _folders(self, segments: Sequence[tuple[int, int]]) -> list[str]:
+        return [f"{self.path}/data/seq={seq}/bucket={b}" for seq, b in segments]
+
+    def _scan(self, segments: Sequence[tuple[int, int]], schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*self._folders(segments))
 
     def read(self) -> DataFrame | None:
         """The current rows, or None before the first merge."""
-        live, schema, _ = self._live()
-        return self._scan(live, schema) if live else None
+        version = self._version()
+        if not version.live:
+            return None
+        return self._scan(version.segments(version.live), version.schema)
+
+    def live_folders(self) -> list[str]:
+        """Folders the current version consists of; all others may be removed."""
+        version = self._version()
+        return self._folders(version.segments(version.live))
 
     # -- writing -----------------------------------------------------------
 
-    def _bucket(self):
+    def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
     def merge(self, batch: DataFrame, batch_id: str) -> bool:
         """Upsert a batch; False when it is empty or already published."""
 
-        def combine(current: DataFrame | None, fresh: DataFrame) -> DataFrame:
-            if current is None:
-                return fresh
+        def combine(current: DataFrame, fresh: DataFrame, keys: DataFrame) -> DataFrame:
             if self.keep_newest:
                 return latest_by_key(_union(current, fresh), self.keys, self.order)
-            replaced = broadcast_if_small(fresh.select(*self.keys))
-            return _union(current.join(replaced, self.keys, "left_anti"), fresh)
+            return _union(current.join(keys, self.keys, "left_anti"), fresh)
 
-        return self.rewrite(latest_by_key(batch, self.keys, self.order), batch_id, combine)
+        fresh = latest_by_key(batch, self.keys, self.order)
+        return self.rewrite(fresh, batch_id, combine, self.keys)
 
     def rewrite(
         self,
         rows: DataFrame,
         batch_id: str,
-        combine: Callable[[DataFrame | None, DataFrame], DataFrame],
+        combine: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
+        match: Sequence[str],
+        first: Callable[[DataFrame], DataFrame] = lambda fresh: fresh,
     ) -> bool:
-        """Replace every bucket that ``rows`` touches by ``combine(current rows, rows)``."""
-        live, schema, seen = self._live(batch_id)
-        if seen:
+        """Replace the segments holding any ``match`` value of ``rows``.
+
+        ``combine(stored rows of those segments, new rows, match values)`` gives
+        what takes their place; ``first(new rows)`` does so in an empty table.
+        False when ``rows`` is empty or the batch is already published.
+        """
+        version = self._version(batch_id)
+        if version.seen:
             return False
-        fresh = rows.persist()  # read three times: bucket list, anti join, union
+        fresh = rows.persist()  # read for buckets, matches and both sides of combine
         try:
             bucket = self._bucket().alias("bucket")
-            touched = [r["bucket"] for r in fresh.select(bucket).distinct().collect()]
+            touched = {r["bucket"]: r["count"] for r in fresh.groupBy(bucket).count().collect()}
             if not touched:
                 return False
-            seq = max(live.values(), default=0) + 1
-            held = {b: live[b] for b in touched if b in live}
-            if held:
-                current = self._scan(held, schema)
+            seq = version.seq + 1
+            held = []
+            if version.schema is None:
+                merged = first(fresh)
             else:
-                current = None if schema is None else self.spark.createDataFrame([], schema)
-            merged = combine(current, fresh)
+                keys = fresh.select(*match).distinct()
+                if sum(touched.values()) <= BROADCAST_ROWS:
+                    keys = F.broadcast(keys)
+                held = self._held(version, touched, keys)
+                merged = combine(self._rows_of(held, version.schema), fresh, keys)
             self._write(merged, seq)
-            self._publish(touched, batch_id, seq, merged.schema)
+            gone = set(held)
+            live = {
+                b: [s for s in version.live.get(b, ()) if (s, b) not in gone] + [seq]
+                for b in touched
+            }
+            self._publish(live, batch_id, seq, merged.schema)
             return True
         finally:
             fresh.unpersist()
 
+    def _rows_of(self, segments: Sequence[tuple[int, int]], schema: T.StructType) -> DataFrame:
+        return self._scan(segments, schema) if segments else self.spark.createDataFrame([], schema)
+
+    def _held(
+        self, version: _Version, touched: Collection[int], keys: DataFrame
+    ) -> list[tuple[int, int]]:
+        """Segments to rewrite: those with a matching row, and all of overfull buckets."""
+        stored = version.segments(touched)
+        full = {b for b in touched if len(version.live.get(b, ())) >= self._limit(b)}
+        searched = [s for s in stored if s[1] not in full]
+        matched = set()
+        if searched:
+            columns = T.StructType([version.schema[c] for c in keys.columns])
+            located = (
+                self.spark.read.schema(columns)
+                .option("basePath", f"{self.path}/data")  # adds seq and bucket as columns
+                .parquet(*self._folders(searched))
+            )
+            found = located.join(keys, keys.columns, "left_semi").select("seq", "bucket").distinct()
+            matched = {(r["seq"], r["bucket"]) for r in found.collect()}
+        return [s for s in stored if s in matched or s[1] in full]
+
+    def _limit(self, bucket: int) -> int:
+        return self.max_segments + bucket % self.max_segments
+
     def _write(self, merged: DataFrame, seq: int) -> None:
         # Rebalancing splits a large bucket over several tasks and packs small ones together.
         (
@@ -181,12 +261,3 @@ class KeyedTable:
             .partitionBy("bucket")
             .parquet(f"{self.path}/data/seq={seq}")
         )
-
-    def _publish(self, touched: list[int], batch_id: str, seq: int, schema: T.StructType) -> None:
-        entries = [(seq, batch_id, b, schema.json()) for b in touched]
-        (
-            self.spark.createDataFrame(entries, LOG_SCHEMA)
-            .coalesce(1)  # one file, so it appears in one step
-            .write.mode("append")
-            .parquet(f"{self.path}/log")
-        )

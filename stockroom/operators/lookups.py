@@ -24,11 +24,6 @@ def fits_broadcast(sides: Mapping[str, DataFrame], max_rows: int = BROADCAST_ROW
     return {row["name"]: row["n"] <= max_rows for row in counted}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast only when it is measured to fit; else leave the join to AQE."""
-    return F.broadcast(df) if fits_broadcast({"side": df}, max_rows)["side"] else df
-
-
 def lookup(
     fact: DataFrame, side: DataFrame, on: Column, natural: str, key: str, alias: str | None = None
 ) -> DataFrame:

@@ -180,21 +180,24 @@ def history_from_versions(
 
 
 def add_versions(
-    history: DataFrame | None,
+    history: DataFrame,
     versions: DataFrame,
     key: str,
     updated_at: str = "updated_at",
     tie_break: Sequence[str] = (),
     max_timeline: int = MAX_TIMELINE,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """History extended by a batch of versions, which may hold several per key, in any order.
 
     A late version takes its place inside the timeline, so any split of a feed
-    into batches leads to the same history. No deletes: a batch is a delta.
+    into batches leads to the same history. Members the batch does not name pass
+    through untouched. No deletes: a batch is a delta. ``keys`` may give the
+    batch's distinct keys.
     """
-    if history is None:
-        return history_from_versions(versions, key, updated_at, tie_break, max_timeline)
-    known = history.select(*versions.columns)
-    return history_from_versions(
+    named = versions.select(key).distinct() if keys is None else keys
+    known = history.join(named, key, "left_semi").select(*versions.columns)
+    woven = history_from_versions(
         known.unionByName(versions), key, updated_at, tie_break, max_timeline
     )
+    return woven.unionByName(history.join(named, key, "left_anti").select(*woven.columns))

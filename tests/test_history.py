@@ -118,8 +118,15 @@ def test_any_split_and_order_of_batches_gives_the_same_history(spark, frame, tmp
     want = rows(scd2.history_from_versions(frame(versions, DDL), "k"), *SHOWN)
     rng = random.Random(9)
     rng.shuffle(versions)
-    table = KeyedTable(spark, str(tmp_path / "h"), ["scd_id"], buckets=4, bucket_by=["k"])
-    for i in range(0, len(versions), 20):
-        batch = frame(versions[i : i + 20], DDL)
-        table.rewrite(batch, str(i), lambda old, new: scd2.add_versions(old, new, "k"))
+    table = KeyedTable(
+        spark, str(tmp_path / "h"), ["scd_id"], buckets=4, bucket_by=["k"], max_segments=2
+    )
+    for i in range(0, len(versions), 12):
+        table.rewrite(
+            frame(versions[i : i + 12], DDL),
+            str(i),
+            lambda old, new, keys: scd2.add_versions(old, new, "k", keys=keys),
+            ["k"],
+            lambda new: scd2.history_from_versions(new, "k"),
+        )
     assert rows(table.read(), *SHOWN) == want

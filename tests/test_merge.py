@@ -101,14 +101,32 @@ def test_unpublished_files_are_invisible_and_replaced(spark, frame, tmp_path):
     assert rows(t.read(), "k", "v") == [("a", 2)]
 
 
-def test_untouched_buckets_keep_their_files(spark, frame, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], buckets=64)
+def test_a_merge_rewrites_only_segments_that_hold_its_keys(spark, frame, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], buckets=4)
+
+    def segments():
+        return {f.split("/data/")[1] for f in t.live_folders()}
+
     t.merge(frame([(str(i), 0, at(1)) for i in range(200)], DDL), "one")
-    t.merge(frame([("7", 1, at(2))], DDL), "two")
-    rewritten = list((tmp_path / "t" / "data" / "seq=2").glob("bucket=*"))
-    assert len(rewritten) == 1
-    assert t.read().count() == 200
-    assert rows(t.read().filter("k = '7'"), "v") == [(1,)]
+    first = segments()
+    assert len(first) == 4
+    t.merge(frame([("new", 1, at(2))], DDL), "new key")  # one more segment, nothing rewritten
+    assert len(segments() - first) == 1 and first < segments()
+    before = segments()
+    t.merge(frame([("7", 1, at(3))], DDL), "known key")  # replaces the one segment with key 7
+    assert len(segments() - before) == 1 and len(before - segments()) == 1
+    assert t.read().count() == 201
+    assert rows(t.read().filter("k in ('7', 'new')"), "k", "v") == [("7", 1), ("new", 1)]
+
+
+def test_full_buckets_are_packed(spark, frame, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], buckets=1, max_segments=2)
+    sizes = []
+    for i in range(6):
+        t.merge(frame([(f"k{i}", i, at(1 + i))], DDL), f"b{i}")
+        sizes.append(len(t.live_folders()))
+    assert sizes == [1, 2, 1, 2, 1, 2]
+    assert t.read().count() == 6
 
 
 def test_table_schema_evolves_over_untouched_buckets(spark, frame, tmp_path):
