@@ -112,6 +112,11 @@ def _longest_timeline(versions: DataFrame, *by: str | Column) -> int:
     return versions.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
 
 
+def _whole_timelines(versions: DataFrame, key: str, time: str, alias: str) -> DataFrame:
+    timeline = Window.partitionBy(key).orderBy(time)
+    return versions.withColumn(alias, F.lead(time).over(timeline))
+
+
 def next_time(
     versions: DataFrame,
     key: str,
@@ -133,8 +138,7 @@ def next_time(
     """
     pairs = versions.select(key, time) if measured is None else measured
     if not units or _longest_timeline(pairs, key) <= max_timeline:
-        timeline = Window.partitionBy(key).orderBy(time)
-        return versions.withColumn(alias, F.lead(time).over(timeline))
+        return _whole_timelines(versions, key, time, alias)
 
     def piece(unit: str) -> Column:
         return F.date_trunc(unit, F.col(time))
@@ -170,12 +174,20 @@ def history_from_versions(
     """
     columns = versions.columns
     order = list(tie_break) or [c for c in columns if c not in (key, updated_at)]
-    single = latest_by_key(versions, [key, updated_at], order) if order else versions.distinct()
+
+    def single(rows: DataFrame) -> DataFrame:
+        return latest_by_key(rows, [key, updated_at], order or [updated_at])
+
     # Sizes are taken from the slim pairs: first as they come, then without repeats.
     pairs = versions.select(key, updated_at)
-    if _longest_timeline(pairs, key) > max_timeline:
+    if _longest_timeline(pairs, key) <= max_timeline:
+        # One shuffle on the key, and one sort, serve both windows.
+        timed = _whole_timelines(single(versions.repartition(key)), key, updated_at, "_valid_to")
+    else:
         pairs = pairs.distinct()
-    timed = next_time(single, key, updated_at, "_valid_to", max_timeline, measured=pairs)
+        timed = next_time(
+            single(versions), key, updated_at, "_valid_to", max_timeline, measured=pairs
+        )
     return timed.select(*columns, *_version(key, updated_at, F.col("_valid_to")))
 
 
