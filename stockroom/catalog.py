@@ -220,6 +220,16 @@ def _json_flatten(m: Models) -> DataFrame:
     return typed(flatten(_event_payloads(m), schema), schema).select("_lake_id", "k")
 
 
+def _payload_roundtrip(m: Models) -> DataFrame:
+    """Orders serialised to JSON records, taken in as lake rows, flattened and typed again."""
+    spec = ENTITIES["orders"]
+    landed = to_payload(rows_to_records(m.tables.orders.drop("_lake_loaded_at")), spec)
+    loaded = landed.withColumn("loaded_at", F.lit(LOADED_AT).cast("timestamp"))
+    back = typed(flatten(loaded, spec.schema), spec.schema)
+    columns = ("id", "status", "total_amount", "ordered_at", "shipped_at", "_lake_updated_at")
+    return back.select(*columns)
+
+
 def _snake_case_cols(m: Models) -> DataFrame:
     segment = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).otherwise("")
     return snake_case_columns(
@@ -447,6 +457,7 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "coerce_decimal": _coerce_decimal,
     "coerce_int": _coerce_int,
     "json_flatten": _json_flatten,
+    "payload_roundtrip": _payload_roundtrip,
     "snake_case_cols": _snake_case_cols,
     "latest_by_key": _latest_by_key,
     "upsert_two_batches": _upsert_two_batches,

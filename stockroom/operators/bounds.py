@@ -68,10 +68,10 @@ def get_bound(state: DataFrame | None, entity: str) -> dt.datetime | None:
     return _scalar(state.filter(F.col("entity") == entity), F.col("last_updated_at"))
 
 
-def bound_row(batch: DataFrame, entity: str, column: str, as_of: dt.datetime) -> DataFrame:
-    """The state row a batch leads to; no row for an empty batch or one without times."""
+def bound_row(rows: DataFrame, entity: str, column: str, as_of: dt.datetime) -> DataFrame:
+    """The state row a table or batch leads to; none if it is empty or has no times."""
     return (
-        batch.agg(F.max(column).alias("last_updated_at"))
+        rows.agg(F.max(column).alias("last_updated_at"))
         .filter("last_updated_at IS NOT NULL")
         .select(
             F.lit(entity).alias("entity"),

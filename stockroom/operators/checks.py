@@ -29,14 +29,16 @@ class ChecksFailed(Exception):
     """At least one check of a suite found failures."""
 
 
+def _value_counts(df: DataFrame, column: str) -> DataFrame:
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _duplicated(df: DataFrame, column: str) -> DataFrame:
-    counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counted.filter("n > 1")
+    return _value_counts(df.filter(F.col(column).isNotNull()), column).filter("n > 1")
 
 
 def _unaccepted(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    bad = df.filter(~F.col(column).isin(list(values)))
-    return bad.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return _value_counts(df.filter(~F.col(column).isin(list(values))), column)
 
 
 def _orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -44,7 +46,7 @@ def _orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: st
 
     Counting first leaves one row per value to join, however often a value occurs.
     """
-    counted = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    counted = _value_counts(child.filter(F.col(column).isNotNull()), column)
     known = parent.select(F.col(parent_column).alias("_parent")).distinct()
     return counted.join(known, F.col(column) == F.col("_parent"), "left_anti")
 
@@ -87,7 +89,9 @@ def unique(df: DataFrame, column: str, model: str = "") -> DataFrame:
     return failures.select(*_result(model, column, "unique", F.col("n")))
 
 
-def accepted_values(df: DataFrame, column: str, values: Sequence[str], model: str = "") -> DataFrame:
+def accepted_values(
+    df: DataFrame, column: str, values: Sequence[str], model: str = ""
+) -> DataFrame:
     """Number of distinct values outside the list; NULL passes."""
     failures = _unaccepted(df, column, values).agg(F.count(F.lit(1)).alias("n"))
     return failures.select(*_result(model, column, "accepted_values", F.col("n")))
@@ -104,7 +108,9 @@ def relationships(
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(entity, row_count)`` of every table, in one job."""
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("entity"), "row_count")
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("entity"), "row_count"
+        )
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)

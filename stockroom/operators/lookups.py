@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def fits_broadcast(sides: Mapping[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> dict[str, bool]:
+def fits_broadcast(
+    sides: Mapping[str, DataFrame], max_rows: int = BROADCAST_ROWS
+) -> dict[str, bool]:
     """Measure, in one job of plain counts, which frames have at most ``max_rows`` rows."""
     if not sides:
         return {}

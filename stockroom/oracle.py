@@ -398,6 +398,17 @@ def oracle_sql() -> dict[str, str]:
         "CAST(user_id AS BIGINT) END AS whole, CAST(trunc(value) AS BIGINT) AS cut FROM events",
         "json_flatten": "SELECT CAST(event_id AS VARCHAR) AS _lake_id, "
         "CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
+        "payload_roundtrip": "SELECT CAST(order_id AS VARCHAR) AS id, status, "
+        "CAST(total_amount AS DOUBLE) AS total_amount, "
+        + ", ".join(
+            f"{_stamp(c)} AS {a}"
+            for c, a in (
+                ("ordered_at", "ordered_at"),
+                ("shipped_at", "shipped_at"),
+                ("updated_at", "_lake_updated_at"),
+            )
+        )
+        + " FROM e_orders",
         "snake_case_cols": "SELECT c_custkey AS cust_key, c_name AS full_name, c_acctbal AS acct_bal, "
         "COALESCE(CASE WHEN c_acctbal >= 0 THEN c_mktsegment END, c_name) AS mkt_segment FROM customer",
         # state

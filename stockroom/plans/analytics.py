@@ -22,7 +22,8 @@ def _rows(alias: str) -> Column:
 
 def _mean(column: str, alias: str) -> Column:
     """Mean of the non-NULL values, to six digits."""
-    return F.round(F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0)), 6).alias(alias)
+    known = F.nullif(F.count(column), F.lit(0))
+    return F.round(F.sum(column).cast("double") / known, 6).alias(alias)
 
 
 def _per_key(fact: DataFrame, key: str, *columns: Column) -> DataFrame:

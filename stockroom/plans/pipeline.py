@@ -5,16 +5,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockroom.operators.checks import (
     collect_report,
     failing_rows,
     raise_on_failure,
     require_rows,
+    row_counts,
     run_checks,
 )
 from stockroom.operators.keyed import KeyedTable
@@ -38,9 +41,7 @@ TRACKED_PRODUCT = (
 ).split()
 
 
-def snap_table(
-    spark: SparkSession, path: str, key: str, buckets: int = 64
-) -> KeyedTable:
+def snap_table(spark: SparkSession, path: str, key: str, buckets: int = 64) -> KeyedTable:
     """A history table: all versions of a member share a bucket, open versions lie together."""
     return KeyedTable(
         spark,
@@ -115,10 +116,17 @@ def concurrently(spark: SparkSession, calls: Mapping[str, Callable], parallel: i
 
 
 def write_marts(
-    spark: SparkSession, models: Mapping[str, DataFrame], root: str
+    spark: SparkSession, models: Mapping[str, DataFrame], root: str, by_month: bool = False
 ) -> dict[str, DataFrame]:
-    steps = {n: partial(write_mart, df, f"{root}/{n}") for n, df in models.items()}
-    return concurrently(spark, steps)
+    """Write models side by side; ``by_month`` partitions those that have a date key."""
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        if by_month and "date_key" in df.columns:
+            month = F.floor(F.col("date_key") / 100).cast("int")
+            return write_mart(df.withColumn("date_month", month), f"{root}/{name}", ["date_month"])
+        return write_mart(df, f"{root}/{name}")
+
+    return concurrently(spark, {n: partial(write, n, df) for n, df in models.items()})
 
 
 def transform(
@@ -128,6 +136,7 @@ def transform(
     as_of: dt.datetime,
     run_id: str,
     buckets: int = 64,
+    partition_facts: bool = False,
 ) -> dict[str, DataFrame]:
     """Staging views, histories and marts from the raw tables. Returns every model."""
     stg = stage_all(raw)
@@ -150,12 +159,20 @@ def transform(
     )
     lazy = build_dims(spark, stg, histories["customers"], histories["products"])
     dims = write_marts(spark, lazy, f"{root}/marts")
-    built = write_marts(spark, build_facts(stg, dims, as_of), f"{root}/marts")
+    built = write_marts(spark, build_facts(stg, dims, as_of), f"{root}/marts", partition_facts)
     return {**stg, **dims, **built}
 
 
-def run(ctx: Context, fail_on_checks: bool = False) -> DataFrame:
-    """One full run. Returns the check report; its failing rows are written beside the marts.
+@dataclass(frozen=True)
+class RunReport:
+    """What a run found: check results, and the rows of every dimension and fact."""
+
+    checks: DataFrame
+    row_counts: dict[str, int]
+
+
+def run(ctx: Context, fail_on_checks: bool = False) -> RunReport:
+    """One full run. The failing rows of each check are written beside the marts.
 
     ``fail_on_checks`` raises when any check fails. Empty entities always do.
     """
@@ -172,17 +189,21 @@ def run(ctx: Context, fail_on_checks: bool = False) -> DataFrame:
     require_rows(raw)
 
     root = f"{ctx.root}/warehouse"
-    models = transform(ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.buckets)
-    report = collect_report(ctx.spark, run_checks(models, CHECKS))
-    failed = {(r["model"], r["column"], r["test"]) for r in report.filter("failures > 0").collect()}
+    models = transform(
+        ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.buckets, ctx.partition_facts
+    )
+    checks = collect_report(ctx.spark, run_checks(models, CHECKS))
+    failed = {(r["model"], r["column"], r["test"]) for r in checks.filter("failures > 0").collect()}
     for check in CHECKS:
         if (check.model, check.column, check.test) in failed:
             name = f"{check.model}.{check.column}.{check.test}"
             write_mart(failing_rows(models, check), f"{root}/check_failures/{name}")
-    write_mart(report, f"{root}/check_report")
+    write_mart(checks, f"{root}/check_report")
     if fail_on_checks:
-        raise_on_failure(report)
-    return report
+        raise_on_failure(checks)
+    marts = {n: df for n, df in models.items() if not n.startswith("stg_")}
+    counts = {r["entity"]: r["row_count"] for r in row_counts(marts).collect()}
+    return RunReport(checks, counts)
 
 
 def _present(table: KeyedTable) -> DataFrame:

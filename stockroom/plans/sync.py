@@ -5,11 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from stockroom.operators.bounds import bound_literal, get_bound, newer_than, table_bound
+from stockroom.operators.bounds import (
+    bound_literal,
+    bound_row,
+    get_bound,
+    newer_than,
+    table_bound,
+)
 from stockroom.operators.flatten import flatten, split_keyed, to_payload, typed
 from stockroom.operators.keyed import KeyedTable
 from stockroom.sources.pages import read_pages
@@ -34,6 +40,7 @@ class Context:
     evolve: bool = True
     buckets: int = 64
     parallel: int = 4
+    partition_facts: bool = False
 
     def lake(self, spec: EntitySpec) -> KeyedTable:
         return KeyedTable(
@@ -115,14 +122,10 @@ def save_bounds(ctx: Context, specs: Iterable[EntitySpec]) -> bool:
     Runs after the data is published: a crash in between replays the batch,
     which the keyed merge absorbs.
     """
-    reached = []
-    for spec in specs:
-        bound = table_bound(ctx.lake(spec).read())
-        if bound is not None:
-            reached.append((spec.name, bound.isoformat(sep=" ")))
-    rows = ctx.spark.createDataFrame(reached, "entity string, reached string").select(
-        "entity",
-        F.col("reached").cast("timestamp").alias("last_updated_at"),
-        bound_literal(ctx.as_of).alias("last_run_at"),
-    )
-    return ctx.state.merge(rows, ctx.run_id)
+    tables = {spec.name: ctx.lake(spec).read() for spec in specs}
+    reached = [
+        bound_row(rows, name, "updated_at", ctx.as_of)
+        for name, rows in tables.items()
+        if rows is not None
+    ]
+    return bool(reached) and ctx.state.merge(reduce(DataFrame.unionByName, reached), ctx.run_id)

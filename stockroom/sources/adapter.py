@@ -9,6 +9,7 @@ from plans that do not use the fetched column.
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,10 @@ def _text(value: str | None) -> Column:
     return F.lit(value).cast("string")
 
 
+def _mail(name: str) -> Column:
+    return F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com"))
+
+
 class Tables:
     """Reads the tables of one scale folder and derives entities from them, lazily."""
 
@@ -92,7 +97,7 @@ class Tables:
             F.col("s_nationkey").alias("store_id"),
             name[0].alias("first_name"),
             name[1].alias("last_name"),
-            F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("."))), _text("@example.com")).alias("email"),
+            _mail("s_name").alias("email"),
             F.when(F.col("s_acctbal") >= 5000, "manager").otherwise("clerk").alias("role"),
             F.date_add(F.lit(dt.date(1994, 1, 1)), F.col("s_nationkey")).alias("hired_date"),
             (F.col("s_acctbal") < 0).alias("is_deleted"),
@@ -112,17 +117,19 @@ class Tables:
 
     # -- versioned entities ------------------------------------------------
 
-    def _customer_rows(self, rows: DataFrame, tier: Column, deleted: Column, updated: Column) -> DataFrame:
+    def _customer_rows(
+        self, rows: DataFrame, tier: Column, deleted: Column, updated: Column
+    ) -> DataFrame:
         places = self.read("nation").join(
             self.read("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
-        placed = rows.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        placed = rows.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         name = F.split("c_name", "#")
         return placed.select(
             F.col("c_custkey").alias("id"),
             name[0].alias("first_name"),
             name[1].alias("last_name"),
-            F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), _text("@example.com")).alias("email"),
+            _mail("c_name").alias("email"),
             F.concat(F.lit("+"), F.col("c_nationkey").cast("string")).alias("phone"),
             F.concat("n_name", F.lit(", "), "r_name").alias("address"),
             F.col("n_name").alias("city"),
@@ -151,7 +158,8 @@ class Tables:
         return self.customers.unionByName(later)
 
     def _product_rows(self, rows: DataFrame, price: Column, updated: Column) -> DataFrame:
-        cost = (price.cast("decimal(12,2)") * F.lit("0.60").cast("decimal(3,2)")).cast("decimal(10,2)")
+        share = F.lit(Decimal("0.60")).cast("decimal(3,2)")
+        cost = (price.cast("decimal(12,2)") * share).cast("decimal(10,2)")
         return rows.select(
             F.col("p_partkey").alias("id"),
             F.col("p_name").alias("name"),
@@ -203,7 +211,8 @@ class Tables:
         ordered = F.col("o_orderdate")
         cancelled = key % 10 == 0
         shipped = F.when((kind == "F") | ((kind == "P") & (key % 2 == 1)), F.col("first_shipped"))
-        delivered = F.when(kind == "F", F.col("first_shipped") + _days(F.col("o_custkey") % 7) + _hours(F.lit(36)))
+        travel = _days(F.col("o_custkey") % 7) + _hours(F.lit(36))
+        delivered = F.when(kind == "F", F.col("first_shipped") + travel)
         status = (
             F.when(cancelled, "cancelled")
             .when(kind == "O", "pending")

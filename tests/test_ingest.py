@@ -175,8 +175,11 @@ def land_everything(root):
 
 def test_whole_run_twice(spark, tmp_path):
     land_everything(tmp_path / "landing")
-    report = pipeline.run(context(spark, tmp_path, "r1"))
+    done = pipeline.run(context(spark, tmp_path, "r1", partition_facts=True))
+    report = done.checks
     assert report.count() == 61
+    assert done.row_counts["fct_sales"] == 1 and done.row_counts["dim_customer"] == 1
+    assert (tmp_path / "root/warehouse/marts/fct_sales/date_month=202401").is_dir()
     # The store key of a payment for a cancelled order is the one known finding.
     assert rows(report.filter("failures > 0"), "model", "column", "failures") == [("fct_payments", "store_key", 1)]
     root = tmp_path / "root" / "warehouse"
