@@ -199,32 +199,39 @@ class KeyedTable:
         version = self._version(batch_id)
         if version.seen:
             return False
-        fresh = rows.persist()  # read for buckets, matches and both sides of combine
-        try:
+        seq = version.seq + 1
+        if version.schema is None:
+            merged = first(rows)
+            self._write(merged, seq)
+            touched = self._row_counts(seq)
+            held = []
+        else:
+            # Written once, then read for buckets, matches and the new content.
+            rows.write.mode("overwrite").parquet(f"{self.path}/staging")
+            fresh = self.spark.read.schema(rows.schema).parquet(f"{self.path}/staging")
             bucket = self._bucket().alias("bucket")
             touched = {r["bucket"]: r["count"] for r in fresh.groupBy(bucket).count().collect()}
             if not touched:
                 return False
-            seq = version.seq + 1
-            held = []
-            if version.schema is None:
-                merged = first(fresh)
-            else:
-                keys = fresh.select(*match).distinct()
-                if sum(touched.values()) <= BROADCAST_ROWS:
-                    keys = F.broadcast(keys)
-                held = self._held(version, touched, keys)
-                merged = combine(self._rows_of(held, version.schema), fresh, keys)
+            keys = fresh.select(*match).distinct()
+            if sum(touched.values()) <= BROADCAST_ROWS:
+                keys = F.broadcast(keys)
+            held = self._held(version, touched, keys)
+            merged = combine(self._rows_of(held, version.schema), fresh, keys)
             self._write(merged, seq)
-            gone = set(held)
-            live = {
-                b: [s for s in version.live.get(b, ()) if (s, b) not in gone] + [seq]
-                for b in touched
-            }
-            self._publish(live, batch_id, seq, merged.schema)
-            return True
-        finally:
-            fresh.unpersist()
+        if not touched:
+            return False
+        gone = set(held)
+        live = {
+            b: [s for s in version.live.get(b, ()) if (s, b) not in gone] + [seq] for b in touched
+        }
+        self._publish(live, batch_id, seq, merged.schema)
+        return True
+
+    def _row_counts(self, seq: int) -> dict[int, int]:
+        """Rows per bucket of a written segment folder."""
+        written = self.spark.read.schema("bucket int").parquet(f"{self.path}/data/seq={seq}")
+        return {r["bucket"]: r["count"] for r in written.groupBy("bucket").count().collect()}
 
     def _rows_of(self, segments: Sequence[tuple[int, int]], schema: T.StructType) -> DataFrame:
         return self._scan(segments, schema) if segments else self.spark.createDataFrame([], schema)
