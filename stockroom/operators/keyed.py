@@ -59,6 +59,24 @@ def upsert(
     return _union(kept, latest_by_key(batch, keys, order))
 
 
+@dataclass(frozen=True)
+class Change:
+    """How a batch alters a stored table.
+
+    ``marks(new rows)`` has one row per key and says what the batch reaches;
+    ``hits(stored rows, marks)`` are the stored rows it alters, found by reading
+    ``columns`` alone. ``combine(stored rows, new rows, marks)`` gives the content
+    that takes the place of the segments holding hits, and ``first(new rows)``
+    that of an empty table.
+    """
+
+    columns: Sequence[str]
+    marks: Callable[[DataFrame], DataFrame]
+    hits: Callable[[DataFrame, DataFrame], DataFrame]
+    combine: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
+    first: Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class _Version:
     """What the log says: live segments per bucket, the schema, the last merge."""
@@ -179,45 +197,39 @@ class KeyedTable:
                 return latest_by_key(_union(current, fresh), self.keys, self.order)
             return _union(current.join(keys, self.keys, "left_anti"), fresh)
 
-        fresh = latest_by_key(batch, self.keys, self.order)
-        return self.rewrite(fresh, batch_id, combine, self.keys)
+        replace = Change(
+            columns=self.keys,
+            marks=lambda fresh: fresh.select(*self.keys).distinct(),
+            hits=lambda stored, keys: stored.join(keys, self.keys, "left_semi"),
+            combine=combine,
+            first=lambda fresh: fresh,
+        )
+        return self.rewrite(latest_by_key(batch, self.keys, self.order), batch_id, replace)
 
-    def rewrite(
-        self,
-        rows: DataFrame,
-        batch_id: str,
-        combine: Callable[[DataFrame, DataFrame, DataFrame], DataFrame],
-        match: Sequence[str],
-        first: Callable[[DataFrame], DataFrame] = lambda fresh: fresh,
-    ) -> bool:
-        """Replace the segments holding any ``match`` value of ``rows``.
-
-        ``combine(stored rows of those segments, new rows, match values)`` gives
-        what takes their place; ``first(new rows)`` does so in an empty table.
-        False when ``rows`` is empty or the batch is already published.
-        """
+    def rewrite(self, rows: DataFrame, batch_id: str, change: Change) -> bool:
+        """Apply a change; False when ``rows`` is empty or the batch is already published."""
         version = self._version(batch_id)
         if version.seen:
             return False
         seq = version.seq + 1
         if version.schema is None:
-            merged = first(rows)
+            merged = change.first(rows)
             self._write(merged, seq)
             touched = self._row_counts(seq)
             held = []
         else:
-            # Written once, then read for buckets, matches and the new content.
+            # Written once, then read for buckets, marks and the new content.
             rows.write.mode("overwrite").parquet(f"{self.path}/staging")
             fresh = self.spark.read.schema(rows.schema).parquet(f"{self.path}/staging")
             bucket = self._bucket().alias("bucket")
             touched = {r["bucket"]: r["count"] for r in fresh.groupBy(bucket).count().collect()}
             if not touched:
                 return False
-            keys = fresh.select(*match).distinct()
+            marks = change.marks(fresh)
             if sum(touched.values()) <= BROADCAST_ROWS:
-                keys = F.broadcast(keys)
-            held = self._held(version, touched, keys)
-            merged = combine(self._rows_of(held, version.schema), fresh, keys)
+                marks = F.broadcast(marks)
+            held = self._held(version, touched, change, marks)
+            merged = change.combine(self._rows_of(held, version.schema), fresh, marks)
             self._write(merged, seq)
         if not touched:
             return False
@@ -237,21 +249,21 @@ class KeyedTable:
         return self._scan(segments, schema) if segments else self.spark.createDataFrame([], schema)
 
     def _held(
-        self, version: _Version, touched: Collection[int], keys: DataFrame
+        self, version: _Version, touched: Collection[int], change: Change, marks: DataFrame
     ) -> list[tuple[int, int]]:
-        """Segments to rewrite: those with a matching row, and all of overfull buckets."""
+        """Segments to rewrite: those with a hit, and all of overfull buckets."""
         stored = version.segments(touched)
         full = {b for b in touched if len(version.live.get(b, ())) >= self._limit(b)}
         searched = [s for s in stored if s[1] not in full]
         matched = set()
         if searched:
-            columns = T.StructType([version.schema[c] for c in keys.columns])
+            columns = T.StructType([version.schema[c] for c in change.columns])
             located = (
                 self.spark.read.schema(columns)
                 .option("basePath", f"{self.path}/data")  # adds seq and bucket as columns
                 .parquet(*self._folders(searched))
             )
-            found = located.join(keys, keys.columns, "left_semi").select("seq", "bucket").distinct()
+            found = change.hits(located, marks).select("seq", "bucket").distinct()
             matched = {(r["seq"], r["bucket"]) for r in found.collect()}
         return [s for s in stored if s in matched or s[1] in full]
 

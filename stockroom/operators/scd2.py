@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stockroom.functions.scalars import timestamp_text
 from stockroom.operators.bounds import bound_literal
+from stockroom.operators.keyed import Change
 from stockroom.operators.latest import latest_by_key
 
 # Columns a history adds to the tracked ones.
@@ -191,6 +192,24 @@ def history_from_versions(
     return timed.select(*columns, *_version(key, updated_at, F.col("_valid_to")))
 
 
+def first_times(versions: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
+    """Earliest version of each member in a batch."""
+    return versions.groupBy(key).agg(F.min(updated_at).alias("_first"))
+
+
+def _is_reached() -> Column:
+    still_valid = F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_first"))
+    return F.coalesce(still_valid & F.col("_first").isNotNull(), F.lit(False))
+
+
+def reached(history: DataFrame, firsts: DataFrame, key: str) -> DataFrame:
+    """History rows still valid after their member's first new version.
+
+    For a feed in order these are the open rows alone.
+    """
+    return history.join(firsts, key).filter(_is_reached()).drop("_first")
+
+
 def add_versions(
     history: DataFrame,
     versions: DataFrame,
@@ -198,18 +217,32 @@ def add_versions(
     updated_at: str = "updated_at",
     tie_break: Sequence[str] = (),
     max_timeline: int = MAX_TIMELINE,
-    keys: DataFrame | None = None,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """History extended by a batch of versions, which may hold several per key, in any order.
 
     A late version takes its place inside the timeline, so any split of a feed
-    into batches leads to the same history. Members the batch does not name pass
-    through untouched. No deletes: a batch is a delta. ``keys`` may give the
-    batch's distinct keys.
+    into batches leads to the same history. Only rows the batch reaches are
+    linked anew. No deletes: a batch is a delta. ``firsts`` may give the batch's
+    :func:`first_times`.
     """
-    named = versions.select(key).distinct() if keys is None else keys
-    known = history.join(named, key, "left_semi").select(*versions.columns)
+    firsts = first_times(versions, key, updated_at) if firsts is None else firsts
+    marked = history.join(firsts, key, "left").withColumn("_reached", _is_reached())
+    known = marked.filter("_reached").select(*versions.columns)
     woven = history_from_versions(
         known.unionByName(versions), key, updated_at, tie_break, max_timeline
     )
-    return woven.unionByName(history.join(named, key, "left_anti").select(*woven.columns))
+    return woven.unionByName(marked.filter("NOT _reached").select(*woven.columns))
+
+
+def version_change(key: str, updated_at: str, tie_break: Sequence[str] = ()) -> Change:
+    """:func:`add_versions` as a change of a stored history bucketed by ``key``."""
+    return Change(
+        columns=[key, "valid_to"],
+        marks=lambda fresh: first_times(fresh, key, updated_at),
+        hits=lambda stored, firsts: reached(stored, firsts, key),
+        combine=lambda stored, fresh, firsts: add_versions(
+            stored, fresh, key, updated_at, tie_break, firsts=firsts
+        ),
+        first=lambda fresh: history_from_versions(fresh, key, updated_at, tie_break),
+    )

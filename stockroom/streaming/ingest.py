@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stockroom.operators.bounds import bound_literal
 from stockroom.operators.flatten import split_keyed, to_payload
 from stockroom.operators.keyed import KeyedTable
-from stockroom.operators.scd2 import add_versions, history_from_versions
+from stockroom.operators.scd2 import version_change
 from stockroom.plans.facts import split_payments
 from stockroom.sources.registry import EntitySpec
 
@@ -78,14 +78,10 @@ def start_scd2(
     if table.bucket_by != [key]:
         raise ValueError(f"the history table must be bucketed by {key}")
 
-    def first(fresh: DataFrame) -> DataFrame:
-        return history_from_versions(fresh, key, updated_at, tie_break)
-
-    def weave(stored: DataFrame, fresh: DataFrame, keys: DataFrame) -> DataFrame:
-        return add_versions(stored, fresh, key, updated_at, tie_break, keys=keys)
+    change = version_change(key, updated_at, tie_break)
 
     def step(batch: DataFrame, batch_id: str) -> None:
-        table.rewrite(batch, batch_id, weave, [key], first)
+        table.rewrite(batch, batch_id, change)
 
     return _start(stream, checkpoint, step)
 

@@ -122,11 +122,27 @@ def test_any_split_and_order_of_batches_gives_the_same_history(spark, frame, tmp
         spark, str(tmp_path / "h"), ["scd_id"], buckets=4, bucket_by=["k"], max_segments=2
     )
     for i in range(0, len(versions), 12):
-        table.rewrite(
-            frame(versions[i : i + 12], DDL),
-            str(i),
-            lambda old, new, keys: scd2.add_versions(old, new, "k", keys=keys),
-            ["k"],
-            lambda new: scd2.history_from_versions(new, "k"),
-        )
+        batch = frame(versions[i : i + 12], DDL)
+        table.rewrite(batch, str(i), scd2.version_change("k", "updated_at"))
     assert rows(table.read(), *SHOWN) == want
+
+
+def test_a_feed_in_order_reaches_open_rows_alone(frame):
+    history = scd2.history_from_versions(frame(feed(6, keys="a"), DDL), "k")
+    after = frame([("a", "new", dt.datetime(2025, 1, 1)), ("b", "x", at(1))], DDL)
+    hit = scd2.reached(history, scd2.first_times(after, "k"), "k")
+    assert rows(hit, "valid_to") == [(None,)]
+
+
+def test_stored_history_keeps_segments_a_batch_does_not_reach(spark, frame, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "h"), ["scd_id"], buckets=1, bucket_by=["k"])
+    change = scd2.version_change("k", "updated_at")
+    folders = []
+    for day in (1, 2, 3):
+        table.rewrite(frame([("k", str(day), at(day))], DDL), f"b{day}", change)
+        folders.append(set(table.live_folders()))
+    table.rewrite(frame([("other", "x", at(9))], DDL), "other", change)
+    assert folders[2] < set(table.live_folders())
+    assert rows(table.read().filter("k = 'k'"), *SHOWN) == [
+        ("k", "1", at(1), at(2)), ("k", "2", at(2), at(3)), ("k", "3", at(3), None),
+    ]
