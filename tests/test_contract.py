@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as contract
+from stockroom import catalog, oracle
 
 from .compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def db():
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= contract.queries().keys() and SQL.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
