@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +22,24 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 WORDS_KEPT = 400_000  # entries of a worker's word table; only speed depends on it
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it, if they see that folder."""
+    here = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in known:
+        env["PYTHONPATH"] = os.pathsep.join([here, *known])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the folder all executors share and read it back: lineage ends here."""
     spark = df.sparkSession
+    importable(spark)
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -98,7 +112,7 @@ def shingles(tokens: list[bytes], width: int) -> np.ndarray:
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", chars: int = 4_000_000) -> Iterator[tuple]:
     """Cut batches so that a piece holds about ``chars`` bytes of text (or one long text): (slice, texts)."""
     for batch in batches:
-        sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
             before = sizes[at - 1] if at else 0

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import chat, quality, secrets
+from . import chat, hyperminhash, quality, secrets, toxicity
 from .common import stored, table
 
 
@@ -28,11 +27,21 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(stored(chat.examples(rows.unionByName(probe)), "chat"))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), hyperminhash.Settings(percent=85))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op3_quality_rules": op3_quality_rules,
         "op5_chat_format": op5_chat_format,
+        "op8_minhash_dedup": op8_minhash_dedup,
+        "op10_toxicity": op10_toxicity,
     }
 
 
