@@ -51,6 +51,13 @@ def folder(spark: SparkSession, label: str) -> str:
     return path if "://" in path else f"file://{path}"
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; workers open the same path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def remainder(doc_id: Column, by: int) -> Column:
     """crc32 of the id as text, modulo ``by``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % by

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, hyperminhash, quality, secrets, toxicity
-from .common import stored, table
+from . import chat, decontam, hyperminhash, packing, quality, secrets, toxicity
+from .common import stored, table, vocabulary
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +27,19 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(stored(chat.examples(rows.unionByName(probe)), "chat"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), hyperminhash.Settings(percent=85))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = packing.Settings(vocabulary("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), settings)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,7 +49,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op3_quality_rules": op3_quality_rules,
         "op5_chat_format": op5_chat_format,
+        "op7_decontaminate": op7_decontaminate,
         "op8_minhash_dedup": op8_minhash_dedup,
+        "op9_best_fit_packing": op9_best_fit_packing,
         "op10_toxicity": op10_toxicity,
     }
 
