@@ -30,8 +30,9 @@ def _cuttable(text: str, drops_space: bool) -> bool:
 class Encoder:
     """Ids as little-endian unsigned 16-bit bytes; the vocabularies have fewer than 65,536 ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = plain  # then their strings in a text are ordinary text
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("ids of this vocabulary do not fit in 16 bits")
@@ -89,9 +90,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One encoder per worker and vocabulary."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return Encoder(path)
+    return Encoder(path, plain)

@@ -5,19 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontam, hyperminhash, packing, quality, secrets, toxicity
-from .common import stored, table, vocabulary
+from . import chat, ctw, decontam, hyperminhash, packing, quality, secrets, token_count, token_file, toxicity
+from .common import remainder, stored, table, vocabulary
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_count.write_flat(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return token_count.counts(files)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = token_file.Settings(vocabulary("byte_bpe_50k.json"))
+    return token_file.read(token_file.write(table(spark, sf_dir, "documents"), settings), settings)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(
@@ -27,6 +38,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(stored(chat.examples(rows.unionByName(probe)), "chat"))
 
 
+def op6_ctw_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) == 2)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,8 +62,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
+        "op2_token_count": op2_token_count,
         "op3_quality_rules": op3_quality_rules,
+        "op4_token_file": op4_token_file,
         "op5_chat_format": op5_chat_format,
+        "op6_ctw_score": op6_ctw_score,
         "op7_decontaminate": op7_decontaminate,
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
