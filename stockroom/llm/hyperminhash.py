@@ -9,8 +9,9 @@
 4. A pair is estimated from its registers (corrected for registers that collide by
    chance) and, above a slack bound, confirmed on the full shingle sets.
 5. Buckets that the links so far leave in several components still owe comparisons:
-   their members are compared across components on registers, in blocks inside tasks,
-   and what the estimate lets through is confirmed as before. Nothing is capped.
+   their members are compared across components, in blocks inside tasks, by the same
+   estimate and confirmation, and a task passes on only links that join what was apart.
+   No pair is left out and no pair is written down that does not link.
 
 Defined results: a text without words (NULL, empty or white space) has an empty set and
 is linked with nothing, also not with its like; equal ids are one document for linking
@@ -43,8 +44,8 @@ class Settings:
     bands: int = 40
     rows: int = 6
     mantissa: int = 10  # bits beside the leading-zero count
-    slack: float = 0.2  # how far an estimate may fall short before a pair is given up unconfirmed
-    block: int = 512  # members of a bucket compared at once
+    slack: float = 0.15  # how far an estimate may fall short before a pair is given up unconfirmed
+    block: int = 2048  # members of a bucket compared at once
 
     @property
     def buckets(self) -> int:
@@ -206,15 +207,16 @@ def _confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame
     return joined.select("a", "b", "n", "m", "ra", "rb", "ha", "hb").mapInArrow(check, "a long, b long")
 
 
-def _across(members: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket that the registers let through.
+def _across(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between components that meet in one bucket.
 
     ``members`` has (key, node, comp, size). A bucket is cut into blocks; each pair of
-    blocks meets in one task, and only pairs that pass the estimate leave it.
+    blocks meets in one task, which estimates, confirms on the full sets, and passes on
+    a link only where it joins two parts of the block that were apart until then, so
+    there are fewer links than members.
     """
-    blocks = F.ceil(F.col("size") / settings.block).cast("int")
     rows = (
-        members.withColumn("blocks", blocks)
+        members.withColumn("blocks", F.ceil(F.col("size") / settings.block).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -222,26 +224,43 @@ def _across(members: DataFrame, nodes: DataFrame, settings: Settings) -> DataFra
             F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         )
     )
+    least = settings.percent / 100 - settings.slack
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        regs = np.frombuffer(b"".join(group["regs"]), np.uint16).reshape(len(group), -1)
-        node, comp, own, n = (group[c].to_numpy() for c in ("node", "comp", "own", "n"))
+        donors = _donors(settings.buckets)
+        found = [np.frombuffer(h, np.uint64) for h in group["hashes"]]
+        regs = np.stack([registers(h, settings, donors) for h in found])
+        n = np.array([len(h) for h in found])
+        node, part, own = (group[c].to_numpy().copy() for c in ("node", "comp", "own"))
+        flat, at = np.unique(np.concatenate(found), return_inverse=True)
+        ids = np.split(at, np.cumsum(n)[:-1])
+        inside = np.zeros(len(flat), bool)
         low, high = group["low"].iloc[0], group["high"].iloc[0]
-        left = np.flatnonzero(own == low)
         right = np.flatnonzero(own == high)
-        found = []
-        for i in left:
-            near = right[(comp[right] != comp[i]) & (100 * np.minimum(n[right], n[i]) >= settings.percent * np.maximum(n[right], n[i]))]
+        links = []
+        for i in np.flatnonzero(own == low):
+            near = right[
+                (part[right] != part[i])
+                & (100 * np.minimum(n[right], n[i]) >= settings.percent * np.maximum(n[right], n[i]))
+            ]
             if low == high:
-                near = near[node[near] > node[i]]
-            if len(near):
-                same = (regs[near] == regs[i]).mean(1)
-                near = near[estimate(same, n[near], n[i], settings) >= settings.percent / 100 - settings.slack]
-                found += [(min(node[i], x), max(node[i], x)) for x in node[near]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                near = near[near > i]
+            if not len(near):
+                continue
+            near = near[estimate((regs[near] == regs[i]).mean(1), n[near], n[i], settings) >= least]
+            if not len(near):
+                continue
+            inside[ids[i]] = True
+            both = np.add.reduceat(inside[np.concatenate([ids[j] for j in near])], np.cumsum(n[near]) - n[near], dtype=np.int64)
+            inside[ids[i]] = False
+            for j in near[100 * both >= settings.percent * (n[near] + n[i] - both)]:
+                if part[j] != part[i]:
+                    part[part == part[j]] = part[i]
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return (
-        rows.join(nodes.select("node", "regs", "n"), "node")
+        rows.join(sets.select("node", "hashes"), "node")
         .groupBy("key", "low", "high")
         .applyInPandas(meet, "a long, b long")
         .distinct()
@@ -275,11 +294,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     members = stored(banded.join(pivots.select("key", "pivot", "size"), "key"), "members")
     pairs = stored(members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node")
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        wanted = wanted.distinct().join(nodes, "node")
         return stored(_sets(docs, wanted, settings).dropDuplicates(["node"]), "sets")
 
-    links = stored(_confirm(pairs, sets_of(pairs), settings), "confirmed")
+    paired = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    links = stored(_confirm(pairs, sets_of(paired), settings), "confirmed")
     labels = components(links)
 
     # Buckets of three and more whose members are not yet of one component.
@@ -287,12 +307,16 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         return df.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
     large = labelled(members.filter("size > 2"))
-    owing = large.groupBy("key").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).filter("first < last")
-    rest = _across(large.join(owing.select("key"), "key").select("key", "node", "comp", "size"), nodes, settings)
-    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = stored(_confirm(rest, sets_of(rest), settings), "confirmed")
-        links = links.union(more)
+    spread = large.groupBy("key").agg(
+        F.min("comp").alias("first"), F.max("comp").alias("last"), F.count("*").alias("n"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("xor"),
+    )
+    # Bands often gather the same members; one bucket then stands for all of them.
+    owing = spread.filter("first < last").groupBy("n", "sum", "xor").agg(F.min("key").alias("key"))
+    owing = stored(large.join(owing.select("key"), "key").select("key", "node", "comp", "size"), "owing")
+    if not owing.isEmpty():
+        sets = sets_of(owing.select("node"))
+        links = links.union(stored(_across(owing, sets, settings), "confirmed"))
         labels = components(links)
 
     grouped = labelled(nodes.select("digest", "node", "rep"))
