@@ -7,7 +7,7 @@ engine can be compared column by column.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +25,7 @@ from stockroom.operators.latest import latest_by_key
 from stockroom.plans import analytics, dims, facts, pipeline
 from stockroom.plans.staging import STAGING
 from stockroom.plans.suite import CHECKS, LIFECYCLE_STATUSES
-from stockroom.plans.sync import Context, load_entity, sync_entity
+from stockroom.plans.sync import Context, load_entity, save_bounds, sync_entity
 from stockroom.session import configure, work_dir
 from stockroom.sources.adapter import LOADED_AT, RUN_AT, Tables
 from stockroom.sources.pages import land_pages, read_pages, stream_pages
@@ -90,30 +90,40 @@ class Models:
     def product(self) -> DataFrame:
         return dims.dim_product(scd2.open_history(self.stg("products"), "product_id"))
 
+    def calendar(self, times: dict[str, Sequence[str]]) -> DataFrame:
+        return dims.dim_date_covering([(self.stg(e), columns) for e, columns in times.items()])
+
     @cached_property
     def date(self) -> DataFrame:
-        return dims.dim_date(self.spark)
+        return self.calendar(dims.FACT_TIMES)
+
+    @cached_property
+    def order_date(self) -> DataFrame:
+        """As much of the calendar as the sales reach."""
+        return self.calendar({"orders": ["ordered_at"]})
 
-    def keyed(self, roles) -> facts.Dims:
+    def keyed(self, roles, times: dict[str, Sequence[str]]) -> facts.Dims:
         members = {r: getattr(self, r) for r in roles if r != "date"}
-        return facts.Dims(members, self.date if "date" in roles else None)
+        return facts.Dims(members, self.calendar(times) if "date" in roles else None)
 
     # Facts, with all their keys or only those a report reads.
 
     def sales(self, roles=("customer", "product", "store", "employee", "date")) -> DataFrame:
         items, orders = self.stg("order_items"), self.stg("orders")
-        return facts.fct_sales(items, orders, self.keyed(roles), roles)
+        return facts.fct_sales(items, orders, self.keyed(roles, {"orders": ["ordered_at"]}), roles)
 
     def payments(self, roles=("customer", "store", "payment_method", "date")) -> DataFrame:
         payments, orders = self.stg("payments"), self.stg("orders")
-        return facts.fct_payments(payments, orders, self.keyed(roles), roles)
+        return facts.fct_payments(payments, orders, self.keyed(roles, {"payments": ["paid_at"]}), roles)
 
     def inventory(self, roles=("product", "store", "date")) -> DataFrame:
         movements = self.stg("inventory_movements")
-        return facts.fct_inventory_daily(movements, self.keyed(roles), roles)
+        times = {"inventory_movements": ["moved_at"]}
+        return facts.fct_inventory_daily(movements, self.keyed(roles, times), roles)
 
     def lifecycle(self, roles=("customer", "store", "employee", "date")) -> DataFrame:
-        return facts.fct_order_lifecycle(self.stg("orders"), self.keyed(roles), roles)
+        times = {"orders": dims.FACT_TIMES["orders"]}
+        return facts.fct_order_lifecycle(self.stg("orders"), self.keyed(roles, times), roles)
 
     @property
     def flagged(self) -> DataFrame:
@@ -220,6 +230,23 @@ def _json_flatten(m: Models) -> DataFrame:
     return typed(flatten(_event_payloads(m), schema), schema).select("_lake_id", "k")
 
 
+def _json_odd_fields(m: Models) -> DataFrame:
+    """Payloads with a field in two letter cases, one named like a type, and fields named by values."""
+    event, user = F.col("event_id").cast("string"), F.col("user_id")
+    parts = (
+        F.concat(F.lit('"id":"'), event, F.lit('"')),
+        F.when(F.col("event_type") == "click", F.concat(F.lit('"ID":"X'), event, F.lit('"'))),
+        F.when(F.col("event_type") == "error", F.concat(F.lit('"VOIDED_BY":"'), user, F.lit('"'))),
+        F.concat(F.lit('"k'), user % 3, F.lit('":"'), F.col("event_type"), F.lit('"')),
+    )
+    payload = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    rows = m.tables.read("events").select(
+        event.alias("id"), payload.alias("raw_data"), F.col("ts").alias("loaded_at"), F.col("ts").alias("updated_at")
+    )
+    flat = flatten(rows, T.StructType.fromDDL("id string"), evolve=True)
+    return flat.select("_lake_id", "id", "voided_by", "k0", "k1", "k2")
+
+
 def _payload_roundtrip(m: Models) -> DataFrame:
     """Orders serialised to JSON records, taken in as lake rows, flattened and typed again."""
     spec = ENTITIES["orders"]
@@ -314,6 +341,27 @@ def _scd2_bulk(m: Models) -> DataFrame:
     return _history(scd2.history_from_versions(feed, "user_id", "ts"))
 
 
+def _scd2_bulk_cut(m: Models) -> DataFrame:
+    """Long timelines cut into pieces, that of the NULL key among them."""
+    feed = m.tables.read("events").select(
+        F.nullif(F.col("user_id") % 97, F.lit(0)).alias("user_id"),
+        "event_type",
+        "value",
+        (F.col("ts") + F.make_dt_interval(secs=F.col("event_id"))).alias("ts"),
+    )
+    return _history(scd2.history_from_versions(feed, "user_id", "ts", max_timeline=20))
+
+
+def _snapshot_runs_stored(m: Models) -> DataFrame:
+    """A stored history over four runs: first, changed, some users gone, all back at their old times."""
+    table = pipeline.snap_table(m.spark, work_dir(m.spark, "snapshot"), "user_id", buckets=8)
+    later = _state(m)
+    sources = (_state(m, HALF_TIME), later, later.filter("event_type <> 'error'"), later)
+    for run, source in enumerate(sources):
+        pipeline.run_snapshot(table, source, "user_id", RUN_AT, f"run-{run}", updated_at="ts")
+    return table.read().select(*FEED_COLUMNS, "valid_from", "valid_to", "scd_id")
+
+
 def _scd2_two_runs(m: Models) -> DataFrame:
     return _history(_run(_run(None, _state(m, HALF_TIME)), _state(m)))
 
@@ -353,10 +401,10 @@ def _dq_report(m: Models) -> DataFrame:
 # -- pages and streams ----------------------------------------------------------
 
 
-def _land_movements(m: Models) -> str:
+def _land_movements(m: Models, part: str = "true", root: str | None = None) -> str:
     """Inventory movements as landed pages, camelCase as an operational system sends them."""
     spec = ENTITIES["inventory_movements"]
-    rows = m.tables.inventory_movements.select(
+    rows = m.tables.inventory_movements.filter(part).select(
         F.col("id").cast("string").alias("id"),
         F.col("product_id").alias("productId"),
         F.col("store_id").alias("storeId"),
@@ -366,7 +414,7 @@ def _land_movements(m: Models) -> str:
         timestamp_text(F.col("moved_at")).alias("movedAt"),
         timestamp_text(F.col("updated_at")).alias("updatedAt"),
     )
-    root = work_dir(m.spark, "landing")
+    root = root or work_dir(m.spark, "landing")
     land_pages(rows, root, spec, pages=rows.count() // PAGE_SIZE + 1)
     return root
 
@@ -393,6 +441,19 @@ def _sync_and_load(m: Models) -> DataFrame:
     return ctx.warehouse(spec).read().select("id", "notes", "quantity", "moved_at")
 
 
+def _sync_twice(m: Models) -> DataFrame:
+    """Two daily runs: the second reads only the pages landed since the first."""
+    spec = ENTITIES["inventory_movements"]
+    root, landing = work_dir(m.spark, "run"), None
+    for run, part in enumerate((f"moved_at < '{HALF_TIME}'", f"moved_at >= '{HALF_TIME}'")):
+        landing = _land_movements(m, part, landing)
+        ctx = Context(m.spark, landing, root, f"run-{run}", RUN_AT, buckets=8)
+        sync_entity(ctx, spec)
+        save_bounds(ctx, [spec])
+        load_entity(ctx, spec)
+    return ctx.warehouse(spec).read().select("id", "notes", "quantity", "moved_at")
+
+
 def _stream_ingest(m: Models) -> DataFrame:
     spec = ENTITIES["inventory_movements"]
     root = work_dir(m.spark, "ingest")
@@ -457,6 +518,7 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "coerce_decimal": _coerce_decimal,
     "coerce_int": _coerce_int,
     "json_flatten": _json_flatten,
+    "json_odd_fields": _json_odd_fields,
     "payload_roundtrip": _payload_roundtrip,
     "snake_case_cols": _snake_case_cols,
     "latest_by_key": _latest_by_key,
@@ -469,12 +531,14 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "scd2_two_runs": _scd2_two_runs,
     "scd2_hard_delete": _scd2_hard_delete,
     "scd2_reopen": _scd2_reopen,
+    "scd2_bulk_cut": _scd2_bulk_cut,
+    "snapshot_runs_stored": _snapshot_runs_stored,
     "dim_customer": lambda m: m.customer_dim,
     "dim_product": lambda m: m.product_dim,
     "dim_store": lambda m: m.store,
     "dim_employee": lambda m: m.employee,
     "dim_payment_method": lambda m: m.payment_method,
-    "dim_date": lambda m: dims.dim_date_covering(m.tables.read("orders"), "o_orderdate"),
+    "dim_date": lambda m: m.date,
     "fct_sales": lambda m: m.sales(),
     "fct_payments": lambda m: m.payments(),
     "fct_inventory_daily": lambda m: m.inventory(),
@@ -494,7 +558,7 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "dq_report": _dq_report,
     "revenue_by_store": lambda m: analytics.revenue_by_store(m.sales(["store"]), m.store),
     "top_products": lambda m: analytics.top_products(m.sales(["product"]), m.product),
-    "revenue_by_month": lambda m: analytics.revenue_by_month(m.sales(["date"]), m.date),
+    "revenue_by_month": lambda m: analytics.revenue_by_month(m.sales(["date"]), m.order_date),
     "customer_segments": lambda m: analytics.customer_segments(
         m.sales(["customer"]), m.customer
     ),
@@ -506,7 +570,7 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "revenue_by_category": lambda m: analytics.revenue_by_category(
         m.sales(["product"]), m.product
     ),
-    "best_months": lambda m: analytics.best_months(m.sales(["date"]), m.date),
+    "best_months": lambda m: analytics.best_months(m.sales(["date"]), m.order_date),
     "lines_per_order": lambda m: analytics.lines_per_order(m.sales([])),
     "anomaly_share": lambda m: analytics.anomaly_share(m.stg("payments")),
     "discount_by_product": lambda m: analytics.discount_by_product(
@@ -515,6 +579,7 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "quality_summary": lambda m: analytics.quality_summary(m.flagged, m.customer_dim, m.product_dim),
     "ingest_pages": _ingest_pages,
     "sync_and_load": _sync_and_load,
+    "sync_twice": _sync_twice,
     "stream_ingest": _stream_ingest,
     "stream_upsert": _stream_upsert,
     "stream_scd2": _stream_scd2,

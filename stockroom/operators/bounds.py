@@ -50,15 +50,17 @@ def newer_than(
     column: str,
     since: dt.datetime | None,
     lookback: dt.timedelta = dt.timedelta(0),
+    keep_timeless: bool = False,
 ) -> DataFrame:
     """Rows strictly after ``since - lookback``; everything when there is no bound.
 
-    A NULL time never passes a bound. ``lookback`` re-reads late rows, which a
-    keyed merge absorbs.
+    A NULL time passes a bound only with ``keep_timeless``. ``lookback`` re-reads
+    late rows, which a keyed merge absorbs.
     """
     if since is None:
         return df
-    return df.filter(F.col(column) > bound_literal(since - lookback))
+    newer = F.col(column) > bound_literal(since - lookback)
+    return df.filter(newer | F.col(column).isNull() if keep_timeless else newer)
 
 
 def get_bound(state: DataFrame | None, entity: str) -> dt.datetime | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.functions.coerce import RULES, coerce, coerce_ts
-from stockroom.functions.naming import snake_case_columns
+from stockroom.functions.naming import merged_columns
 from stockroom.sources.registry import EntitySpec
 
 LINEAGE = ("_lake_id", "_lake_loaded_at", "_lake_updated_at")
@@ -62,17 +63,32 @@ def text_schema(schema: T.StructType, extra: Sequence[str] = ()) -> T.StructType
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _spark_ddl(variant_schema: str) -> str:
+    """A variant's schema text as DDL: types are renamed, field names (quoted or not) stay."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", variant_schema)
+    for k in range(0, len(parts), 2):  # every other part is a quoted name
+        text = re.sub(r"(^|: |ARRAY<)OBJECT<", r"\1STRUCT<", parts[k])
+        parts[k] = re.sub(r"(: |ARRAY<)VOID(?=[,>]|$)", r"\1STRING", text)
+    return "".join(parts)
+
+
 def discover_schema(lake_rows: DataFrame) -> T.StructType:
     """Schema of a batch whose fields are not declared; a distributed aggregate, one row back."""
     found = lake_rows.select(
         F.schema_of_variant_agg(F.try_parse_json("raw_data")).alias("s")
     ).first()
-    ddl = (found["s"] or "").replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    ddl = _spark_ddl(found["s"] or "")
     if not ddl.startswith("STRUCT<"):
         return T.StructType([])
     return T.StructType.fromDDL(ddl[len("STRUCT<") : -1])
 
 
+def discover_names(lake_rows: DataFrame) -> list[str]:
+    """Names of all fields of a batch's records, as the records write them."""
+    names = lake_rows.select(F.explode(F.json_object_keys("raw_data")).alias("name"))
+    return sorted(r["name"] for r in names.distinct().collect())
+
+
 def flatten(
     lake_rows: DataFrame, schema: T.StructType | None = None, evolve: bool = False
 ) -> DataFrame:
@@ -87,13 +103,19 @@ def flatten(
     if schema is None:
         target = discover_schema(lake_rows)
     else:
-        extra = discover_schema(lake_rows).fieldNames() if evolve else []
+        extra = discover_names(lake_rows) if evolve else []
         target = text_schema(schema, extra)
     rows = with_lineage(lake_rows)
     if not target.fields:
         return rows.drop("raw_data")
-    parsed = rows.withColumn("rec", F.from_json("raw_data", target))
-    return snake_case_columns(parsed.select("rec.*", *LINEAGE))
+    # Fields go by number until spellings that differ in case alone have been merged.
+    numbered = T.StructType([T.StructField(f"_{k}", f.dataType) for k, f in enumerate(target)])
+    wanted = T.StructType([T.StructField(f.name, f.dataType) for f in target])
+    parsed = rows.withColumn("rec", F.from_json("raw_data", wanted).cast(numbered))
+    fields = {f.name: F.col(f"rec._{k}") for k, f in enumerate(target)}
+    types = {f.name: f.dataType.simpleString() for f in target}
+    lineage = {c: F.col(c) for c in LINEAGE}
+    return parsed.select(*merged_columns(fields | lineage, types))
 
 
 def typed(flat: DataFrame, schema: T.StructType) -> DataFrame:

@@ -27,9 +27,9 @@ MAX_TIMELINE = 1_000_000
 TIME_UNITS = ("year", "month", "day", "hour", "minute", "second")
 
 
-def scd_id(key: Column, updated_at: Column) -> Column:
-    """Row id of a version: key and update time."""
-    parts = (key.cast("string"), timestamp_text(updated_at))
+def scd_id(key: Column, valid_from: Column) -> Column:
+    """Row id of a version: key and start of validity."""
+    parts = (key.cast("string"), timestamp_text(valid_from))
     return F.md5(F.concat_ws("|", *(F.coalesce(p, F.lit("")) for p in parts)))
 
 
@@ -51,6 +51,12 @@ def open_rows(history: DataFrame) -> DataFrame:
     return history.filter("valid_to IS NULL")
 
 
+def last_closes(history: DataFrame, key: str) -> DataFrame:
+    """When each member's latest closed version ended; two columns of the history are read."""
+    closed = history.filter("valid_to IS NOT NULL")
+    return closed.groupBy(F.col(key).alias("_closed_key")).agg(F.max("valid_to").alias("_closed"))
+
+
 def snapshot_changes(
     history: DataFrame,
     source: DataFrame,
@@ -64,7 +70,8 @@ def snapshot_changes(
 
     Only open versions meet the source, each side holding a key once:
 
-    * new key: open a version from its update time;
+    * new key: open a version from its update time, or, when the key has been closed
+      before, from its last close if that is later, so that versions never overlap;
     * later update time: close the version there and open the next;
     * equal or earlier time: unchanged, whatever the attributes say;
     * key gone: close at ``as_of`` (when ``invalidate_deletes``).
@@ -88,6 +95,11 @@ def snapshot_changes(
         .otherwise(same)
     )
     joined = stored.join(incoming, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+    joined = joined.join(last_closes(history, key), F.col(f"new.{key}") == F.col("_closed_key"), "left")
+    start = F.greatest(F.col(f"new.{updated_at}"), F.col("_closed"))
+    begun = F.col("new").withField("valid_from", start)
+    begun = begun.withField("scd_id", scd_id(F.col(f"new.{key}"), start))
+    joined = joined.withColumn("new", F.when(is_new & F.col("_closed").isNotNull(), begun).otherwise(F.col("new")))
     return joined.select(F.explode(rows).alias("row")).select("row.*")
 
 
@@ -151,13 +163,17 @@ def next_time(
     cut = versions.withColumn(part, piece(unit))
     starts = cut.groupBy(key, part).agg(F.min(time).alias(start))
     coarser = units[: units.index(unit)]
-    linked = next_time(starts, key, start, following, max_timeline, coarser).drop(start)
+    linked = next_time(starts, key, start, following, max_timeline, coarser)
+    its_key, its_part = f"_key_{unit}", f"_of_{unit}"
+    linked = linked.select(F.col(key).alias(its_key), F.col(part).alias(its_part), following)
+    # NULL keys and times have pieces of their own.
+    same = F.col(key).eqNullSafe(F.col(its_key)) & F.col(part).eqNullSafe(F.col(its_part))
     within = Window.partitionBy(key, part).orderBy(time)
     return (
         cut.withColumn(inside, F.lead(time).over(within))
-        .join(linked, [key, part], "left")
+        .join(linked, same, "left")
         .withColumn(alias, F.coalesce(inside, following))
-        .drop(part, inside, following)
+        .drop(part, inside, following, its_key, its_part)
     )
 
 

@@ -90,7 +90,7 @@ CTES: dict[str, str] = {
       n_name || ', ' || r_name AS address, '+' || CAST(n_nationkey AS VARCHAR) AS phone,
       'Manager ' || n_name AS manager_name, DATE '1994-01-01' + n_nationkey AS opened_date,
       {_stamps(_EPOCH, _EPOCH)}
-    FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 24""",
+    FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "s_employees": f"""
     SELECT s_suppkey AS employee_id, s_nationkey AS store_id,
       split_part(s_name, '#', 1) AS first_name, split_part(s_name, '#', 2) AS last_name,
@@ -124,7 +124,8 @@ CTES: dict[str, str] = {
     SELECT l_orderkey, MIN(l_suppkey) AS employee, MIN(l_shipdate) AS first_shipped
     FROM lineitem GROUP BY l_orderkey""",
     "e_orders": f"""
-    SELECT o_orderkey AS order_id, o_custkey AS customer_id, c_nationkey AS store_id,
+    SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+      CASE WHEN o_orderkey % 26 = 0 THEN 25 ELSE c_nationkey END AS store_id,
       employee AS employee_id,
       CASE WHEN o_orderkey % 10 = 0 THEN 'cancelled' WHEN o_orderstatus = 'O' THEN 'pending'
         WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderkey % 2 = 0 THEN 'paid'
@@ -165,7 +166,7 @@ CTES: dict[str, str] = {
       amount_paid = 0 OR (amount_paid < 0 AND status <> 'refunded') AS is_anomalous
     FROM e_payments""",
     "s_inventory_movements": f"""
-    SELECT event_id AS movement_id, user_id AS product_id, event_id % 25 AS store_id,
+    SELECT event_id AS movement_id, user_id AS product_id, event_id % 26 AS store_id,
       CASE event_type WHEN 'signup' THEN 'in' WHEN 'purchase' THEN 'out' ELSE event_type END
         AS movement_type,
       'event' AS reference_type, CAST(event_id AS VARCHAR) AS reference_id, props AS notes,
@@ -193,7 +194,9 @@ CTES: dict[str, str] = {
       CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
       CAST(day(d) AS INTEGER) AS day, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
       dayofweek(d) IN (0, 6) AS is_weekend
-    FROM generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2039-12-31', INTERVAL 1 DAY) g(d)""",
+    FROM (SELECT unnest(generate_series(date_trunc('day', MIN(t)), date_trunc('day', MAX(t)), INTERVAL 1 DAY)) AS d
+      FROM (SELECT unnest([ordered_at, paid_at, shipped_at, delivered_at]) AS t FROM s_orders
+        UNION ALL SELECT paid_at FROM s_payments UNION ALL SELECT moved_at FROM s_inventory_movements))""",
     # facts
     "f_sales": f"""
     SELECT {_key('i.order_item_id')} AS sales_key, i.order_item_id, i.order_id, dd.date_key,
@@ -452,10 +455,27 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT a.* REPLACE (CASE WHEN b.event_type = 'error' AND a.valid_to "
             "IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE a.valid_to END AS valid_to) "
             "FROM x_history2 a LEFT JOIN x_state2 b ON a.user_id = b.user_id "
-            "UNION ALL SELECT user_id, event_type, value, ts, ts, NULL FROM x_state2 "
+            "UNION ALL SELECT user_id, event_type, value, ts, "
+            "greatest(ts, TIMESTAMP '2024-02-01 00:00:00'), NULL FROM x_state2 "
             "WHERE event_type = 'error')",
             _HISTORY,
         ),
+        "scd2_bulk_cut": _out(
+            "(SELECT *, ts AS valid_from, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to "
+            "FROM (SELECT nullif(user_id % 97, 0) AS user_id, event_type, value, ts + to_seconds(event_id) AS ts "
+            "FROM events))",
+            _HISTORY,
+        ),
+        "snapshot_runs_stored": _out(
+            f"""(SELECT *, md5(CAST(user_id AS VARCHAR) || '|' || {_stamp("valid_from")}) AS scd_id FROM
+            (SELECT a.* REPLACE (CASE WHEN b.event_type = 'error' AND a.valid_to
+            IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE a.valid_to END AS valid_to)
+            FROM x_history2 a LEFT JOIN x_state2 b ON a.user_id = b.user_id
+            UNION ALL SELECT user_id, event_type, value, ts,
+            greatest(ts, TIMESTAMP '2024-02-01 00:00:00'), NULL FROM x_state2
+            WHERE event_type = 'error'))""",
+            _HISTORY + " scd_id",
+        ),
         # dimensions
         "dim_store": _out("d_store", "store_key " + _STAGED["stg_stores"].replace(" loaded_at:t", "")),
         "dim_employee": _out(
@@ -470,9 +490,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_date": _out(
             "d_date",
             "date_key full_date:s year quarter month month_name day day_of_week is_weekend",
-        )
-        + " WHERE full_date BETWEEN (SELECT CAST(MIN(o_orderdate) AS DATE) FROM orders)"
-        " AND (SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders)",
+        ),
         # facts
         "fct_sales": _out(
             "f_sales",
@@ -593,4 +611,12 @@ def oracle_sql() -> dict[str, str]:
     texts["dq_report"] = _suite()
     texts["ingest_pages"] = texts["stream_ingest"]
     texts["sync_and_load"] = texts["stream_ingest"]
+    texts["sync_twice"] = texts["stream_ingest"]
+    texts["json_odd_fields"] = (
+        "SELECT CAST(event_id AS VARCHAR) AS _lake_id, CASE WHEN event_type = 'click' THEN 'X' ELSE '' END "
+        "|| CAST(event_id AS VARCHAR) AS id, CASE WHEN event_type = 'error' THEN CAST(user_id AS VARCHAR) END "
+        "AS voided_by, "
+        + ", ".join(f"CASE WHEN user_id % 3 = {k} THEN event_type END AS k{k}" for k in range(3))
+        + " FROM events"
+    )
     return texts

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +12,12 @@ from pyspark.sql import functions as F
 from stockroom.functions.scalars import surrogate_key, timestamp_text
 from stockroom.operators.lookups import lookup
 
-# Days the default calendar covers; both ends belong to it.
-CALENDAR = (dt.date(1990, 1, 1), dt.date(2039, 12, 31))
+# The staged times that facts take their date keys from.
+FACT_TIMES = {
+    "orders": ("ordered_at", "paid_at", "shipped_at", "delivered_at"),
+    "payments": ("paid_at",),
+    "inventory_movements": ("moved_at",),
+}
 
 
 def _keyed(stg: DataFrame, key: str, natural: str, *columns) -> DataFrame:
@@ -86,15 +92,21 @@ def _calendar(days: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(spark: SparkSession, lo: dt.date = CALENDAR[0], hi: dt.date = CALENDAR[1]) -> DataFrame:
+def dim_date(spark: SparkSession, lo: dt.date, hi: dt.date) -> DataFrame:
     """One row per day. Built on ``range``, whose exact size lets Spark broadcast it unasked."""
     days = spark.range((hi - lo).days + 1)
     return _calendar(days.select(F.date_add(F.lit(lo), F.col("id").cast("int")).alias("full_date")))
 
 
-def dim_date_covering(times: DataFrame, column: str) -> DataFrame:
-    """The calendar from the first to the last day seen in a column."""
-    span = times.agg(F.min(F.to_date(column)).alias("lo"), F.max(F.to_date(column)).alias("hi"))
+def _span(rows: DataFrame, times: Sequence[str]) -> DataFrame:
+    days = F.array(*(F.to_date(t) for t in times))
+    return rows.agg(F.min(F.array_min(days)).alias("lo"), F.max(F.array_max(days)).alias("hi"))
+
+
+def dim_date_covering(sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """The calendar from the first to the last day seen in the given columns of the sources."""
+    spans = reduce(DataFrame.unionByName, (_span(rows, times) for rows, times in sources))
+    span = spans.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     day = F.expr("interval 1 day")
     return _calendar(span.select(F.explode(F.sequence("lo", "hi", day)).alias("full_date")))
 

@@ -37,8 +37,8 @@ _ROLES = {
 class Dims:
     """The dimensions facts are keyed by, narrowed to id and key.
 
-    Which of them fit a broadcast is measured once per instance. The calendar is
-    bounded by construction and broadcasts by itself.
+    Which of them fit a broadcast is measured once per instance. The calendar has a
+    row per day; AQE broadcasts it when it is as small as it usually is.
     """
 
     members: Mapping[str, DataFrame]

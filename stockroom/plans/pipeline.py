@@ -21,7 +21,7 @@ from stockroom.operators.checks import (
     run_checks,
 )
 from stockroom.operators.keyed import KeyedTable
-from stockroom.operators.scd2 import open_history, open_rows, snapshot_changes
+from stockroom.operators.scd2 import open_history, snapshot_changes
 from stockroom.plans import dims as D
 from stockroom.plans import facts
 from stockroom.plans.staging import stage_all
@@ -55,7 +55,12 @@ def snap_table(spark: SparkSession, path: str, key: str, buckets: int = 64) -> K
 
 
 def run_snapshot(
-    table: KeyedTable, source: DataFrame, key: str, as_of: dt.datetime, run_id: str
+    table: KeyedTable,
+    source: DataFrame,
+    key: str,
+    as_of: dt.datetime,
+    run_id: str,
+    updated_at: str = "updated_at",
 ) -> DataFrame:
     """Bring a history table up to date with its source and return it.
 
@@ -63,9 +68,9 @@ def run_snapshot(
     """
     history = table.read()
     if history is None:
-        changes = open_history(source, key)
+        changes = open_history(source, key, updated_at)
     else:
-        changes = snapshot_changes(open_rows(history), source, key, "updated_at", as_of)
+        changes = snapshot_changes(history, source, key, updated_at, as_of)
     table.merge(changes, run_id)
     return table.read()
 
@@ -75,17 +80,22 @@ def build_dims(
     stg: Mapping[str, DataFrame],
     customers: DataFrame,
     products: DataFrame,
-    calendar: tuple[dt.date, dt.date] = D.CALENDAR,
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, DataFrame]:
-    """All dimensions from staging and the two histories, lazily."""
+    """All dimensions from staging and the two histories, lazily.
+
+    Without a given ``calendar`` it covers every day a fact has.
+    """
     store = D.dim_store(stg["stg_stores"])
+    covered = [(stg[f"stg_{name}"], times) for name, times in D.FACT_TIMES.items()]
+    date = D.dim_date(spark, *calendar) if calendar else D.dim_date_covering(covered)
     return {
         "dim_store": store,
         "dim_employee": D.dim_employee(stg["stg_employees"], store),
         "dim_payment_method": D.dim_payment_method(stg["stg_payment_methods"]),
         "dim_customer": D.dim_customer(customers),
         "dim_product": D.dim_product(products),
-        "dim_date": D.dim_date(spark, *calendar),
+        "dim_date": date,
     }
 
 
@@ -137,6 +147,7 @@ def transform(
     run_id: str,
     buckets: int = 64,
     partition_facts: bool = False,
+    calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, DataFrame]:
     """Staging views, histories and marts from the raw tables. Returns every model."""
     stg = stage_all(raw)
@@ -157,7 +168,7 @@ def transform(
             ),
         },
     )
-    lazy = build_dims(spark, stg, histories["customers"], histories["products"])
+    lazy = build_dims(spark, stg, histories["customers"], histories["products"], calendar)
     dims = write_marts(spark, lazy, f"{root}/marts")
     built = write_marts(spark, build_facts(stg, dims, as_of), f"{root}/marts", partition_facts)
     return {**stg, **dims, **built}
@@ -190,7 +201,7 @@ def run(ctx: Context, fail_on_checks: bool = False) -> RunReport:
 
     root = f"{ctx.root}/warehouse"
     models = transform(
-        ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.buckets, ctx.partition_facts
+        ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.buckets, ctx.partition_facts, ctx.calendar
     )
     checks = collect_report(ctx.spark, run_checks(models, CHECKS))
     failed = {(r["model"], r["column"], r["test"]) for r in checks.filter("failures > 0").collect()}

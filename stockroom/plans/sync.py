@@ -18,9 +18,9 @@ from stockroom.operators.bounds import (
 )
 from stockroom.operators.flatten import flatten, split_keyed, to_payload, typed
 from stockroom.operators.keyed import KeyedTable
-from stockroom.sources.pages import read_pages
+from stockroom.sources.pages import page_files, read_pages
 from stockroom.sources.registry import EntitySpec
-from stockroom.sources.tables import write_mart
+from stockroom.sources.tables import read_mart
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,7 @@ class Context:
     buckets: int = 64
     parallel: int = 4
     partition_facts: bool = False
+    calendar: tuple[dt.date, dt.date] | None = None
 
     def lake(self, spec: EntitySpec) -> KeyedTable:
         return KeyedTable(
@@ -62,13 +63,17 @@ class Context:
             sort_by=[spec.cursor],
         )
 
+    def taken(self, spec: EntitySpec) -> str:
+        """Where the page files already read are listed."""
+        return f"{self.root}/lake/_taken/{spec.name}"
+
     @property
     def state(self) -> KeyedTable:
         return KeyedTable(
             self.spark,
             f"{self.root}/lake/_bounds",
             keys=["entity"],
-            order=["last_updated_at"],
+            order=["last_updated_at", "last_run_at"],
             buckets=1,
             keep_newest=True,
         )
@@ -80,29 +85,39 @@ def read_lake(
     since: dt.datetime | None = None,
     lookback: dt.timedelta = dt.timedelta(0),
 ) -> DataFrame | None:
-    """Lake rows, all or those updated after a bound; None before the first sync."""
+    """Lake rows, all or those updated after a bound or at no known time; None before the first sync."""
     rows = ctx.lake(spec).read()
-    return None if rows is None else newer_than(rows, "updated_at", since, lookback)
+    return None if rows is None else newer_than(rows, "updated_at", since, lookback, keep_timeless=True)
 
 
 def sync_entity(ctx: Context, spec: EntitySpec) -> bool:
     """Move newly landed records into the lake. False when there were none.
 
-    Pages are parsed once, into a per-run folder that the accepted and the
-    rejected rows are both read from.
+    Only page files that no earlier run has taken are read; a lookback reads all
+    of them again, since late records may lie in any. Files are marked as taken
+    after the merge, so a run that breaks off is simply repeated.
     """
-    bound = get_bound(ctx.state.read(), spec.name)
-    pages = read_pages(ctx.spark, ctx.landing, spec, ctx.multi_line)
-    parsed = write_mart(
-        to_payload(pages, spec), f"{ctx.root}/lake/_parsed/{spec.name}/run={ctx.run_id}"
+    taken = read_mart(ctx.spark, ctx.taken(spec))
+    landed = page_files(ctx.spark, ctx.landing, spec)
+    fresh = landed if taken is None else landed.join(taken, "path", "left_anti")
+    names = [r["path"] for r in fresh.collect()]
+    if not names and not ctx.lookback:
+        return False
+    files = None if ctx.lookback else names
+    keyed, rejected = split_keyed(
+        to_payload(read_pages(ctx.spark, ctx.landing, spec, ctx.multi_line, files), spec)
     )
-    keyed, rejected = split_keyed(parsed)
     rejected.write.mode("overwrite").parquet(
         f"{ctx.root}/lake/_rejected/{spec.name}/run={ctx.run_id}"
     )
-    batch = newer_than(keyed, "updated_at", bound, ctx.lookback)
-    loaded = batch.withColumn("loaded_at", bound_literal(ctx.as_of))
-    return ctx.lake(spec).merge(loaded, ctx.run_id)
+    bound = get_bound(ctx.state.read(), spec.name)
+    # A record without a time cannot be known to be old; the keyed merge absorbs repeats.
+    batch = newer_than(keyed, "updated_at", bound, ctx.lookback, keep_timeless=True)
+    merged = ctx.lake(spec).merge(batch.withColumn("loaded_at", bound_literal(ctx.as_of)), ctx.run_id)
+    if names:
+        marks = ctx.spark.createDataFrame([(n,) for n in names], "path string")
+        marks.coalesce(1).write.mode("append").parquet(ctx.taken(spec))
+    return merged
 
 
 def load_entity(ctx: Context, spec: EntitySpec) -> bool:

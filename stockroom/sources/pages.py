@@ -32,16 +32,25 @@ def entity_path(root: str, spec: EntitySpec) -> str:
     return f"{root.rstrip('/')}/{spec.endpoint}"
 
 
+def page_files(spark: SparkSession, root: str, spec: EntitySpec) -> DataFrame:
+    """Paths of an entity's page files; their contents are not read."""
+    return spark.read.format("binaryFile").load(entity_path(root, spec)).select("path")
+
+
 def read_pages(
-    spark: SparkSession, root: str, spec: EntitySpec, multi_line: bool = False
+    spark: SparkSession,
+    root: str,
+    spec: EntitySpec,
+    multi_line: bool = False,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """All records of an entity's pages as JSON text, one row each, read in parallel.
 
-    ``multi_line`` reads one pretty-printed page per file; the default of one
+    ``files`` limits the read to some of the pages. ``multi_line`` reads one pretty-printed page per file; the default of one
     page per line lets Spark split large files.
     """
     reader = spark.read.schema(ENVELOPE).options(**_page_options(multi_line))
-    return _records(reader.json(entity_path(root, spec)))
+    return _records(reader.json(entity_path(root, spec) if files is None else files))
 
 
 def stream_pages(
@@ -61,7 +70,7 @@ def stream_pages(
 
 
 def land_pages(
-    records: DataFrame, root: str, spec: EntitySpec, pages: int = 1
+    records: DataFrame, root: str, spec: EntitySpec, pages: int
 ) -> None:
     """Write records as ``pages`` envelopes, spread by the hash of the key.
 

@@ -146,3 +146,26 @@ def test_stored_history_keeps_segments_a_batch_does_not_reach(spark, frame, tmp_
     assert rows(table.read().filter("k = 'k'"), *SHOWN) == [
         ("k", "1", at(1), at(2)), ("k", "2", at(2), at(3)), ("k", "3", at(3), None),
     ]
+
+
+def test_long_timelines_keep_null_keys_and_times(frame):
+    rows_in = [(k, at(d)) for k in ("a", None) for d in range(1, 9)] + [("a", None), (None, None), ("b", None)]
+    feed = frame(rows_in, "k string, updated_at timestamp")
+    whole = scd2.history_from_versions(feed, "k")
+    for limit in (1, 2, 5):
+        cut = scd2.history_from_versions(feed, "k", max_timeline=limit)
+        assert rows(cut, "k", "valid_from", "valid_to") == rows(whole, "k", "valid_from", "valid_to")
+
+
+def test_a_member_back_at_its_old_time_opens_after_its_close(spark, frame, tmp_path):
+    table = snap_table(spark, str(tmp_path / "h"), "k", buckets=2)
+    full, without = [("a", "x", at(1)), ("b", "y", at(1))], [("b", "y", at(1))]
+    pure = None
+    for day, source in ((2, full), (3, without), (5, full), (6, without), (7, full)):
+        df = frame(source, "k string, v string, updated_at timestamp")
+        pure = scd2.snapshot(pure, df, "k", "updated_at", at(day))
+        run_snapshot(table, df, "k", at(day), f"r{day}")
+    want = [(at(1), at(3)), (at(3), at(6)), (at(6), None)]
+    for history in (pure, table.read()):
+        assert rows(history.filter("k = 'a'"), "valid_from", "valid_to") == want
+        assert history.select("scd_id").distinct().count() == history.count() == 4

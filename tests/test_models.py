@@ -254,3 +254,12 @@ def test_top_products_uses_a_bounded_sort(spark, star):
 def test_segments_count_customers_once(spark, star):
     got = analytics.customer_segments(sales(spark, star), star.members["customer"])
     assert rows(got) == [("vip", 1, Decimal("30.00"), 10.0)]
+
+
+def test_calendar_follows_the_facts(spark, frame):
+    times = [(at(1), None), (dt.datetime(1985, 3, 1), at(2)), (None, dt.datetime(2041, 7, 9))]
+    df = frame(times, "a timestamp, b timestamp")
+    days = dims.dim_date_covering([(df, ["a", "b"]), (df.limit(0), ["a"])])
+    first, last = days.agg(F.min("date_key"), F.max("date_key")).first()
+    assert (first, last) == (19850301, 20410709)
+    assert dims.dim_date_covering([(df.limit(0), ["a"])]).isEmpty()
