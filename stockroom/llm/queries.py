@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from . import chat, ctw, decontam, hyperminhash, packing, quality, secrets, token_count, token_file, toxicity
 from .common import remainder, stored, table, vocabulary
+from .sql import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +75,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_toxicity": op10_toxicity,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

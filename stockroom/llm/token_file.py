@@ -43,9 +43,9 @@ BLOCK, FOOTER = struct.Struct("<IIII"), struct.Struct("<QIII4s")
 class Settings:
     vocabulary: str  # a tokenizers file
     end: int = 0  # id that ends every document
-    block: int = 4096  # ids of a block
-    lanes: int = 1500  # blocks coded side by side, which bounds a task's memory
-    file_bytes: int = 16_000_000  # text of a file, about
+    block: int = 2048  # ids of a block
+    lanes: int = 2600  # blocks coded side by side, which bounds a task's memory
+    file_bytes: int = 12_000_000  # text of a file, about: as many blocks as there are lanes
 
 
 class Damaged(ValueError):
