@@ -30,6 +30,7 @@ from stockroom.session import configure, work_dir
 from stockroom.sources.adapter import LOADED_AT, RUN_AT, Tables
 from stockroom.sources.pages import land_pages, read_pages, stream_pages
 from stockroom.sources.registry import ENTITIES
+from stockroom.sources.tables import register_views
 from stockroom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -441,17 +442,37 @@ def _sync_and_load(m: Models) -> DataFrame:
     return ctx.warehouse(spec).read().select("id", "notes", "quantity", "moved_at")
 
 
-def _sync_twice(m: Models) -> DataFrame:
-    """Two daily runs: the second reads only the pages landed since the first."""
+def _two_runs(m: Models, repeat: bool = False) -> Context:
+    """Two daily runs: the second reads only the pages landed since the first.
+
+    ``repeat`` goes through each run twice under the same name.
+    """
     spec = ENTITIES["inventory_movements"]
     root, landing = work_dir(m.spark, "run"), None
     for run, part in enumerate((f"moved_at < '{HALF_TIME}'", f"moved_at >= '{HALF_TIME}'")):
         landing = _land_movements(m, part, landing)
-        ctx = Context(m.spark, landing, root, f"run-{run}", RUN_AT, buckets=8)
-        sync_entity(ctx, spec)
-        save_bounds(ctx, [spec])
-        load_entity(ctx, spec)
-    return ctx.warehouse(spec).read().select("id", "notes", "quantity", "moved_at")
+        as_of = RUN_AT - dt.timedelta(days=1 - run)
+        ctx = Context(m.spark, landing, root, f"run-{run}", as_of, buckets=8)
+        for _ in range(1 + repeat):
+            sync_entity(ctx, spec)
+            save_bounds(ctx, [spec])
+            load_entity(ctx, spec)
+    return ctx
+
+
+def _sync_twice(m: Models, repeat: bool = False) -> DataFrame:
+    stored = _two_runs(m, repeat).warehouse(ENTITIES["inventory_movements"]).read()
+    return stored.select("id", "notes", "quantity", "moved_at")
+
+
+def _bounds_two_runs(m: Models) -> DataFrame:
+    return _two_runs(m).state.read().select("entity", "last_updated_at", "last_run_at")
+
+
+def _staging_view(m: Models) -> DataFrame:
+    """A staging model as SQL users of the session find it."""
+    register_views({"stg_orders": m.stg("orders")})
+    return m.spark.table("stg_orders")
 
 
 def _stream_ingest(m: Models) -> DataFrame:
@@ -580,6 +601,9 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     "ingest_pages": _ingest_pages,
     "sync_and_load": _sync_and_load,
     "sync_twice": _sync_twice,
+    "sync_repeated": partial(_sync_twice, repeat=True),
+    "bounds_two_runs": _bounds_two_runs,
+    "staging_view": _staging_view,
     "stream_ingest": _stream_ingest,
     "stream_upsert": _stream_upsert,
     "stream_scd2": _stream_scd2,

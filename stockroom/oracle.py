@@ -612,6 +612,12 @@ def oracle_sql() -> dict[str, str]:
     texts["ingest_pages"] = texts["stream_ingest"]
     texts["sync_and_load"] = texts["stream_ingest"]
     texts["sync_twice"] = texts["stream_ingest"]
+    texts["sync_repeated"] = texts["stream_ingest"]
+    texts["staging_view"] = texts["stg_orders"]
+    texts["bounds_two_runs"] = (
+        f"SELECT 'inventory_movements' AS entity, {_stamp('MAX(ts)')} AS last_updated_at, "
+        "'2024-02-01 00:00:00.000000' AS last_run_at FROM events"
+    )
     texts["json_odd_fields"] = (
         "SELECT CAST(event_id AS VARCHAR) AS _lake_id, CASE WHEN event_type = 'click' THEN 'X' ELSE '' END "
         "|| CAST(event_id AS VARCHAR) AS id, CASE WHEN event_type = 'error' THEN CAST(user_id AS VARCHAR) END "
