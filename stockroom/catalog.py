@@ -30,7 +30,7 @@ from stockroom.session import configure, work_dir
 from stockroom.sources.adapter import LOADED_AT, RUN_AT, Tables
 from stockroom.sources.pages import land_pages, read_pages, stream_pages
 from stockroom.sources.registry import ENTITIES
-from stockroom.sources.tables import register_views
+from stockroom.sources.tables import register_views, write_mart
 from stockroom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -393,8 +393,9 @@ def _dq_unique(m: Models) -> DataFrame:
 
 def _dq_report(m: Models) -> DataFrame:
     """All checks over stored marts, as a run leaves them."""
-    raw = {name: m.tables.entity(name) for name in ENTITIES}
     root = work_dir(m.spark, "warehouse")
+    # Raw tables are stored ones in a run; here they are written once, not derived for each check.
+    raw = {name: write_mart(m.tables.entity(name), f"{root}/raw/{name}") for name in ENTITIES}
     models = pipeline.transform(m.spark, raw, root, RUN_AT, "run-1", buckets=8)
     return checks.collect_report(m.spark, checks.run_checks(models, CHECKS))
 

@@ -105,6 +105,21 @@ def relationships(
     return failures.select(*_result(model, column, "relationships", F.col("n")))
 
 
+def identity(df: DataFrame, column: str, model: str = "") -> DataFrame:
+    """:func:`not_null` and :func:`unique` of one column from a single count of its values."""
+    seen = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    found = seen.agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("repeated"),
+    )
+    tests = F.array(
+        F.struct(F.lit("not_null").alias("test"), F.col("nulls").alias("n")),
+        F.struct(F.lit("unique").alias("test"), F.col("repeated").alias("n")),
+    )
+    rows = found.select(F.explode(tests).alias("t"))
+    return rows.select(*_result(model, column, F.col("t.test"), F.col("t.n")))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(entity, row_count)`` of every table, in one job."""
     counts = [
@@ -128,18 +143,23 @@ def require_rows(tables: Mapping[str, DataFrame]) -> dict[str, int]:
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One report row per check.
 
-    All not-null checks of a model share a pass; every other check reads its own
+    A column that must be filled and unique is counted once for both. All other
+    not-null checks of a model share a pass; every other check reads its own
     column alone.
     """
     checks = list(checks)
+    tested = {(c.model, c.column, c.test) for c in checks}
+    both = {(m, c) for m, c, test in tested if test == "unique" and (m, c, "not_null") in tested}
     nullable: dict[str, list[str]] = {}
     for c in checks:
-        if c.test == "not_null":
+        if c.test == "not_null" and (c.model, c.column) not in both:
             nullable.setdefault(c.model, []).append(c.column)
     parts = [not_null(tables[m], columns, m) for m, columns in nullable.items()]
     for c in checks:
         df = tables[c.model]
-        if c.test == "unique":
+        if c.test == "unique" and (c.model, c.column) in both:
+            parts.append(identity(df, c.column, c.model))
+        elif c.test == "unique":
             parts.append(unique(df, c.column, c.model))
         elif c.test == "accepted_values":
             parts.append(accepted_values(df, c.column, c.values, c.model))
