@@ -23,8 +23,7 @@ without labelled rows of both classes every score is 0; extra columns are kept.
 
 from __future__ import annotations
 
-import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,16 +39,25 @@ START, END = b"\x01", b"\x02"
 
 @dataclass(frozen=True)
 class Settings:
-    order: int = 6  # bytes of an n-gram
+    order: int = 6  # bytes of an n-gram, at most 7: it is kept as a number
     discount: float = 0.75
     per_class: int = 4000  # labelled documents of each class to learn from, about
     telling: float = 3.0  # a word's log-likelihood ratio from which it counts in the mean
     threshold: float = 0.7
 
 
-def _grams(word: bytes, order: int) -> list[bytes]:
-    padded = START * (order - 1) + word + END
-    return [padded[i : i + order] for i in range(len(word) + 1)]
+def grams(tokens: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of the words as numbers, word by word, and where each word's begin."""
+    sizes = np.array([len(w) + 1 for w in tokens], np.int64)
+    pad = START * (order - 1)
+    flat = np.frombuffer(b"".join(pad + w + END for w in tokens), np.uint8).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    # A word's padding lies before it: its windows begin (order - 1) bytes further per word.
+    first = np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)) * (order - 1), sizes)
+    keys = np.zeros(len(first), np.int64)
+    for k in range(order):
+        keys = keys << 8 | flat[first + k]
+    return keys, starts
 
 
 def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
@@ -77,114 +85,117 @@ def gram_counts(rows: DataFrame, order: int) -> DataFrame:
             for toxic, text in zip(part.column("toxic").to_pylist(), texts, strict=True):
                 found[toxic].update(set(words(text)))
         for toxic, tokens in found.items():
-            grams: Counter[bytes] = Counter()
-            for word, n in tokens.items():
-                for g in _grams(word, order):
-                    grams[g] += n
-            if grams:
+            if tokens:
+                keys, starts = grams(list(tokens), order)
+                per_word = np.diff(starts, append=len(keys))
+                distinct, at = np.unique(keys, return_inverse=True)
+                n = np.bincount(at, np.repeat(np.fromiter(tokens.values(), np.int64, len(tokens)), per_word))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([toxic] * len(grams), pa.int32()),
-                        pa.array(list(grams), pa.binary()),
-                        pa.array(list(grams.values()), pa.int64()),
-                    ],
+                    [pa.array(np.full(len(distinct), toxic, np.int32)), pa.array(distinct), pa.array(n.astype(np.int64))],
                     names=["toxic", "gram", "n"],
                 )
 
-    found = rows.select("toxic", "text").mapInArrow(count, "toxic int, gram binary, n long")
+    found = rows.select("toxic", "text").mapInArrow(count, "toxic int, gram long, n long")
     return found.groupBy("toxic", "gram").agg(F.sum("n").alias("n"))
 
 
-def shared_backoff(grams: list[bytes], order: int, discount: float) -> dict[bytes, float]:
+def _by_context(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, each key's context, and per context the sum and the number of its counts."""
+    contexts, at = np.unique(keys >> 8, return_inverse=True)
+    return contexts, at, np.bincount(at, n, len(contexts)), np.bincount(at, n > 0, len(contexts))
+
+
+def shared_backoff(keys: np.ndarray, order: int, discount: float) -> np.ndarray:
     """Kneser-Ney probability of each n-gram's last byte after all but its first byte.
 
-    ``grams`` are the distinct n-grams of both classes. Every lower order counts in how
+    ``keys`` are the distinct n-grams of both classes. Every lower order counts in how
     many distinct ways an n-gram continues to the left.
     """
-    level: set[bytes] = set(grams)
-    counts: dict[int, dict[bytes, int]] = {}
+    levels, level = {}, keys
     for size in range(order - 1, 0, -1):
-        here: dict[bytes, int] = defaultdict(int)
-        for g in level:
-            here[g[1:]] += 1
-        counts[size] = here
-        level = set(here)
-    prob: dict[bytes, float] = {b"": 1 / 257}
+        level, n = np.unique(level & ((1 << 8 * size) - 1), return_counts=True)
+        levels[size] = level, n
+    below, prob = np.zeros(1, np.int64), np.array([1 / 257])
     for size in range(1, order):
-        total: dict[bytes, int] = defaultdict(int)
-        kinds: dict[bytes, int] = defaultdict(int)
-        for g, n in counts[size].items():
-            total[g[:-1]] += n
-            kinds[g[:-1]] += 1
-        base = prob
-        prob = {
-            g: max(n - discount, 0) / total[g[:-1]]
-            + discount * kinds[g[:-1]] / total[g[:-1]] * base[g[1:]]
-            for g, n in counts[size].items()
-        }
-    return prob
-
-
-def compare(counts: dict[int, dict[bytes, int]], order: int, discount: float) -> dict[bytes, float]:
-    """Log-likelihood ratio (toxic over ordinary) of each n-gram, and of each context for unseen next bytes.
+        level, n = levels[size]
+        _, at, total, kinds = _by_context(level, n)
+        base = prob[np.searchsorted(below, level & ((1 << 8 * (size - 1)) - 1))]
+        prob = np.maximum(n - discount, 0) / total[at] + discount * kinds[at] / total[at] * base
+        below = level
+    return prob[np.searchsorted(below, keys & ((1 << 8 * (order - 1)) - 1))]
+
+
+@dataclass(frozen=True)
+class Ratios:
+    """Log-likelihood ratio (toxic over ordinary) of n-grams, and of contexts before an unseen byte."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    contexts: np.ndarray
+    unseen: np.ndarray
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        def pick(names: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = np.minimum(np.searchsorted(names, wanted), max(len(names) - 1, 0))
+            known = names[at] == wanted if len(names) else np.zeros(len(wanted), bool)
+            return known, np.where(known, values[at], 0.0) if len(names) else np.zeros(len(wanted))
+
+        known, value = pick(self.keys, self.values, keys)
+        return np.where(known, value, pick(self.contexts, self.unseen, keys >> 8)[1])
+
+
+def compare(counts: tuple[tuple[np.ndarray, np.ndarray], ...], order: int, discount: float) -> Ratios:
+    """Ratios from the (keys, counts) of the ordinary and the toxic class.
 
     The shared backoff of an unseen byte is the same for both classes and cancels, so
     only the ratio of the backoff masses of its context remains.
     """
-    pooled = list(set(counts[0]) | set(counts[1]))
+    pooled = np.union1d(counts[0][0], counts[1][0])
     shared = shared_backoff(pooled, order, discount)
-    total = {c: defaultdict(int) for c in (0, 1)}
-    kinds = {c: defaultdict(int) for c in (0, 1)}
-    for c in (0, 1):
-        for g, n in counts[c].items():
-            total[c][g[:-1]] += n
-            kinds[c][g[:-1]] += 1
-
-    def mass(c: int, context: bytes) -> float:
-        return discount * kinds[c][context] / total[c][context] if context in total[c] else 1.0
-
-    def prob(c: int, g: bytes) -> float:
-        context = g[:-1]
-        own = max(counts[c].get(g, 0) - discount, 0) / total[c][context] if context in total[c] else 0.0
-        return own + mass(c, context) * shared[g[1:]]
-
-    ratio = {g: math.log(prob(1, g) / prob(0, g)) for g in pooled}
-    contexts = {g[:-1] for g in pooled}
-    return ratio | {x: math.log(mass(1, x) / mass(0, x)) for x in contexts}
+    prob, mass, contexts = [], [], None
+    for keys, n in counts:
+        own = np.zeros(len(pooled))
+        own[np.searchsorted(pooled, keys)] = n
+        contexts, at, total, kinds = _by_context(pooled, own)
+        known = total > 0
+        left = np.where(known, discount * kinds / np.maximum(total, 1), 1.0)
+        prob.append(np.maximum(own - discount, 0) / np.maximum(total, 1)[at] + left[at] * shared)
+        mass.append(left)
+    return Ratios(pooled, np.log(prob[1] / prob[0]), contexts, np.log(mass[1] / mass[0]))
 
 
 class WordScores(dict):
-    """Log-likelihood ratio of a word, computed once for each word a worker meets."""
+    """Log-likelihood ratios of words, computed once for each word a worker meets."""
 
-    def __init__(self, ratio: dict[bytes, float], order: int):
+    def __init__(self, ratios: Ratios, order: int):
         super().__init__()
-        self.ratio, self.order = ratio, order
+        self.ratios, self.order = ratios, order
 
-    def __missing__(self, word: bytes) -> float:
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Score all words of some texts that are not yet known."""
         if len(self) >= WORDS_KEPT:
             self.clear()
-        get = self.ratio.get
-        value = 0.0
-        for g in _grams(word, self.order):
-            r = get(g)
-            value += get(g[:-1], 0.0) if r is None else r
-        self[word] = value
-        return value
+        unknown = list({w for tokens in texts for w in tokens if w not in self})
+        for k in range(0, len(unknown), 50_000):
+            some = unknown[k : k + 50_000]
+            keys, starts = grams(some, self.order)
+            self.update(zip(some, np.add.reduceat(self.ratios.of(keys), starts).tolist(), strict=True))
 
 
 def evidence(
-    docs: DataFrame, ratio: dict[bytes, float], settings: Settings, into: tuple[str, str, str], drop_text: bool = True
+    docs: DataFrame, ratios: Ratios, settings: Settings, into: tuple[str, str, str], drop_text: bool = True
 ) -> DataFrame:
     """``docs`` and three columns more: mean telling ratio, highest ratio, number of words."""
-    model = docs.sparkSession.sparkContext.broadcast(ratio)
+    model = docs.sparkSession.sparkContext.broadcast(ratios)
     order, telling = settings.order, settings.telling
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = WordScores(model.value, order)
         for part, texts in pieces(batches):
             found = np.zeros((3, len(texts)))
-            for k, text in enumerate(texts):
-                tokens = words(text)
+            cut = [words(t) for t in texts]
+            scores.learn(cut)
+            for k, tokens in enumerate(cut):
                 if tokens:
                     each = np.fromiter(map(scores.__getitem__, tokens), float, len(tokens))
                     found[:, k] = each[np.abs(each) >= telling].sum() / len(each), each.max(), len(each)
@@ -215,16 +226,24 @@ def calibrate(toxic: np.ndarray, x: np.ndarray) -> tuple[float, ...]:
 
 @dataclass(frozen=True)
 class Model:
-    ratio: dict[bytes, float]
+    ratios: Ratios
     weights: tuple[float, ...] | None  # of 1, mean * sqrt(words), highest
     settings: Settings
 
 
-def _collected(rows: DataFrame, settings: Settings) -> dict[int, dict[bytes, int]]:
-    counts: dict[int, dict[bytes, int]] = {0: {}, 1: {}}
-    for r in gram_counts(rows, settings.order).toPandas().itertuples(index=False):
-        counts[r.toxic][bytes(r.gram)] = int(r.n)
-    return counts
+def _ratios(rows: DataFrame, settings: Settings) -> Ratios | None:
+    """What the rows' classes know; None unless there are both. Counts come to the driver as numbers."""
+    counts = gram_counts(rows, settings.order).toArrow()
+    toxic = counts.column("toxic").to_numpy()
+    classes = []
+    for c in (0, 1):
+        mine = counts.filter(pa.array(toxic == c))
+        keys, n = mine.column("gram").to_numpy(), mine.column("n").to_numpy()
+        order = np.argsort(keys)
+        classes.append((keys[order], n[order]))
+    if not all(len(keys) for keys, _ in classes):
+        return None
+    return compare(tuple(classes), settings.order, settings.discount)
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
@@ -234,19 +253,23 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     thirds; the final counts are those of the whole sample.
     """
     rows = stored(sample(docs, labels, settings), "toxic_sample")
-    counts = _collected(rows, settings)
-    if not (counts[0] and counts[1]):
-        return Model({}, None, settings)
-    ratio = compare(counts, settings.order, settings.discount)
-    part = _collected(rows.filter("fold = 0"), settings)
+    weights = (-8.0, 1.0, 1.0)
     names = ("mean", "highest", "size")
     held = rows.filter("fold = 1").select("toxic", "text")
-    if not (part[0] and part[1]) or held.select("toxic").distinct().count() < 2:
-        return Model(ratio, (-8.0, 1.0, 1.0), settings)
-    seen = evidence(held, compare(part, settings.order, settings.discount), settings, names).toPandas()
-    mean, highest, size = (seen[c].to_numpy(float) for c in names)
-    x = np.stack([np.ones_like(mean), mean * np.sqrt(size), highest], 1)
-    return Model(ratio, calibrate(seen["toxic"].to_numpy(float), x), settings)
+    part = _ratios(rows.filter("fold = 0"), settings)
+    if part is not None and held.select("toxic").distinct().count() == 2:
+        seen = evidence(held, part, settings, names).toPandas()
+        mean, highest, size = (seen[c].to_numpy(float) for c in names)
+        x = np.stack([np.ones_like(mean), mean * np.sqrt(size), highest], 1)
+        bias, *slopes = calibrate(seen["toxic"].to_numpy(float), x)
+        # The sample has as many of both classes; the curve is moved to how often each is labelled.
+        share = {r.toxic: r.n for r in labels.filter("toxic IN (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        weights = (bias + float(np.log(share[1] / share[0])), *slopes)
+    ratios = _ratios(rows, settings)
+    empty = np.empty(0, np.int64)
+    if ratios is None:
+        return Model(Ratios(empty, empty, empty, empty), None, settings)
+    return Model(ratios, weights, settings)
 
 
 def scored(
@@ -258,7 +281,7 @@ def scored(
         return plain.withColumns({score: F.lit(0.0), predicted: F.lit(0)})
     into = tuple(fresh(docs, c) for c in ("mean_ratio", "highest_ratio", "word_count"))
     bias, by_mean, by_highest = model.weights
-    df = evidence(docs, model.ratio, model.settings, into, drop_text)
+    df = evidence(docs, model.ratios, model.settings, into, drop_text)
     z = F.lit(bias) + F.col(into[0]) * F.sqrt(into[2]) * by_mean + F.col(into[1]) * by_highest
     df = df.withColumn(score, 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z)))))
     return df.withColumn(predicted, (F.col(score) >= model.settings.threshold).cast("int")).drop(*into)

@@ -1,7 +1,9 @@
 """Toxicity: the smoothing by hand, held-out accuracy, and odd inputs."""
 
 import math
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,27 +13,56 @@ from stockroom.llm.common import remainder
 FOLDER = "/root/testdata/sf0.1"
 
 
-def test_shared_backoff_sums_to_one():
-    grams = [g for w in (b"abc", b"abd", b"bad", b"aaa") for g in toxicity._grams(w, 3)]
-    shared = toxicity.shared_backoff(list(set(grams)), 3, 0.75)
-    for context in {g[:-1] for g in shared}:
-        assert 0 < sum(p for g, p in shared.items() if g[:-1] == context) <= 1 + 1e-9
+def plain(word, order):
+    padded = toxicity.START * (order - 1) + word + toxicity.END
+    return [padded[i : i + order] for i in range(len(word) + 1)]
+
+
+def test_grams():
+    tokens = [b"ab", b"c", "é".encode(), b"abcdefgh"]
+    keys, starts = toxicity.grams(tokens, 6)
+    want = [[int.from_bytes(g, "big") for g in plain(w, 6)] for w in tokens]
+    assert [list(map(int, k)) for k in np.split(keys, starts[1:])] == want
+
+
+def by_definition(grams, order, discount):
+    """Interpolated Kneser-Ney below the top order, from its formula."""
+    level, levels = set(grams), {}
+    for size in range(order - 1, 0, -1):
+        levels[size] = Counter(g[1:] for g in level)
+        level = set(levels[size])
+
+    def prob(g):
+        if not g:
+            return 1 / 257
+        followers = {h: n for h, n in levels[len(g)].items() if h[:-1] == g[:-1]}
+        total = sum(followers.values())
+        return max(followers.get(g, 0) - discount, 0) / total + discount * len(followers) / total * prob(g[1:])
+
+    return prob
+
+
+def test_shared_backoff_follows_the_formula():
+    grams = {g for w in (b"abc", b"abd", b"bad", b"aaa", b"") for g in plain(w, 4)}
+    keys = np.array(sorted(int.from_bytes(g, "big") for g in grams))
+    prob = by_definition(grams, 4, 0.75)
+    want = [prob(int(k).to_bytes(4, "big")[1:]) for k in keys]
+    assert np.allclose(toxicity.shared_backoff(keys, 4, 0.75), want)
 
 
 def test_ratio_prefers_the_class_that_knows_a_word():
-    counts = {c: {} for c in (0, 1)}
-    for c, listed in ((0, [b"good", b"day", b"sun"]), (1, [b"scum", b"day", b"sun"])):
-        for w in listed:
-            for g in toxicity._grams(w, 4):
-                counts[c][g] = counts[c].get(g, 0) + 9
-    scores = toxicity.WordScores(toxicity.compare(counts, 4, 0.75), 4)
+    counts = []
+    for listed in ([b"good", b"day", b"sun"], [b"scum", b"day", b"sun"]):
+        found = Counter(g for w in listed for g in toxicity.grams([w], 4)[0].tolist())
+        keys = np.array(sorted(found))
+        counts.append((keys, np.array([9 * found[k] for k in keys])))
+    scores = toxicity.WordScores(toxicity.compare(tuple(counts), 4, 0.75), 4)
+    scores.learn([[b"scum", b"sun"], [b"good", b"zzz"]])
     assert scores[b"scum"] > 2 > 0.2 > abs(scores[b"sun"]) and scores[b"good"] < -2
     assert abs(scores[b"zzz"]) < math.inf
 
 
 def test_calibration_separates():
-    import numpy as np
-
     y = np.array([0.0, 0, 0, 1, 1, 1])
     x = np.stack([np.ones(6), np.array([0.0, 1, 2, 5, 6, 7])], 1)
     w = toxicity.calibrate(y, x)
