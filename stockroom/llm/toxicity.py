@@ -1,20 +1,21 @@
 """Toxicity by two class-conditional Kneser-Ney models over the bytes of words.
 
-Each class (toxic, ordinary) has its own counts of byte n-grams inside words; both back
-off to one shared Kneser-Ney distribution, learned from the pooled counts, so a rare
-expression is judged by what the classes know of its beginning and by common backoff
-below. A document counts a word once, so a long text does not set the model.
-
-A text's evidence is the difference of the classes' log-likelihoods per word, twice: the
-mean over the whole text, normalised by its length, of words that tell the classes apart
-(:attr:`Settings.telling`), and the single most toxic expression, without which a few
-words would vanish in a long text. A logistic curve over both, fitted on labelled rows
-that the counts have not seen, gives the score.
-
-The models learn from a bounded sample of the labelled rows: equally many of both
-classes, up to :attr:`Settings.per_class` documents each (expected size, chosen by a hash
-of the id), so the model and its broadcast do not grow with the corpus. Every document
-is scored, whole, by tasks that keep only the model and a table of word scores.
+Each class (toxic, ordinary) has its own counts of byte n-grams inside words, repeats
+included; both back off to one shared Kneser-Ney distribution of the pooled counts, which
+also weighs :attr:`Settings.prior` occurrences of a context, so that a rare expression is
+judged by what both classes know and one occurrence does not set a ratio.
+
+A text's evidence is the difference of the classes' log-likelihoods per word, normalised
+by its length over all of its words. Three inputs stand beside it, as a few words vanish
+in a long text: the same for words that tell the classes apart (:attr:`Settings.telling`),
+the ratio of a text of which a share of the words is toxic (:attr:`Settings.share`), and
+the single most toxic expression. A logistic curve over all four, fitted on labelled rows
+that the counts have not seen, gives the score, at equal odds of the two classes.
+
+The models learn from a bounded sample of the labelled rows: up to
+:attr:`Settings.per_class` documents of each class (expected size, chosen by a hash of
+the id), so the model and its broadcast do not grow with the corpus. Every document is
+scored, whole, by tasks that keep only the model and a table of word scores.
 
 Defined results: a NULL or empty text gets the score of a text without evidence; rows
 are scored one by one, so repeated rows get equal scores; a NULL id is nobody's label;
@@ -42,7 +43,9 @@ class Settings:
     order: int = 6  # bytes of an n-gram, at most 7: it is kept as a number
     discount: float = 0.75
     per_class: int = 4000  # labelled documents of each class to learn from, about
-    telling: float = 3.0  # a word's log-likelihood ratio from which it counts in the mean
+    telling: float = 3.0  # a word's log-likelihood ratio from which it counts in the second mean
+    prior: float = 50.0  # occurrences of a context that the shared distribution stands for
+    share: float = 0.02  # of a toxic text's words that are toxic, for the third mean
     threshold: float = 0.7
 
 
@@ -64,11 +67,10 @@ def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
     """(toxic, fold, text) of a bounded number of labelled documents; fold 0 counts, fold 1 calibrates."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().filter("toxic IN (0, 1)")
     sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    most = min(settings.per_class, *(sizes.get(c, 0) for c in (0, 1)))
     place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
     for toxic, n in sizes.items():
-        share = F.when(F.col("toxic") == toxic, F.lit(most / n)).otherwise(share)
+        share = F.when(F.col("toxic") == toxic, F.lit(min(settings.per_class, n) / n)).otherwise(share)
     fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(29)), F.lit(3)) == 0
     chosen = known.filter(place < share).select("doc_id", "toxic", fold.cast("int").alias("fold"))
     # At most about 2 * per_class rows of numbers, whatever the input.
@@ -77,13 +79,13 @@ def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
 
 
 def gram_counts(rows: DataFrame, order: int) -> DataFrame:
-    """(toxic, gram, n): in how many words of how many documents, combined in each task first."""
+    """(toxic, gram, n): how often, combined in each task first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = {0: Counter(), 1: Counter()}
         for part, texts in pieces(batches):
             for toxic, text in zip(part.column("toxic").to_pylist(), texts, strict=True):
-                found[toxic].update(set(words(text)))
+                found[toxic].update(words(text))
         for toxic, tokens in found.items():
             if tokens:
                 keys, starts = grams(list(tokens), order)
@@ -127,41 +129,38 @@ def shared_backoff(keys: np.ndarray, order: int, discount: float) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Ratios:
-    """Log-likelihood ratio (toxic over ordinary) of n-grams, and of contexts before an unseen byte."""
+    """Log-likelihood ratio (toxic over ordinary) of n-grams; none that neither class has seen tells them apart."""
 
     keys: np.ndarray
     values: np.ndarray
-    contexts: np.ndarray
-    unseen: np.ndarray
 
     def of(self, keys: np.ndarray) -> np.ndarray:
-        def pick(names: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            at = np.minimum(np.searchsorted(names, wanted), max(len(names) - 1, 0))
-            known = names[at] == wanted if len(names) else np.zeros(len(wanted), bool)
-            return known, np.where(known, values[at], 0.0) if len(names) else np.zeros(len(wanted))
+        if not len(self.keys):
+            return np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[at], 0.0)
 
-        known, value = pick(self.keys, self.values, keys)
-        return np.where(known, value, pick(self.contexts, self.unseen, keys >> 8)[1])
 
-
-def compare(counts: tuple[tuple[np.ndarray, np.ndarray], ...], order: int, discount: float) -> Ratios:
-    """Ratios from the (keys, counts) of the ordinary and the toxic class.
-
-    The shared backoff of an unseen byte is the same for both classes and cancels, so
-    only the ratio of the backoff masses of its context remains.
-    """
+def compare(
+    counts: tuple[tuple[np.ndarray, np.ndarray], ...], order: int, discount: float, prior: float = 0.0
+) -> Ratios:
+    """Ratios from the (keys, counts) of the ordinary and the toxic class."""
     pooled = np.union1d(counts[0][0], counts[1][0])
-    shared = shared_backoff(pooled, order, discount)
-    prob, mass, contexts = [], [], None
+    owns = []
     for keys, n in counts:
         own = np.zeros(len(pooled))
         own[np.searchsorted(pooled, keys)] = n
-        contexts, at, total, kinds = _by_context(pooled, own)
-        known = total > 0
-        left = np.where(known, discount * kinds / np.maximum(total, 1), 1.0)
-        prob.append(np.maximum(own - discount, 0) / np.maximum(total, 1)[at] + left[at] * shared)
-        mass.append(left)
-    return Ratios(pooled, np.log(prob[1] / prob[0]), contexts, np.log(mass[1] / mass[0]))
+        owns.append(own)
+    _, at, total, kinds = _by_context(pooled, sum(owns))
+    shared = np.maximum(sum(owns) - discount, 0) / total[at]
+    shared += (discount * kinds / total)[at] * shared_backoff(pooled, order, discount)
+    prob = []
+    for own in owns:
+        _, at, total, kinds = _by_context(pooled, own)
+        size, left = total + prior, discount * kinds + prior
+        size, left = np.where(size > 0, size, 1.0), np.where(size > 0, left, 1.0)
+        prob.append((np.maximum(own - discount, 0) + left[at] * shared) / size[at])
+    return Ratios(pooled, np.log(prob[1] / prob[0]))
 
 
 class WordScores(dict):
@@ -182,23 +181,32 @@ class WordScores(dict):
             self.update(zip(some, np.add.reduceat(self.ratios.of(keys), starts).tolist(), strict=True))
 
 
+INPUTS = ("mean_ratio", "telling_ratio", "mixed_ratio", "highest_ratio")
+
+
 def evidence(
-    docs: DataFrame, ratios: Ratios, settings: Settings, into: tuple[str, str, str], drop_text: bool = True
+    docs: DataFrame, ratios: Ratios, settings: Settings, into: tuple[str, ...], drop_text: bool = True
 ) -> DataFrame:
-    """``docs`` and three columns more: mean telling ratio, highest ratio, number of words."""
+    """``docs`` and a column more for each of :data:`INPUTS`.
+
+    The means are over all words, times the square root of their number: in units of the
+    deviation that a text of that length has by chance.
+    """
     model = docs.sparkSession.sparkContext.broadcast(ratios)
-    order, telling = settings.order, settings.telling
+    order, telling, share = settings.order, settings.telling, settings.share
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = WordScores(model.value, order)
         for part, texts in pieces(batches):
-            found = np.zeros((3, len(texts)))
+            found = np.zeros((len(INPUTS), len(texts)))
             cut = [words(t) for t in texts]
             scores.learn(cut)
             for k, tokens in enumerate(cut):
                 if tokens:
                     each = np.fromiter(map(scores.__getitem__, tokens), float, len(tokens))
-                    found[:, k] = each[np.abs(each) >= telling].sum() / len(each), each.max(), len(each)
+                    mixed = np.log1p(share * np.expm1(np.minimum(each, 500.0)))
+                    sums = each.sum(), each[np.abs(each) >= telling].sum(), mixed.sum()
+                    found[:, k] = *(x / len(each) ** 0.5 for x in sums), each.max()
             keep = [k for k, name in enumerate(part.schema.names) if not (drop_text and name == "text")]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(k) for k in keep), *map(pa.array, found)],
@@ -227,7 +235,7 @@ def calibrate(toxic: np.ndarray, x: np.ndarray) -> tuple[float, ...]:
 @dataclass(frozen=True)
 class Model:
     ratios: Ratios
-    weights: tuple[float, ...] | None  # of 1, mean * sqrt(words), highest
+    weights: tuple[float, ...] | None  # of 1 and of INPUTS
     settings: Settings
 
 
@@ -243,7 +251,7 @@ def _ratios(rows: DataFrame, settings: Settings) -> Ratios | None:
         classes.append((keys[order], n[order]))
     if not all(len(keys) for keys, _ in classes):
         return None
-    return compare(tuple(classes), settings.order, settings.discount)
+    return compare(tuple(classes), settings.order, settings.discount, settings.prior)
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
@@ -253,22 +261,19 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     thirds; the final counts are those of the whole sample.
     """
     rows = stored(sample(docs, labels, settings), "toxic_sample")
-    weights = (-8.0, 1.0, 1.0)
-    names = ("mean", "highest", "size")
+    weights = (-8.0, 1.0, 0.0, 0.0, 1.0)
     held = rows.filter("fold = 1").select("toxic", "text")
     part = _ratios(rows.filter("fold = 0"), settings)
     if part is not None and held.select("toxic").distinct().count() == 2:
-        seen = evidence(held, part, settings, names).toPandas()
-        mean, highest, size = (seen[c].to_numpy(float) for c in names)
-        x = np.stack([np.ones_like(mean), mean * np.sqrt(size), highest], 1)
-        bias, *slopes = calibrate(seen["toxic"].to_numpy(float), x)
-        # The sample has as many of both classes; the curve is moved to how often each is labelled.
-        share = {r.toxic: r.n for r in labels.filter("toxic IN (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        weights = (bias + float(np.log(share[1] / share[0])), *slopes)
+        seen = evidence(held, part, settings, INPUTS).toPandas()
+        toxic = seen["toxic"].to_numpy(float)
+        bias, *slopes = calibrate(toxic, np.column_stack([np.ones(len(seen)), seen[list(INPUTS)].to_numpy(float)]))
+        # Toxic documents are few: at their own odds most would stay below the threshold.
+        weights = (bias + float(np.log((1 - toxic).sum() / toxic.sum())), *slopes)
     ratios = _ratios(rows, settings)
     empty = np.empty(0, np.int64)
     if ratios is None:
-        return Model(Ratios(empty, empty, empty, empty), None, settings)
+        return Model(Ratios(empty, np.empty(0)), None, settings)
     return Model(ratios, weights, settings)
 
 
@@ -279,10 +284,10 @@ def scored(
     if model.weights is None:
         plain = docs.drop("text") if drop_text else docs
         return plain.withColumns({score: F.lit(0.0), predicted: F.lit(0)})
-    into = tuple(fresh(docs, c) for c in ("mean_ratio", "highest_ratio", "word_count"))
-    bias, by_mean, by_highest = model.weights
+    into = tuple(fresh(docs, c) for c in INPUTS)
+    bias, *slopes = model.weights
     df = evidence(docs, model.ratios, model.settings, into, drop_text)
-    z = F.lit(bias) + F.col(into[0]) * F.sqrt(into[2]) * by_mean + F.col(into[1]) * by_highest
+    z = sum((F.col(c) * w for c, w in zip(into, slopes, strict=True)), F.lit(bias))
     df = df.withColumn(score, 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), z)))))
     return df.withColumn(predicted, (F.col(score) >= model.settings.threshold).cast("int")).drop(*into)
 

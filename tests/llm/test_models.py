@@ -83,6 +83,22 @@ def test_held_out_accuracy(spark):
     assert by[1, 1] / (by[1, 1] + by[1, 0]) > 0.5 and by[0, 1] / (by[0, 1] + by[0, 0]) < 0.05
 
 
+def test_held_out_toxic_texts_are_found_in_every_language(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    rated = toxicity.digest(docs, labels).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    by = rated.filter("held_out AND toxic = 1").groupBy("lang").agg(F.sum("predicted").alias("found"), F.count("*").alias("n"))
+    found = {r.lang: (r.found, r.n) for r in by.collect()}
+    print("found", found, "false", rated.filter("held_out AND toxic = 0").agg(F.sum("predicted"), F.count("*")).first())
+    assert all(2 * found[lang][0] > found[lang][1] for lang in ("de", "en", "fr"))
+    assert found["es"][0] and sum(f for f, _ in found.values()) > 0.75 * sum(n for _, n in found.values())
+
+
+def test_repeats_count(spark):
+    rows = spark.createDataFrame([(1, "ab ab ab"), (1, "ab"), (0, "ab")], "toxic int, text string")
+    assert {(r.toxic, r.n) for r in toxicity.gram_counts(rows, 4).collect()} == {(1, 4), (0, 1)}
+
+
 @pytest.fixture(scope="module")
 def small(spark):
     rows = [(k, ("scum idiot " if k % 2 else "sun day ") + f"n{k} the cat sat on a mat " * 3) for k in range(60)]
