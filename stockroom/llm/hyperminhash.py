@@ -7,7 +7,8 @@
 3. Banding: registers of a band make a key. Every node of a key's bucket is compared
    with the bucket's smallest node, which is linear in the rows however large the bucket.
 4. A pair is estimated from its registers (corrected for registers that collide by
-   chance) and, above a slack bound, confirmed on the full shingle sets.
+   chance) and, above a slack bound, confirmed on the full shingle sets. Small sets fill
+   few buckets, so their estimate says little: they are confirmed without it.
 5. Buckets that the links so far leave in several components still owe comparisons:
    their members are compared across components, in blocks inside tasks, by the same
    estimate and confirmation, and a task passes on only links that join what was apart.
@@ -45,6 +46,7 @@ class Settings:
     rows: int = 6
     mantissa: int = 10  # bits beside the leading-zero count
     slack: float = 0.15  # how far an estimate may fall short before a pair is given up unconfirmed
+    few: int = 64  # shingles below which registers are mostly borrowed: such pairs are confirmed without an estimate
     block: int = 2048  # members of a bucket compared at once
 
     @property
@@ -191,7 +193,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame
             good = np.zeros(batch.num_rows, bool)
             for i in np.flatnonzero(hopeful):
                 x, y = (np.frombuffer(r[int(i)].as_py(), np.uint16) for r in (ra, rb))
-                if estimate((x == y).mean(), n[i], m[i], settings) < settings.percent / 100 - settings.slack:
+                guess = estimate((x == y).mean(), n[i], m[i], settings)
+                if small[i] >= settings.few and guess < settings.percent / 100 - settings.slack:
                     continue
                 x, y = (np.frombuffer(h[int(i)].as_py(), np.uint64) for h in (ha, hb))
                 both = len(np.intersect1d(x, y, assume_unique=True))
@@ -247,7 +250,8 @@ def _across(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
                 near = near[near > i]
             if not len(near):
                 continue
-            near = near[estimate((regs[near] == regs[i]).mean(1), n[near], n[i], settings) >= least]
+            guess = estimate((regs[near] == regs[i]).mean(1), n[near], n[i], settings)
+            near = near[(guess >= least) | (np.minimum(n[near], n[i]) < settings.few)]
             if not len(near):
                 continue
             inside[ids[i]] = True

@@ -50,6 +50,16 @@ def test_chains(spark, chain):
     assert len({c for _, c in want.values()}) > 60
 
 
+def test_short_texts_are_not_given_up(spark):
+    """6 shingles and twice 7: the shorter text links with both others, which do not link with each other."""
+    rows = []
+    for k in range(500):
+        base = " ".join(f"w{k}_{j}" for j in range(10))
+        rows += [(3 * k, f"{base} x{k}"), (3 * k + 1, base), (3 * k + 2, f"{base} y{k}")]
+    got = result(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [d for d, (_, c) in got.items() if c != d - d % 3] == []
+
+
 def test_odd_rows(spark):
     same = "one two three four five six seven"
     rows = [
