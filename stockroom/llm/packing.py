@@ -5,7 +5,8 @@ are dealt into groups of about :attr:`Settings.group`, a number that grows with
 count, so a task holds one group of numbers and no texts. A group is packed best-fit,
 longest first, and then searched: documents of the emptiest sequence are moved to, or
 exchanged one for one, two for one or one for two with, fuller sequences, always raising
-the sum of squared fills, until sequences empty or the count meets its lower bound.
+the sum of squared fills, until the count meets its lower bound or no sequence with room
+has such an exchange left.
 
 Defined results: a NULL or empty text is its end id alone; every row is a document of
 its own, so repeated rows and equal or NULL ids are packed each; an empty table gives an
@@ -14,6 +15,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +36,6 @@ class Settings:
     end: int = 1  # id that ends every document
     capacity: int = 4096
     group: int = 40_000  # pieces packed together
-    steps: int = 3000  # exchanges tried in a group; the packing is whole after each
 
 
 def cut(docs: DataFrame, settings: Settings, with_ids: bool = False) -> DataFrame:
@@ -95,94 +96,113 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 class Search:
-    """Exchanges between the emptiest bin and others, each raising the sum of squared fills."""
+    """Exchanges between the emptiest bin and others, each raising the sum of squared fills.
+
+    A bin with ``free`` places that gives ``size`` can take up to ``room = size + free``.
+    Taking ``t`` from a bin filled to ``base`` gains (t - size) * (capacity - base + t -
+    room), so of all offers of a room only the smallest counts: that is the index.
+    """
 
     def __init__(self, lengths: np.ndarray, bins: list[list[int]], capacity: int):
         self.size = [int(x) for x in lengths]
         self.capacity = capacity
         self.bins = {k: list(b) for k, b in enumerate(bins)}
         self.fill = {k: sum(self.size[i] for i in b) for k, b in self.bins.items()}
-        self.offers: dict[int, list[tuple[int, tuple[int, ...]]]] = {}
+        self.version = dict.fromkeys(self.bins, 0)
+        self.offers: dict[int, dict[int, tuple[int, ...]]] = {}
+        self.by_room: list[list[tuple[int, int, int]]] = [[] for _ in range(capacity + 1)]  # heaps of (size, bin, version)
+        self.smallest = np.full(capacity + 1, capacity + 1, np.int64)
         for k in self.bins:
             self._offer(k)
-        self._flat()
 
     def _offer(self, k: int) -> None:
         """What a bin with room can give in exchange: nothing, an item, or two."""
-        self.offers.pop(k, None)
         if self.fill[k] < self.capacity:
             items = sorted(set(self.bins[k]), key=lambda i: self.size[i])
-            pairs = [(a, b) for n, a in enumerate(items) for b in items[n + 1 :]]
             found = {0: ()} | {self.size[i]: (i,) for i in items}
-            for a, b in pairs:
-                found.setdefault(self.size[a] + self.size[b], (a, b))
-            self.offers[k] = list(found.items())
-
-    def _flat(self) -> None:
-        """The offers as arrays; bins changed since have later entries that replace theirs."""
-        listed = [(k, size) for k, offer in self.offers.items() for size, _ in offer]
-        self.of = np.array([k for k, _ in listed], np.int64)
-        self.given = np.array([s for _, s in listed], np.int64)
-        self.stale: set[int] = set()
+            for n, a in enumerate(items):
+                for b in items[n + 1 :]:
+                    found.setdefault(self.size[a] + self.size[b], (a, b))
+            self.offers[k] = found
+            free = self.capacity - self.fill[k]
+            for size in found:
+                heapq.heappush(self.by_room[size + free], (size, k, self.version[k]))
+                self.smallest[size + free] = min(size, self.smallest[size + free])
+
+    def _withdraw(self, k: int) -> None:
+        """Take back all offers of a bin, before its contents change or while it is the source."""
+        self.version[k] += 1
+        free = self.capacity - self.fill[k]
+        for size in self.offers.pop(k, ()):
+            heap = self.by_room[size + free]
+            while heap and heap[0][2] != self.version.get(heap[0][1]):
+                heapq.heappop(heap)
+            self.smallest[size + free] = heap[0][0] if heap else self.capacity + 1
 
     def _best(self, source: int) -> tuple[int, int, tuple[int, ...]] | None:
-        """(bin, size it gives, items it takes) with the largest gain."""
+        """(bin, size it gives, items it takes) with the largest gain; the source's offers are withdrawn."""
         mine = sorted(set(self.bins[source]), key=lambda i: -self.size[i])
-        takes = [((i,), self.size[i]) for i in mine]
-        takes += [((a, b), self.size[a] + self.size[b]) for n, a in enumerate(mine) for b in mine[n + 1 :]]
-        usable = self.of != source
-        if self.stale:
-            usable &= ~np.isin(self.of, list(self.stale))
-        fresh = [(k, s) for k in self.stale if k != source and k in self.offers for s, _ in self.offers[k]]
-        of = np.concatenate([self.of[usable], np.array([k for k, _ in fresh], np.int64)])
-        given = np.concatenate([self.given[usable], np.array([s for _, s in fresh], np.int64)])
-        if not len(of):
-            return None
-        fill = self.fill_array[of]
-        base = self.fill[source]
+        takes = {self.size[i]: (i,) for i in mine}
+        for n, a in enumerate(mine):
+            for b in mine[n + 1 :]:
+                takes.setdefault(self.size[a] + self.size[b], (a, b))
+        left = self.capacity - self.fill[source]
         best, found = 0, None
-        for items, size in takes:
-            more = size - given
-            gain = np.where((more > 0) & (more <= self.capacity - fill), more * (fill - base + more), 0)
+        for size, items in takes.items():
+            if size > self.capacity:
+                continue
+            more = size - self.smallest[size:]
+            gain = np.where(more > 0, more * (left - self.distance[: len(more)]), 0)
             at = int(gain.argmax())
             if gain[at] > best:
-                best, found = int(gain[at]), (int(of[at]), int(given[at]), items)
+                given, target, _ = self.by_room[size + at][0]
+                best, found = int(gain[at]), (target, given, items)
         return found
 
-    def run(self, steps: int) -> list[list[int]]:
+    def run(self, steps: int | None = None) -> list[list[int]]:
+        """Search until the bound is met or no bin gains, or for a number of tries."""
         least = -(-sum(self.fill.values()) // self.capacity)
-        self.fill_array = np.zeros(max(self.bins, default=-1) + 1, np.int64)
-        for k, f in self.fill.items():
-            self.fill_array[k] = f
-        stuck: set[int] = set()
-        while len(self.bins) > least and steps > 0:
-            open_bins = [k for k in self.offers if k not in stuck]
-            if not open_bins:
-                break
-            source = min(open_bins, key=lambda k: (self.fill[k], k))
+        self.distance = np.arange(self.capacity + 1)
+        queue = [(self.fill[k], k, self.version[k]) for k in self.offers]
+        heapq.heapify(queue)
+        stuck: dict[int, int] = {}  # bins that found no exchange, and after how many changes
+        changes = 0
+        while len(self.bins) > least and steps != 0:
+            if not queue:
+                # What has changed since may help a bin that was stuck.
+                again = [k for k, at in stuck.items() if at < changes and k in self.offers]
+                queue = [(self.fill[k], k, self.version[k]) for k in again]
+                heapq.heapify(queue)
+                if not queue:
+                    break
+            _, source, version = heapq.heappop(queue)
+            if source not in self.offers or version != self.version[source]:
+                continue
+            self._withdraw(source)
             move = self._best(source)
-            steps -= 1
+            steps = None if steps is None else steps - 1
             if move is None:
-                stuck.add(source)
+                stuck[source] = changes
+                self._offer(source)
                 continue
             target, given, taken = move
-            back = dict(self.offers[target])[given]
+            back = self.offers[target][given]
+            self._withdraw(target)
+            changes += 1
             for k, out, into in ((source, taken, back), (target, back, taken)):
                 self.bins[k] = [i for i in self.bins[k] if i not in out] + list(into)
                 self.fill[k] = sum(self.size[i] for i in self.bins[k])
-                self.fill_array[k] = self.fill[k]
+                stuck.pop(k, None)
+                if not self.bins[k]:
+                    del self.bins[k], self.fill[k]
+                    continue
                 self._offer(k)
-                self.stale.add(k)
-            stuck.discard(target)
-            if not self.bins[source]:
-                del self.bins[source], self.fill[source]
-                self.offers.pop(source, None)
-            if len(self.stale) > 200:
-                self._flat()
+                if k in self.offers:
+                    heapq.heappush(queue, (self.fill[k], k, self.version[k]))
         return list(self.bins.values())
 
 
-def pack_lengths(lengths: np.ndarray, capacity: int, steps: int) -> list[list[int]]:
+def pack_lengths(lengths: np.ndarray, capacity: int, steps: int | None = None) -> list[list[int]]:
     """Bins of item indexes: best fit, then the search where the count is above its lower bound."""
     bins = best_fit(lengths, capacity)
     if len(bins) * capacity - int(lengths.sum()) < capacity:
@@ -193,7 +213,7 @@ def pack_lengths(lengths: np.ndarray, capacity: int, steps: int) -> list[list[in
 def assign(cuts: DataFrame, settings: Settings) -> DataFrame:
     """Stored pieces with ``sequence_id`` and ``offset``."""
     groups = max(1, -(-cuts.count() // settings.group))
-    capacity, steps = settings.capacity, settings.steps
+    capacity = settings.capacity
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches)).combine_chunks() if (batches := list(batches)) else None
@@ -203,7 +223,7 @@ def assign(cuts: DataFrame, settings: Settings) -> DataFrame:
         sequence = np.zeros(len(lengths), np.int64)
         offset = np.zeros(len(lengths), np.int64)
         first = TaskContext.get().partitionId() << 32
-        for k, items in enumerate(pack_lengths(lengths, capacity, steps)):
+        for k, items in enumerate(pack_lengths(lengths, capacity)):
             sequence[items] = first + k
             offset[items] = np.concatenate([[0], np.cumsum(lengths[items])[:-1]])
         out = rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))

@@ -103,3 +103,27 @@ def test_each_exchange_raises_the_squares():
         search.run(1)
         assert score() >= before
         before = score()
+
+
+def test_search_goes_on_until_no_bin_gains(spark):
+    lengths = np.random.default_rng(0).integers(900, 1900, 8000)
+    cuts = spark.createDataFrame([(int(n),) for n in lengths], "length long")
+    rows = packing.assign(cuts, SETTINGS).collect()
+    assert sorted(r.length for r in rows) == sorted(lengths)
+    fills = {}
+    for r in rows:
+        fills[r.sequence_id] = fills.get(r.sequence_id, 0) + r.length
+    # Best fit alone has about 2,980 and 3,000 tries have 2,890.
+    assert max(fills.values()) <= 4096 and len(fills) < 2875
+
+
+def test_no_exchange_is_left():
+    lengths = np.random.default_rng(2).integers(900, 1900, 300)
+    bins = packing.pack_lengths(lengths, 4096)
+    parts = lambda b: [0, *(int(lengths[i]) for i in b), *(int(lengths[b[i]] + lengths[b[j]]) for j in range(len(b)) for i in range(j))]
+    fill = [int(lengths[b].sum()) for b in bins]
+    assert len(bins) > -(-lengths.sum() // 4096)
+    for x, a in enumerate(bins):
+        for y, b in enumerate(bins):
+            more = [t - g for t in parts(a)[1:] for g in parts(b) if x != y and 0 < t - g <= 4096 - fill[y]]
+            assert all(m * (fill[y] - fill[x] + m) <= 0 for m in more)
