@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockroom.operators.bounds import (
     bound_literal,
@@ -90,12 +91,24 @@ def read_lake(
     return None if rows is None else newer_than(rows, "updated_at", since, lookback, keep_timeless=True)
 
 
+def _not_superseded(ctx: Context, spec: EntitySpec, late: DataFrame) -> DataFrame:
+    """Late records without a newer one of their key in the lake."""
+    stored = ctx.lake(spec).read()
+    if stored is None:
+        return late
+    newer = stored.select(F.col("id").alias("_stored_id"), F.col("updated_at").alias("_stored_at"))
+    return late.join(
+        newer, (F.col("id") == F.col("_stored_id")) & (F.col("_stored_at") > F.col("updated_at")), "left_anti"
+    )
+
+
 def sync_entity(ctx: Context, spec: EntitySpec) -> bool:
     """Move newly landed records into the lake. False when there were none.
 
     Only page files that no earlier run has taken are read; a lookback reads all
     of them again, since late records may lie in any. Files are marked as taken
-    after the merge, so a run that breaks off is simply repeated.
+    after the merge, so a run that breaks off is simply repeated. A record of a new
+    page goes to the lake also when it is late or ties with the bound.
     """
     taken = read_mart(ctx.spark, ctx.taken(spec))
     landed = page_files(ctx.spark, ctx.landing, spec)
@@ -113,6 +126,10 @@ def sync_entity(ctx: Context, spec: EntitySpec) -> bool:
     bound = get_bound(ctx.state.read(), spec.name)
     # A record without a time cannot be known to be old; the keyed merge absorbs repeats.
     batch = newer_than(keyed, "updated_at", bound, ctx.lookback, keep_timeless=True)
+    if names and bound is not None:
+        if ctx.lookback:
+            keyed, _ = split_keyed(to_payload(read_pages(ctx.spark, ctx.landing, spec, ctx.multi_line, names), spec))
+        batch = batch.unionByName(_not_superseded(ctx, spec, keyed.filter(F.col("updated_at") <= bound_literal(bound))))
     merged = ctx.lake(spec).merge(batch.withColumn("loaded_at", bound_literal(ctx.as_of)), ctx.run_id)
     if names:
         marks = ctx.spark.createDataFrame([(n,) for n in names], "path string")

@@ -147,6 +147,27 @@ def test_entity_runs(spark, tmp_path):
     assert rows(four.warehouse(ORDERS).read(), "id") == [("a",), ("b",), ("c",), ("late",)]
 
 
+def test_late_and_tied_records_of_new_pages_reach_the_lake(spark, tmp_path):
+    """On the second run, lake and rejected records together are what has landed."""
+    landing = tmp_path / "landing"
+    land(landing, "orders", "1.json", [order("a", 1), order("b", 5), {"id": None}])
+    one = context(spark, tmp_path, "r1")
+    sync_entity(one, ORDERS)
+    save_bounds(one, [ORDERS])
+    # Late, tied with the bound, an outdated version of a known key, one that ties with it, and one without a key.
+    land(landing, "orders", "2.json", [order("late", 1), order("tie", 5), order("b", 2, note="old"), order("a", 1, note="new"), {"id": None}])
+    two = context(spark, tmp_path, "r2")
+    assert sync_entity(two, ORDERS) is True
+    lake = flatten(read_lake(two, ORDERS))
+    assert rows(lake, "id", "note") == [("a", "new"), ("b", None), ("late", None), ("tie", None)]
+    rejected = sum(spark.read.parquet(f"{two.root}/lake/_rejected/orders/run={r}").count() for r in ("r1", "r2"))
+    assert lake.count() + rejected == 6  # keys and records without one
+    land(landing, "orders", "3.json", [order("later", 1)])
+    three = context(spark, tmp_path, "r3", lookback=dt.timedelta(days=1))
+    assert sync_entity(three, ORDERS) is True
+    assert read_lake(three, ORDERS).count() == 5
+
+
 def test_full_and_incremental_lake_reads(spark, tmp_path):
     land(tmp_path / "landing", "orders", "1.json", [order("a", 1), order("b", 3), {"id": "timeless"}])
     ctx = context(spark, tmp_path, "r1")
