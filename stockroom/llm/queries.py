@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, decontam, hyperminhash, packing, quality, secrets, token_count, token_file, toxicity
+from . import (
+    chat,
+    ctw,
+    decontam,
+    hyperminhash,
+    packing,
+    quality,
+    secrets,
+    token_count,
+    token_file,
+    toxicity,
+    whitening,
+)
 from .common import remainder, stored, table, vocabulary
 from .sql import oracle_sql
 
@@ -62,6 +74,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -74,4 +90,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_toxicity": op10_toxicity,
+        "op11_embedding_whitening": op11_embedding_whitening,
     }
