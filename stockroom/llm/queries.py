@@ -13,6 +13,7 @@ from . import (
     decontam,
     hyperminhash,
     packing,
+    pii,
     quality,
     secrets,
     token_count,
@@ -78,6 +79,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -91,4 +96,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_toxicity": op10_toxicity,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_pii": op12_pii,
     }
