@@ -13,6 +13,7 @@ from . import (
     decontam,
     hyperminhash,
     packing,
+    periodic,
     pii,
     quality,
     secrets,
@@ -83,6 +84,10 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -97,4 +102,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_toxicity": op10_toxicity,
         "op11_embedding_whitening": op11_embedding_whitening,
         "op12_pii": op12_pii,
+        "op13_periodic_runs": op13_periodic_runs,
     }
