@@ -20,12 +20,12 @@ from stockroom.functions.scalars import full_name, surrogate_key, timestamp_text
 from stockroom.operators import checks, scd2
 from stockroom.operators.bounds import newer_than, next_bound, table_bound
 from stockroom.operators.flatten import flatten, rows_to_records, to_payload, typed
-from stockroom.operators.keyed import KeyedTable, upsert
+from stockroom.operators.keyed import KeyedTable, Period, upsert
 from stockroom.operators.latest import latest_by_key
 from stockroom.plans import analytics, dims, facts, pipeline
 from stockroom.plans.staging import STAGING
 from stockroom.plans.suite import CHECKS, LIFECYCLE_STATUSES
-from stockroom.plans.sync import Context, load_entity, save_bounds, sync_entity
+from stockroom.plans.sync import Context, load_entity, sync_entity
 from stockroom.session import configure, work_dir
 from stockroom.sources.adapter import LOADED_AT, RUN_AT, Tables
 from stockroom.sources.pages import land_pages, read_pages, stream_pages
@@ -292,7 +292,7 @@ def _merge_load_evolved(m: Models) -> DataFrame:
     """A stored table merged twice; the second batch lacks one column and brings another."""
     columns = [*LINE_KEYS, *LINE_ORDER]
     path = work_dir(m.spark, "merge")
-    table = KeyedTable(m.spark, path, LINE_KEYS, LINE_ORDER, buckets=8)
+    table = KeyedTable(m.spark, path, LINE_KEYS, LINE_ORDER, Period("l_shipdate", "year"))
     table.merge(_lines(m, "O").select(*columns, "l_tax"), "first")
     table.merge(_lines(m, "F").select(*columns, "l_discount"), "second")
     return table.read()
@@ -355,7 +355,7 @@ def _scd2_bulk_cut(m: Models) -> DataFrame:
 
 def _snapshot_runs_stored(m: Models) -> DataFrame:
     """A stored history over four runs: first, changed, some users gone, all back at their old times."""
-    table = pipeline.snap_table(m.spark, work_dir(m.spark, "snapshot"), "user_id", buckets=8)
+    table = pipeline.snap_table(m.spark, work_dir(m.spark, "snapshot"))
     later = _state(m)
     sources = (_state(m, HALF_TIME), later, later.filter("event_type <> 'error'"), later)
     for run, source in enumerate(sources):
@@ -396,7 +396,7 @@ def _dq_report(m: Models) -> DataFrame:
     root = work_dir(m.spark, "warehouse")
     # Raw tables are stored ones in a run; here they are written once, not derived for each check.
     raw = {name: write_mart(m.tables.entity(name), f"{root}/raw/{name}") for name in ENTITIES}
-    models = pipeline.transform(m.spark, raw, root, RUN_AT, "run-1", buckets=8)
+    models = pipeline.transform(m.spark, raw, root, RUN_AT, "run-1")
     return checks.collect_report(m.spark, checks.run_checks(models, CHECKS))
 
 
@@ -437,7 +437,7 @@ def _ingest_pages(m: Models) -> DataFrame:
 def _sync_and_load(m: Models) -> DataFrame:
     spec = ENTITIES["inventory_movements"]
     root = work_dir(m.spark, "run")
-    ctx = Context(m.spark, _land_movements(m), root, "run-1", RUN_AT, buckets=8)
+    ctx = Context(m.spark, _land_movements(m), root, "run-1", RUN_AT)
     sync_entity(ctx, spec)
     load_entity(ctx, spec)
     return ctx.warehouse(spec).read().select("id", "notes", "quantity", "moved_at")
@@ -453,10 +453,9 @@ def _two_runs(m: Models, repeat: bool = False) -> Context:
     for run, part in enumerate((f"moved_at < '{HALF_TIME}'", f"moved_at >= '{HALF_TIME}'")):
         landing = _land_movements(m, part, landing)
         as_of = RUN_AT - dt.timedelta(days=1 - run)
-        ctx = Context(m.spark, landing, root, f"run-{run}", as_of, buckets=8)
+        ctx = Context(m.spark, landing, root, f"run-{run}", as_of)
         for _ in range(1 + repeat):
             sync_entity(ctx, spec)
-            save_bounds(ctx, [spec])
             load_entity(ctx, spec)
     return ctx
 
@@ -467,7 +466,7 @@ def _sync_twice(m: Models, repeat: bool = False) -> DataFrame:
 
 
 def _bounds_two_runs(m: Models) -> DataFrame:
-    return _two_runs(m).state.read().select("entity", "last_updated_at", "last_run_at")
+    return _two_runs(m).bounds().select("entity", "last_updated_at", "last_run_at")
 
 
 def _staging_view(m: Models) -> DataFrame:
@@ -479,7 +478,9 @@ def _staging_view(m: Models) -> DataFrame:
 def _stream_ingest(m: Models) -> DataFrame:
     spec = ENTITIES["inventory_movements"]
     root = work_dir(m.spark, "ingest")
-    lake = KeyedTable(m.spark, f"{root}/lake", ["id"], ["updated_at", "raw_data"], buckets=8)
+    lake = KeyedTable(
+        m.spark, f"{root}/lake", ["id"], ["updated_at", "raw_data"], Period("updated_at"), newer="updated_at"
+    )
     pages = stream_pages(m.spark, _land_movements(m), spec)
     ingest.start_ingest(
         pages, spec, lake, f"{root}/rejected", f"{root}/checkpoint", RUN_AT
@@ -495,7 +496,7 @@ def _instants(stream: DataFrame) -> DataFrame:
 def _stream_upsert(m: Models) -> DataFrame:
     root = work_dir(m.spark, "upsert")
     table = KeyedTable(
-        m.spark, f"{root}/table", LINE_KEYS, LINE_ORDER, buckets=8, keep_newest=True
+        m.spark, f"{root}/table", LINE_KEYS, LINE_ORDER, Period("l_shipdate", "year"), keep_newest=True
     )
     stream = _instants(ingest.stream_table(m.spark, m.tables.path("lineitem")))
     stream = stream.select(*LINE_COLUMNS)
@@ -505,7 +506,7 @@ def _stream_upsert(m: Models) -> DataFrame:
 
 def _stream_scd2(m: Models) -> DataFrame:
     root = work_dir(m.spark, "scd2")
-    table = pipeline.snap_table(m.spark, f"{root}/history", "user_id", buckets=8)
+    table = pipeline.snap_table(m.spark, f"{root}/history")
     stream = _instants(ingest.stream_table(m.spark, m.tables.path("events")))
     ingest.start_scd2(
         stream.select(*FEED_COLUMNS), table, "user_id", "ts", f"{root}/checkpoint"

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 
 from stockroom.functions.coerce import coerce_ts
 
-# Fixed value: layout of the bound table, one row per entity.
-BOUND_SCHEMA = "entity string, last_updated_at timestamp, last_run_at timestamp"
-
-
 def bound_literal(ts: dt.datetime) -> Column:
     """A Python timestamp (UTC when it carries no zone) as a Spark literal."""
     if ts.tzinfo is not None:
@@ -21,14 +17,18 @@ def bound_literal(ts: dt.datetime) -> Column:
     return F.lit(ts.isoformat(sep=" ")).cast("timestamp")
 
 
-def _instant(c: Column) -> Column:
-    """Scalars leave Spark as UTC text: a collected timestamp would take the driver's zone."""
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+def instant_text(c: Column) -> Column:
+    """An instant as UTC text, whose order is that of time: a collected timestamp would take the driver's zone."""
+    return F.when(F.year(c).between(1, 9999), F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def text_instant(text: str | None) -> dt.datetime | None:
+    return dt.datetime.fromisoformat(text) if text else None
 
 
 def _scalar(df: DataFrame, value: Column) -> dt.datetime | None:
-    row = df.select(_instant(value).alias("v")).first()
-    return dt.datetime.fromisoformat(row["v"]) if row and row["v"] else None
+    row = df.select(instant_text(value).alias("v")).first()
+    return text_instant(row["v"]) if row else None
 
 
 def next_bound(ts_cols: Sequence[str]) -> Column:
@@ -68,16 +68,3 @@ def get_bound(state: DataFrame | None, entity: str) -> dt.datetime | None:
     if state is None:
         return None
     return _scalar(state.filter(F.col("entity") == entity), F.col("last_updated_at"))
-
-
-def bound_row(rows: DataFrame, entity: str, column: str, as_of: dt.datetime) -> DataFrame:
-    """The state row a table or batch leads to; none if it is empty or has no times."""
-    return (
-        rows.agg(F.max(column).alias("last_updated_at"))
-        .filter("last_updated_at IS NOT NULL")
-        .select(
-            F.lit(entity).alias("entity"),
-            "last_updated_at",
-            bound_literal(as_of).alias("last_run_at"),
-        )
-    )

@@ -1,30 +1,26 @@
 """Keyed upsert, pure and as a Parquet table that can be merged into.
 
-Parquet tables take no ``MERGE INTO``. A table here is a set of segments, each a
-folder ``seq=<merge>/bucket=<hash of the key>``. A merge finds the segments that
-hold keys of its batch by reading key columns alone, rewrites only those, and
-adds the batch's rows as new segments; a batch of new keys rewrites nothing. It
-then appends one small file to a publication log. Readers follow the log, so
-they see a merge whole or not at all, and a batch that was published once is
-never applied again.
+Parquet tables take no ``MERGE INTO``. A table here is partitioned by a calendar
+period of a time column, and a merge replaces, by dynamic partition overwrite, the
+periods that hold a row it alters or get one: a day's batch of new rows rewrites
+that day. Rows of other periods are neither read whole nor written.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
-from collections.abc import Callable, Collection, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.operators.latest import latest_by_key
-from stockroom.operators.lookups import BROADCAST_ROWS
+from stockroom.sources.files import get_text, put_text, remove
 
-# Fixed value: layout of the publication log.
-LOG_SCHEMA = "seq bigint, batch_id string, bucket int, live array<bigint>, table_schema string"
+PERIOD = "_period"  # the partition column; no table column may have this name
 
 
 def _union(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -59,6 +55,18 @@ def upsert(
     return _union(kept, latest_by_key(batch, keys, order))
 
 
+@dataclass(frozen=True)
+class Period:
+    """A calendar unit (day, week, month, quarter, year) of a time column; NULL times share a period."""
+
+    column: str
+    unit: str = "day"
+
+    def of(self, time: Column) -> Column:
+        # Years that a calendar of four digits lacks count as no time.
+        return F.when(F.year(time).between(1, 9999), F.date_trunc(self.unit, time).cast("date"))
+
+
 @dataclass(frozen=True)
 class Change:
     """How a batch alters a stored table.
@@ -66,8 +74,10 @@ class Change:
     ``marks(new rows)`` has one row per key and says what the batch reaches;
     ``hits(stored rows, marks)`` are the stored rows it alters, found by reading
     ``columns`` alone. ``combine(stored rows, new rows, marks)`` gives the content
-    that takes the place of the segments holding hits, and ``first(new rows)``
-    that of an empty table.
+    that takes the place of the periods holding hits, and ``first(new rows)``
+    that of an empty table. ``since`` names a column of the marks: periods that end
+    before its least value hold no hits. ``within`` is a condition on the period that
+    all hits meet.
     """
 
     columns: Sequence[str]
@@ -75,30 +85,23 @@ class Change:
     hits: Callable[[DataFrame, DataFrame], DataFrame]
     combine: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
     first: Callable[[DataFrame], DataFrame]
-
-
-@dataclass(frozen=True)
-class _Version:
-    """What the log says: live segments per bucket, the schema, the last merge."""
-
-    live: dict[int, list[int]]
-    schema: T.StructType | None = None
-    seq: int = 0
-    seen: bool = False
-
-    def segments(self, buckets: Collection[int]) -> list[tuple[int, int]]:
-        return [(seq, b) for b in sorted(buckets) for seq in self.live.get(b, ())]
+    since: str | None = None
+    within: Column | None = None
 
 
 class KeyedTable:
-    """A Parquet table with one row per key, changed by idempotent merges.
-
-    ``buckets`` should keep a bucket near a few GB. ``bucket_by`` (default: the
-    keys) decides which rows share a bucket; ``sort_by`` clusters the rows of a
-    segment, so that a filter on those columns skips row groups. A bucket of
-    ``max_segments`` segments is packed into one by the next merge that touches
-    it; the limit varies by bucket, so that packing spreads over merges. One
-    writer at a time.
+    """A Parquet table with one row per key, changed by repeatable merges.
+
+    ``period`` clusters the rows; without one the table is a single period, which every
+    merge rewrites. ``sort_by`` orders the rows of a file, so that a filter on those
+    columns skips row groups. Among rows of a key the later batch wins; with
+    ``keep_newest`` the greatest ``order`` does, and with ``newer`` a stored row stays
+    where its ``newer`` column is greater than the batch's. One writer at a time.
+
+    A merge writes the new content of its periods beside the table first. From then on
+    it can be finished by anyone: a merge that broke off while periods were replaced is
+    completed by the next call, so none is lost; until then readers may see some
+    periods replaced and others not. The last batch is not applied a second time.
     """
 
     def __init__(
@@ -107,94 +110,70 @@ class KeyedTable:
         path: str,
         keys: Sequence[str],
         order: Sequence[str] = ("updated_at",),
-        buckets: int = 64,
-        bucket_by: Sequence[str] | None = None,
+        period: Period | None = None,
         sort_by: Sequence[str] = (),
         keep_newest: bool = False,
-        max_segments: int = 8,
+        newer: str | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.order = list(order)
-        self.buckets = buckets
-        self.bucket_by = list(bucket_by or keys)
+        self.period = period
         self.sort_by = list(sort_by)
         self.keep_newest = keep_newest
-        self.max_segments = max_segments
-
-    # -- publication log ---------------------------------------------------
-
-    def _version(self, batch_id: str = "") -> _Version:
-        """The current version, and whether ``batch_id`` is already part of it."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return _Version({})
-        rows = (  # one row per bucket
-            log.groupBy("bucket")
-            .agg(
-                F.max("seq").alias("seq"),
-                F.max_by("live", "seq").alias("live"),
-                F.max_by("table_schema", "seq").alias("table_schema"),
-                F.bool_or(F.col("batch_id") == batch_id).alias("seen"),
-            )
-            .collect()
-        )
-        if not rows:
-            return _Version({})
-        last = max(rows, key=lambda r: r["seq"])
-        return _Version(
-            {r["bucket"]: r["live"] for r in rows},
-            T.StructType.fromJson(json.loads(last["table_schema"])),
-            last["seq"],
-            any(r["seen"] for r in rows),
-        )
+        self.newer = newer
 
-    def _publish(
-        self, live: dict[int, list[int]], batch_id: str, seq: int, schema: T.StructType
-    ) -> None:
-        entries = [(seq, batch_id, b, segments, schema.json()) for b, segments in live.items()]
-        (
-            self.spark.createDataFrame(entries, LOG_SCHEMA)
-            .coalesce(1)  # one file, so it appears in one step
-            .write.mode("append")
-            .parquet(f"{self.path}/log")
-        )
+    # -- what is stored ----------------------------------------------------
+
+    def _staged(self, part: str) -> str:
+        return f"{self.path}/_staging/{part}"
 
-    # -- reading -----------------------------------------------------------
+    def _state(self) -> dict | None:
+        """Schema and last batch, None before the first merge."""
+        text = get_text(self.spark, f"{self.path}/_state")
+        return json.loads(text) if text else None
 
-    def _folders(self, segments: Sequence[tuple[int, int]]) -> list[str]:
-        return [f"{self.path}/data/seq={seq}/bucket={b}" for seq, b in segments]
+    def _scan(self, path: str, schema: T.StructType) -> DataFrame:
+        clustered = T.StructType([*schema.fields, T.StructField(PERIOD, T.DateType())])
+        return self.spark.read.schema(clustered).parquet(path)
 
-    def _scan(self, segments: Sequence[tuple[int, int]], schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(*self._folders(segments))
+    def _rows(self, state: dict) -> DataFrame:
+        return self._scan(self.path, T.StructType.fromJson(state["schema"]))
 
-    def read(self) -> DataFrame | None:
-        """The current rows, or None before the first merge."""
-        version = self._version()
-        if not version.live:
+    def exists(self) -> bool:
+        return self._state() is not None
+
+    def read(self, where: Column | None = None) -> DataFrame | None:
+        """The current rows, or None before the first merge; ``where`` chooses periods by :data:`PERIOD`."""
+        state = self._state()
+        if state is None:
             return None
-        return self._scan(version.segments(version.live), version.schema)
+        rows = self._rows(state)
+        return (rows if where is None else rows.filter(where)).drop(PERIOD)
 
-    def live_folders(self) -> list[str]:
-        """Folders the current version consists of; all others may be removed."""
-        version = self._version()
-        return self._folders(version.segments(version.live))
+    def since(self, time: Column) -> Column:
+        """Condition on the period: those that may hold rows of ``time`` or later, or of no time."""
+        if self.period is None:
+            return F.lit(True)
+        return (F.col(PERIOD) >= self.period.of(time)) | F.col(PERIOD).isNull()
 
-    # -- writing -----------------------------------------------------------
+    # -- merging -----------------------------------------------------------
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+    def merge(self, batch: DataFrame, batch_id: str, within: Column | None = None) -> bool:
+        """Upsert a batch; False when it is empty or was the last one applied.
 
-    def merge(self, batch: DataFrame, batch_id: str) -> bool:
-        """Upsert a batch; False when it is empty or already published."""
+        ``within`` tells which periods may hold its keys, where the caller knows.
+        """
 
         def combine(current: DataFrame, fresh: DataFrame, keys: DataFrame) -> DataFrame:
             if self.keep_newest:
                 return latest_by_key(_union(current, fresh), self.keys, self.order)
+            if self.newer:
+                held = current.select(*self.keys, F.col(self.newer).alias("_held"))
+                behind = fresh.join(held, self.keys).filter(F.col("_held") > F.col(self.newer)).select(*self.keys)
+                fresh = fresh.join(behind, self.keys, "left_anti")
+                keys = fresh.select(*self.keys)
             return _union(current.join(keys, self.keys, "left_anti"), fresh)
 
         replace = Change(
@@ -203,80 +182,91 @@ class KeyedTable:
             hits=lambda stored, keys: stored.join(keys, self.keys, "left_semi"),
             combine=combine,
             first=lambda fresh: fresh,
+            within=within,
         )
         return self.rewrite(latest_by_key(batch, self.keys, self.order), batch_id, replace)
 
     def rewrite(self, rows: DataFrame, batch_id: str, change: Change) -> bool:
-        """Apply a change; False when ``rows`` is empty or the batch is already published."""
-        version = self._version(batch_id)
-        if version.seen:
+        """Apply a change; False when ``rows`` is empty or the batch was the last one applied."""
+        self.finish()
+        state = self._state()
+        if state and state["batch_id"] == batch_id:
             return False
-        seq = version.seq + 1
-        if version.schema is None:
-            merged = change.first(rows)
-            self._write(merged, seq)
-            touched = self._row_counts(seq)
-            held = []
-        else:
-            # Written once, then read for buckets, marks and the new content.
-            rows.write.mode("overwrite").parquet(f"{self.path}/staging")
-            fresh = self.spark.read.schema(rows.schema).parquet(f"{self.path}/staging")
-            bucket = self._bucket().alias("bucket")
-            touched = {r["bucket"]: r["count"] for r in fresh.groupBy(bucket).count().collect()}
-            if not touched:
-                return False
-            marks = change.marks(fresh)
-            if sum(touched.values()) <= BROADCAST_ROWS:
-                marks = F.broadcast(marks)
-            held = self._held(version, touched, change, marks)
-            merged = change.combine(self._rows_of(held, version.schema), fresh, marks)
-            self._write(merged, seq)
-        if not touched:
+        # Written once, then read for marks, periods and the new content.
+        rows.write.mode("overwrite").parquet(self._staged("rows"))
+        fresh = self.spark.read.schema(rows.schema).parquet(self._staged("rows"))
+        if fresh.isEmpty():
             return False
-        gone = set(held)
-        live = {
-            b: [s for s in version.live.get(b, ()) if (s, b) not in gone] + [seq] for b in touched
-        }
-        self._publish(live, batch_id, seq, merged.schema)
+        if state is None:
+            touched: list[dt.date | None] = []
+            merged = change.first(fresh)
+        else:
+            marks, stored = change.marks(fresh), self._rows(state)
+            touched = self._hit(stored, marks, change)
+            merged = change.combine(stored.filter(_is_one_of(touched)).drop(PERIOD), fresh, marks)
+        schema = merged.schema
+        self._write(merged, "overwrite")
+        written = self._periods(self._scan(self._staged("content"), schema))
+        if state is not None:
+            # A period that gets rows without having lost any keeps those it has.
+            others = [p for p in written if p not in touched]
+            if others:
+                self._write(stored.filter(_is_one_of(others)).drop(PERIOD), "append")
+        emptied = [str(p) if p else None for p in touched if p not in written]
+        new_state = {"batch_id": batch_id, "schema": json.loads(schema.json())}
+        put_text(self.spark, self._staged("ready"), json.dumps({"emptied": emptied, "state": new_state}))
+        self.finish()
         return True
 
-    def _row_counts(self, seq: int) -> dict[int, int]:
-        """Rows per bucket of a written segment folder."""
-        written = self.spark.read.schema("bucket int").parquet(f"{self.path}/data/seq={seq}")
-        return {r["bucket"]: r["count"] for r in written.groupBy("bucket").count().collect()}
-
-    def _rows_of(self, segments: Sequence[tuple[int, int]], schema: T.StructType) -> DataFrame:
-        return self._scan(segments, schema) if segments else self.spark.createDataFrame([], schema)
-
-    def _held(
-        self, version: _Version, touched: Collection[int], change: Change, marks: DataFrame
-    ) -> list[tuple[int, int]]:
-        """Segments to rewrite: those with a hit, and all of overfull buckets."""
-        stored = version.segments(touched)
-        full = {b for b in touched if len(version.live.get(b, ())) >= self._limit(b)}
-        searched = [s for s in stored if s[1] not in full]
-        matched = set()
-        if searched:
-            columns = T.StructType([version.schema[c] for c in change.columns])
-            located = (
-                self.spark.read.schema(columns)
-                .option("basePath", f"{self.path}/data")  # adds seq and bucket as columns
-                .parquet(*self._folders(searched))
-            )
-            found = change.hits(located, marks).select("seq", "bucket").distinct()
-            matched = {(r["seq"], r["bucket"]) for r in found.collect()}
-        return [s for s in stored if s in matched or s[1] in full]
-
-    def _limit(self, bucket: int) -> int:
-        return self.max_segments + bucket % self.max_segments
-
-    def _write(self, merged: DataFrame, seq: int) -> None:
-        # Rebalancing splits a large bucket over several tasks and packs small ones together.
+    def _periods(self, rows: DataFrame) -> list[dt.date | None]:
+        """Periods of some rows: as many as the calendar has, whatever the rows."""
+        return [r[PERIOD] for r in rows.select(PERIOD).distinct().collect()]
+
+    def _hit(self, stored: DataFrame, marks: DataFrame, change: Change) -> list[dt.date | None]:
+        """Periods that hold a row the change alters; key columns alone are read."""
+        located = stored.select(*change.columns, PERIOD)
+        if change.within is not None:
+            located = located.filter(change.within)
+        if change.since and self.period:
+            least = marks.agg(self.period.of(F.min(change.since)).alias("d")).first()["d"]
+            if least is not None:
+                located = located.filter((F.col(PERIOD) >= F.lit(least)) | F.col(PERIOD).isNull())
+        return self._periods(change.hits(located, marks))
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        period = self.period.of(F.col(self.period.column)) if self.period else F.lit(None).cast("date")
+        # Rebalancing splits a large period over several tasks and packs small ones together.
         (
-            merged.withColumn("bucket", self._bucket())
-            .hint("rebalance", F.col("bucket"))
-            .sortWithinPartitions("bucket", *self.sort_by)
+            rows.withColumn(PERIOD, period)
+            .hint("rebalance", F.col(PERIOD))
+            .sortWithinPartitions(PERIOD, *self.sort_by)
+            .write.mode(mode)
+            .partitionBy(PERIOD)
+            .parquet(self._staged("content"))
+        )
+
+    def finish(self) -> None:
+        """Replace the periods a merge has made ready; repeatable at any point, and nothing without one."""
+        text = get_text(self.spark, self._staged("ready"))
+        if text is None:
+            return
+        ready = json.loads(text)
+        content = self._scan(self._staged("content"), T.StructType.fromJson(ready["state"]["schema"]))
+        (
+            content.sortWithinPartitions(PERIOD, *self.sort_by)
             .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(f"{self.path}/data/seq={seq}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PERIOD)
+            .parquet(self.path)
         )
+        for period in ready["emptied"]:
+            remove(self.spark, f"{self.path}/{PERIOD}={period or '__HIVE_DEFAULT_PARTITION__'}")
+        put_text(self.spark, f"{self.path}/_state", json.dumps(ready["state"]))
+        remove(self.spark, self._staged("ready"))
+        remove(self.spark, f"{self.path}/_staging")
+
+
+def _is_one_of(periods: Iterable[dt.date | None]) -> Column:
+    dates = [F.lit(p) for p in periods if p is not None]
+    known = F.col(PERIOD).isin(*dates) if dates else F.lit(False)
+    return F.coalesce(known, F.lit(False)) | (F.col(PERIOD).isNull() if None in periods else F.lit(False))

@@ -51,10 +51,17 @@ def open_rows(history: DataFrame) -> DataFrame:
     return history.filter("valid_to IS NULL")
 
 
-def last_closes(history: DataFrame, key: str) -> DataFrame:
-    """When each member's latest closed version ended; two columns of the history are read."""
-    closed = history.filter("valid_to IS NOT NULL")
-    return closed.groupBy(F.col(key).alias("_closed_key")).agg(F.max("valid_to").alias("_closed"))
+def last_closes(closed: DataFrame, key: str, members: DataFrame | None = None) -> DataFrame:
+    """When the latest closed version of each member ended; two columns are read.
+
+    ``members``, a column of keys, narrows the closed rows before these are grouped: a run
+    then groups the versions of returning members, not the whole history.
+    """
+    mine = closed.select(F.col(key).alias("_closed_key"), "valid_to")
+    if members is not None:
+        wanted = members.select(F.col(members.columns[0]).alias("_member"))
+        mine = mine.join(wanted, F.col("_closed_key") == F.col("_member"), "left_semi")
+    return mine.groupBy("_closed_key").agg(F.max("valid_to").alias("_closed"))
 
 
 def snapshot_changes(
@@ -65,10 +72,15 @@ def snapshot_changes(
     as_of: dt.datetime,
     invalidate_deletes: bool = True,
     keep_unchanged: bool = False,
+    closed: DataFrame | None = None,
+    unopened: DataFrame | None = None,
 ) -> DataFrame:
     """History rows a run opens or closes.
 
-    Only open versions meet the source, each side holding a key once:
+    ``history`` may hold the open versions alone where ``closed`` gives the others;
+    ``unopened`` may give the keys of the source that have no open version, so that the
+    closes of those alone are sought. Only open versions meet the source, each side
+    holding a key once:
 
     * new key: open a version from its update time, or, when the key has been closed
       before, from its last close if that is later, so that versions never overlap;
@@ -76,26 +88,28 @@ def snapshot_changes(
     * equal or earlier time: unchanged, whatever the attributes say;
     * key gone: close at ``as_of`` (when ``invalidate_deletes``).
     """
+    closed = history.filter("valid_to IS NOT NULL") if closed is None else closed
     stored = open_rows(history).select(F.struct(*source.columns, *HISTORY_COLUMNS).alias("old"))
     incoming = open_history(source, key, updated_at)
     incoming = incoming.select(F.struct(*source.columns, *HISTORY_COLUMNS).alias("new"))
 
-    def closed(at: Column) -> Column:
+    def closing(at: Column) -> Column:
         return F.col("old").withField("valid_to", at)
 
     is_new = F.col("old").isNull()
     is_gone = F.col("new").isNull()
     is_later = F.col(f"new.{updated_at}") > F.col("old.valid_from")
     same = F.array("old") if keep_unchanged else F.lit(None)
-    gone = F.array(closed(bound_literal(as_of))) if invalidate_deletes else same
+    gone = F.array(closing(bound_literal(as_of))) if invalidate_deletes else same
     rows = (
         F.when(is_new, F.array("new"))
         .when(is_gone, gone)
-        .when(is_later, F.array(closed(F.col(f"new.{updated_at}")), F.col("new")))
+        .when(is_later, F.array(closing(F.col(f"new.{updated_at}")), F.col("new")))
         .otherwise(same)
     )
     joined = stored.join(incoming, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
-    joined = joined.join(last_closes(history, key), F.col(f"new.{key}") == F.col("_closed_key"), "left")
+    closes = last_closes(closed, key, unopened)
+    joined = joined.join(closes, F.col(f"new.{key}") == F.col("_closed_key"), "left")
     start = F.greatest(F.col(f"new.{updated_at}"), F.col("_closed"))
     begun = F.col("new").withField("valid_from", start)
     begun = begun.withField("scd_id", scd_id(F.col(f"new.{key}"), start))
@@ -252,9 +266,13 @@ def add_versions(
 
 
 def version_change(key: str, updated_at: str, tie_break: Sequence[str] = ()) -> Change:
-    """:func:`add_versions` as a change of a stored history bucketed by ``key``."""
+    """:func:`add_versions` as a change of a stored history clustered by ``valid_to``.
+
+    Periods that ended before the batch's first version hold nothing it reaches.
+    """
     return Change(
         columns=[key, "valid_to"],
+        since="_first",
         marks=lambda fresh: first_times(fresh, key, updated_at),
         hits=lambda stored, firsts: reached(stored, firsts, key),
         combine=lambda stored, fresh, firsts: add_versions(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
@@ -20,37 +20,65 @@ from stockroom.operators.checks import (
     row_counts,
     run_checks,
 )
-from stockroom.operators.keyed import KeyedTable
-from stockroom.operators.scd2 import open_history, snapshot_changes
+from stockroom.operators.keyed import PERIOD, KeyedTable, Period
+from stockroom.operators.scd2 import open_history, open_rows, snapshot_changes
 from stockroom.plans import dims as D
 from stockroom.plans import facts
 from stockroom.plans.staging import stage_all
 from stockroom.plans.suite import CHECKS
-from stockroom.plans.sync import Context, load_entity, save_bounds, sync_entity
+from stockroom.plans.sync import Context, load_entity, sync_entity
 from stockroom.sources.registry import ENTITIES, EntitySpec
 from stockroom.sources.tables import register_views, write_mart
 
 # Columns a history tracks.
 TRACKED_CUSTOMER = (
-    "customer_id first_name last_name full_name email phone address city state segment tier "
-    "effective_from registered_at created_at updated_at is_deleted"
-).split()
+    "customer_id",
+    "first_name",
+    "last_name",
+    "full_name",
+    "email",
+    "phone",
+    "address",
+    "city",
+    "state",
+    "segment",
+    "tier",
+    "effective_from",
+    "registered_at",
+    "created_at",
+    "updated_at",
+    "is_deleted",
+)
 TRACKED_PRODUCT = (
-    "product_id product_name sku category sub_category brand supplier unit_price cost_price "
-    "effective_from created_at updated_at is_deleted"
-).split()
+    "product_id",
+    "product_name",
+    "sku",
+    "category",
+    "sub_category",
+    "brand",
+    "supplier",
+    "unit_price",
+    "cost_price",
+    "effective_from",
+    "created_at",
+    "updated_at",
+    "is_deleted",
+)
 
 
-def snap_table(spark: SparkSession, path: str, key: str, buckets: int = 64) -> KeyedTable:
-    """A history table: all versions of a member share a bucket, open versions lie together."""
+def snap_table(spark: SparkSession, path: str, unit: str = "month") -> KeyedTable:
+    """A history table clustered by the end of validity: open versions share a period of their own.
+
+    A run rewrites the open versions and the periods in which it closes some; versions
+    closed earlier stay as they lie.
+    """
     return KeyedTable(
         spark,
         path,
         keys=["scd_id"],
         order=["scd_updated_at"],
-        buckets=buckets,
-        bucket_by=[key],
-        sort_by=["valid_to"],
+        period=Period("valid_to", unit),
+        sort_by=["valid_from"],
     )
 
 
@@ -66,12 +94,21 @@ def run_snapshot(
 
     Only opened and closed versions are written; a quiet run touches nothing.
     """
-    history = table.read()
+    table.finish()
+    is_open = F.col(PERIOD).isNull()
+    history = table.read(is_open)
     if history is None:
         changes = open_history(source, key, updated_at)
     else:
-        changes = snapshot_changes(history, source, key, updated_at, as_of)
-    table.merge(changes, run_id)
+        # Rows closed at a time no calendar has lie among the open ones, too.
+        closed = table.read().filter("valid_to IS NOT NULL")
+        # New members, and the few that were closed and are back.
+        unopened = source.select(key).join(open_rows(history).select(key), key, "left_anti")
+        changes = snapshot_changes(
+            open_rows(history), source, key, updated_at, as_of, closed=closed, unopened=unopened
+        )
+    # A version that a run closes is an open one: its id is sought among those alone.
+    table.merge(changes, run_id, within=is_open)
     return table.read()
 
 
@@ -145,7 +182,6 @@ def transform(
     root: str,
     as_of: dt.datetime,
     run_id: str,
-    buckets: int = 64,
     partition_facts: bool = False,
     calendar: tuple[dt.date, dt.date] | None = None,
 ) -> dict[str, DataFrame]:
@@ -153,8 +189,8 @@ def transform(
     stg = stage_all(raw)
     register_views(stg)
 
-    def history(name: str, source: str, key: str, tracked: list[str]) -> DataFrame:
-        table = snap_table(spark, f"{root}/snapshots/{name}", key, buckets)
+    def history(name: str, source: str, key: str, tracked: Sequence[str]) -> DataFrame:
+        table = snap_table(spark, f"{root}/snapshots/{name}")
         return run_snapshot(table, stg[source].select(*tracked), key, as_of, run_id)
 
     histories = concurrently(
@@ -193,7 +229,6 @@ def run(ctx: Context, fail_on_checks: bool = False) -> RunReport:
         concurrently(ctx.spark, {s.name: partial(step, ctx, s) for s in specs}, ctx.parallel)
 
     for_each(sync_entity)
-    save_bounds(ctx, specs)
     require_rows({s.name: _present(ctx.lake(s)) for s in specs})
     for_each(load_entity)
     raw = {s.name: _present(ctx.warehouse(s)) for s in specs}
@@ -201,7 +236,7 @@ def run(ctx: Context, fail_on_checks: bool = False) -> RunReport:
 
     root = f"{ctx.root}/warehouse"
     models = transform(
-        ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.buckets, ctx.partition_facts, ctx.calendar
+        ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.partition_facts, ctx.calendar
     )
     checks = collect_report(ctx.spark, run_checks(models, CHECKS))
     failed = {(r["model"], r["column"], r["test"]) for r in checks.filter("failures > 0").collect()}

@@ -3,32 +3,37 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.operators.bounds import (
     bound_literal,
-    bound_row,
     get_bound,
+    instant_text,
     newer_than,
-    table_bound,
+    text_instant,
 )
 from stockroom.operators.flatten import flatten, split_keyed, to_payload, typed
-from stockroom.operators.keyed import KeyedTable
-from stockroom.sources.pages import page_files, read_pages
+from stockroom.operators.keyed import KeyedTable, Period
+from stockroom.sources.files import folders
+from stockroom.sources.pages import stream_pages
 from stockroom.sources.registry import EntitySpec
-from stockroom.sources.tables import read_mart
+from stockroom.sources.tables import read_mart, write_mart
+from stockroom.streaming.micro import run_available
 
 
 @dataclass(frozen=True)
 class Context:
     """One run: where data lives, the run's name and the time it stands for.
 
-    Repeating a run under the same ``run_id`` changes nothing.
+    ``period`` is the calendar unit lake and warehouse tables are clustered by: choose
+    it so that a period of the largest entity holds a few GB. Landed files whose time is
+    ``max_file_age`` behind the newest one's are taken for seen; ``max_files`` bounds
+    the files of one micro-batch. Repeating a run under the same ``run_id`` changes
+    nothing.
     """
 
     spark: SparkSession
@@ -39,19 +44,23 @@ class Context:
     lookback: dt.timedelta = dt.timedelta(0)
     multi_line: bool = False
     evolve: bool = True
-    buckets: int = 64
+    period: str = "day"
     parallel: int = 4
     partition_facts: bool = False
     calendar: tuple[dt.date, dt.date] | None = None
+    max_files: int = 100_000
+    max_file_age: str = "90d"
 
     def lake(self, spec: EntitySpec) -> KeyedTable:
+        """Latest record per key; a record gives way to one that is not older."""
         return KeyedTable(
             self.spark,
             f"{self.root}/lake/{spec.name}",
             keys=["id"],
             order=["updated_at", "raw_data"],
-            buckets=self.buckets,
+            period=Period("updated_at", self.period),
             sort_by=["updated_at"],
+            newer="updated_at",
         )
 
     def warehouse(self, spec: EntitySpec) -> KeyedTable:
@@ -60,24 +69,23 @@ class Context:
             f"{self.root}/warehouse/raw/{spec.name}",
             keys=["_lake_id"],
             order=["_lake_updated_at"],
-            buckets=self.buckets,
+            period=Period(spec.cursor, self.period),
             sort_by=[spec.cursor],
         )
 
-    def taken(self, spec: EntitySpec) -> str:
-        """Where the page files already read are listed."""
-        return f"{self.root}/lake/_taken/{spec.name}"
+    def intake(self, spec: EntitySpec) -> str:
+        """What the intake remembers: Spark's log of files taken, and the records of its last batch."""
+        return f"{self.root}/lake/_intake/{spec.name}"
 
-    @property
-    def state(self) -> KeyedTable:
-        return KeyedTable(
-            self.spark,
-            f"{self.root}/lake/_bounds",
-            keys=["entity"],
-            order=["last_updated_at", "last_run_at"],
-            buckets=1,
-            keep_newest=True,
-        )
+    def rejected(self, spec: EntitySpec) -> str:
+        """Records without a usable key, a folder per batch of the intake."""
+        return f"{self.root}/lake/_rejected/{spec.name}"
+
+    def bounds(self, stage: str = "lake") -> DataFrame | None:
+        """How far each entity has come in the lake or the warehouse: a row per entity; None before the first."""
+        place = f"{self.root}/{stage}/_bounds"
+        found = [read_mart(self.spark, f"{place}/{name}") for name in folders(self.spark, place)]
+        return reduce(DataFrame.unionByName, found) if found else None
 
 
 def read_lake(
@@ -86,78 +94,76 @@ def read_lake(
     since: dt.datetime | None = None,
     lookback: dt.timedelta = dt.timedelta(0),
 ) -> DataFrame | None:
-    """Lake rows, all or those updated after a bound or at no known time; None before the first sync."""
-    rows = ctx.lake(spec).read()
-    return None if rows is None else newer_than(rows, "updated_at", since, lookback, keep_timeless=True)
-
+    """Lake rows, all or those updated after a bound or at no known time; None before the first sync.
 
-def _not_superseded(ctx: Context, spec: EntitySpec, late: DataFrame) -> DataFrame:
-    """Late records without a newer one of their key in the lake."""
-    stored = ctx.lake(spec).read()
-    if stored is None:
-        return late
-    newer = stored.select(F.col("id").alias("_stored_id"), F.col("updated_at").alias("_stored_at"))
-    return late.join(
-        newer, (F.col("id") == F.col("_stored_id")) & (F.col("_stored_at") > F.col("updated_at")), "left_anti"
-    )
+    Periods that end before the bound are not opened.
+    """
+    lake = ctx.lake(spec)
+    rows = lake.read(None if since is None else lake.since(bound_literal(since - lookback)))
+    return None if rows is None else newer_than(rows, "updated_at", since, lookback, keep_timeless=True)
 
 
 def sync_entity(ctx: Context, spec: EntitySpec) -> bool:
     """Move newly landed records into the lake. False when there were none.
 
-    Only page files that no earlier run has taken are read; a lookback reads all
-    of them again, since late records may lie in any. Files are marked as taken
-    after the merge, so a run that breaks off is simply repeated. A record of a new
-    page goes to the lake also when it is late or ties with the bound.
+    The pages are a file stream run to completion: its checkpoint knows the files that
+    earlier runs have taken, so no path passes through this code, and a batch that broke
+    off is repeated. Each page is parsed once, into a written batch. Every record of a
+    new page counts, late or tied ones too: the merge keeps a stored record only
+    where it is newer than the batch's.
     """
-    taken = read_mart(ctx.spark, ctx.taken(spec))
-    landed = page_files(ctx.spark, ctx.landing, spec)
-    fresh = landed if taken is None else landed.join(taken, "path", "left_anti")
-    names = [r["path"] for r in fresh.collect()]
-    if not names and not ctx.lookback:
-        return False
-    files = None if ctx.lookback else names
-    keyed, rejected = split_keyed(
-        to_payload(read_pages(ctx.spark, ctx.landing, spec, ctx.multi_line, files), spec)
-    )
-    rejected.write.mode("overwrite").parquet(
-        f"{ctx.root}/lake/_rejected/{spec.name}/run={ctx.run_id}"
-    )
-    bound = get_bound(ctx.state.read(), spec.name)
-    # A record without a time cannot be known to be old; the keyed merge absorbs repeats.
-    batch = newer_than(keyed, "updated_at", bound, ctx.lookback, keep_timeless=True)
-    if names and bound is not None:
-        if ctx.lookback:
-            keyed, _ = split_keyed(to_payload(read_pages(ctx.spark, ctx.landing, spec, ctx.multi_line, names), spec))
-        batch = batch.unionByName(_not_superseded(ctx, spec, keyed.filter(F.col("updated_at") <= bound_literal(bound))))
-    merged = ctx.lake(spec).merge(batch.withColumn("loaded_at", bound_literal(ctx.as_of)), ctx.run_id)
-    if names:
-        marks = ctx.spark.createDataFrame([(n,) for n in names], "path string")
-        marks.coalesce(1).write.mode("append").parquet(ctx.taken(spec))
-    return merged
+    merged = []
+    place = ctx.intake(spec)
+
+    def step(batch: DataFrame, batch_id: str) -> None:
+        seen = Observation()
+        records = to_payload(batch, spec).observe(seen, F.max(instant_text(F.col("updated_at"))).alias("reached"))
+        keyed, rejected = split_keyed(write_mart(records, f"{place}/records"))
+        bad = rejected.withColumn("run_id", F.lit(ctx.run_id))
+        bad.write.mode("overwrite").parquet(f"{ctx.rejected(spec)}/batch={batch_id.rsplit('-', 1)[1]}")
+        landed = keyed.withColumn("loaded_at", bound_literal(ctx.as_of))
+        merged.append(ctx.lake(spec).merge(landed, batch_id))
+        _advance(ctx, "lake", spec, seen.get["reached"])
+
+    pages = stream_pages(ctx.spark, ctx.landing, spec, ctx.multi_line, ctx.max_files, ctx.max_file_age)
+    ctx.lake(spec).finish()
+    run_available(pages, f"{place}/checkpoint", step).awaitTermination()
+    return any(merged)
 
 
 def load_entity(ctx: Context, spec: EntitySpec) -> bool:
     """Move lake rows newer than the warehouse into it, flattened and typed."""
     target = ctx.warehouse(spec)
-    since = table_bound(target.read(), spec.cursor)
+    target.finish()
+    since = get_bound(_bound(ctx, "warehouse", spec), spec.name) if target.exists() else None
     rows = read_lake(ctx, spec, since, ctx.lookback)
     if rows is None:
         return False
     flat = typed(flatten(rows, spec.schema, evolve=ctx.evolve), spec.schema)
-    return target.merge(flat, ctx.run_id)
+    seen = Observation()
+    batch = flat.observe(seen, F.max(instant_text(F.col(spec.cursor))).alias("reached"))
+    merged = target.merge(batch, ctx.run_id)
+    if merged:
+        _advance(ctx, "warehouse", spec, seen.get["reached"])
+    return merged
+
 
+def _bound(ctx: Context, stage: str, spec: EntitySpec) -> DataFrame | None:
+    return read_mart(ctx.spark, f"{ctx.root}/{stage}/_bounds/{spec.name}")
 
-def save_bounds(ctx: Context, specs: Iterable[EntitySpec]) -> bool:
-    """Record how far each lake table now reaches; entities without times are left out.
 
-    Runs after the data is published: a crash in between replays the batch,
-    which the keyed merge absorbs.
+def _advance(ctx: Context, stage: str, spec: EntitySpec, reached: str | None) -> None:
+    """Record how far an entity now reaches, taken from the batch just merged.
+
+    Runs after the data is published: a crash in between replays the batch, which the
+    merge absorbs. An entity has a file of its own, so entities advance side by side.
     """
-    tables = {spec.name: ctx.lake(spec).read() for spec in specs}
-    reached = [
-        bound_row(rows, name, "updated_at", ctx.as_of)
-        for name, rows in tables.items()
-        if rows is not None
-    ]
-    return bool(reached) and ctx.state.merge(reduce(DataFrame.unionByName, reached), ctx.run_id)
+    stored = get_bound(_bound(ctx, stage, spec), spec.name)
+    newest = max((t for t in (stored, text_instant(reached)) if t is not None), default=None)
+    if newest is not None:
+        row = ctx.spark.range(1).select(
+            F.lit(spec.name).alias("entity"),
+            bound_literal(newest).alias("last_updated_at"),
+            bound_literal(ctx.as_of).alias("last_run_at"),
+        )
+        write_mart(row, f"{ctx.root}/{stage}/_bounds/{spec.name}")

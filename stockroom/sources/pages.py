@@ -32,25 +32,19 @@ def entity_path(root: str, spec: EntitySpec) -> str:
     return f"{root.rstrip('/')}/{spec.endpoint}"
 
 
-def page_files(spark: SparkSession, root: str, spec: EntitySpec) -> DataFrame:
-    """Paths of an entity's page files; their contents are not read."""
-    return spark.read.format("binaryFile").load(entity_path(root, spec)).select("path")
-
-
 def read_pages(
     spark: SparkSession,
     root: str,
     spec: EntitySpec,
     multi_line: bool = False,
-    files: list[str] | None = None,
 ) -> DataFrame:
     """All records of an entity's pages as JSON text, one row each, read in parallel.
 
-    ``files`` limits the read to some of the pages. ``multi_line`` reads one pretty-printed page per file; the default of one
+    ``multi_line`` reads one pretty-printed page per file; the default of one
     page per line lets Spark split large files.
     """
     reader = spark.read.schema(ENVELOPE).options(**_page_options(multi_line))
-    return _records(reader.json(entity_path(root, spec) if files is None else files))
+    return _records(reader.json(entity_path(root, spec)))
 
 
 def stream_pages(
@@ -59,12 +53,17 @@ def stream_pages(
     spec: EntitySpec,
     multi_line: bool = False,
     max_files: int = 1000,
+    max_file_age: str = "90d",
 ) -> DataFrame:
-    """The same records as a stream that picks up newly landed files."""
+    """The same records as a stream that picks up newly landed files.
+
+    The source remembers the files it has taken as long as they are not ``max_file_age``
+    older than the newest; what lands with an older time than that is passed over.
+    """
     reader = (
         spark.readStream.schema(ENVELOPE)
         .options(**_page_options(multi_line))
-        .option("maxFilesPerTrigger", max_files)
+        .options(maxFilesPerTrigger=max_files, maxFileAge=max_file_age)
     )
     return _records(reader.json(entity_path(root, spec)))
 

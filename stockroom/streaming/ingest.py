@@ -6,7 +6,7 @@ batch replayed after a failure leaves no duplicates.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,20 +17,7 @@ from stockroom.operators.keyed import KeyedTable
 from stockroom.operators.scd2 import version_change
 from stockroom.plans.facts import split_payments
 from stockroom.sources.registry import EntitySpec
-
-
-def _start(
-    stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, str], None]
-) -> StreamingQuery:
-    """Start a stream that takes everything available and stops."""
-
-    def on_batch(batch: DataFrame, number: int) -> None:
-        # A query keeps its id with its checkpoint; a fresh checkpoint is a new query.
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        step(batch, f"{query or checkpoint}-{number}")
-
-    writer = stream.writeStream.foreachBatch(on_batch).trigger(availableNow=True)
-    return writer.option("checkpointLocation", checkpoint).start()
+from stockroom.streaming.micro import run_available
 
 
 def stream_table(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
@@ -51,7 +38,7 @@ def start_ingest(
         bad.write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
         lake.merge(keyed.withColumn("loaded_at", bound_literal(as_of)), batch_id)
 
-    return _start(pages, checkpoint, step)
+    return run_available(pages, checkpoint, step)
 
 
 def start_upsert(stream: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
@@ -60,7 +47,7 @@ def start_upsert(stream: DataFrame, table: KeyedTable, checkpoint: str) -> Strea
     def step(batch: DataFrame, batch_id: str) -> None:
         table.merge(batch, batch_id)
 
-    return _start(stream, checkpoint, step)
+    return run_available(stream, checkpoint, step)
 
 
 def start_scd2(
@@ -71,19 +58,16 @@ def start_scd2(
     checkpoint: str,
     tie_break: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Streamed versions woven into a history table, which must be bucketed by ``key``.
+    """Streamed versions woven into a history table.
 
     A batch may hold several versions of a key and late ones; nothing is deleted.
     """
-    if table.bucket_by != [key]:
-        raise ValueError(f"the history table must be bucketed by {key}")
-
     change = version_change(key, updated_at, tie_break)
 
     def step(batch: DataFrame, batch_id: str) -> None:
         table.rewrite(batch, batch_id, change)
 
-    return _start(stream, checkpoint, step)
+    return run_available(stream, checkpoint, step)
 
 
 def start_quarantine(
@@ -95,7 +79,7 @@ def start_quarantine(
         for rows, path in zip(split_payments(batch), (clean, flagged), strict=True):
             rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _start(payments, checkpoint, step)
+    return run_available(payments, checkpoint, step)
 
 
 def read_split(spark: SparkSession, path: str) -> DataFrame:

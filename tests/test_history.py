@@ -2,11 +2,12 @@
 
 import datetime as dt
 import random
+from pathlib import Path
 
 import pytest
 
 from stockroom.operators import scd2
-from stockroom.operators.keyed import KeyedTable
+from stockroom.operators.keyed import PERIOD
 from stockroom.plans.pipeline import run_snapshot, snap_table
 
 from .conftest import at, rows
@@ -54,7 +55,7 @@ def test_stored_history_equals_the_pure_one(spark, frame, tmp_path):
         [("x", "2", at(2)), ("y", "5", at(3)), ("z", "2", at(3))],
         [("y", "5", at(3)), ("z", "3", at(4))],
     ]
-    table = snap_table(spark, str(tmp_path / "h"), "k", buckets=4)
+    table = snap_table(spark, str(tmp_path / "h"))
     pure = None
     for day, source in enumerate(sources, start=1):
         df = frame(source, DDL)
@@ -79,6 +80,7 @@ def test_bulk_equals_repeated_runs(frame):
     for k, v, t in sorted(versions, key=lambda r: r[2]):
         state[k] = (k, v, t)
         h = run(h, frame(list(state.values()), DDL), 30)
+        h = frame(h.collect(), h.schema)  # eight runs in one plan take minutes to optimize
     bulk = scd2.history_from_versions(frame(versions, DDL), "k")
     assert rows(bulk, *SHOWN) == rows(h, *SHOWN)
 
@@ -118,9 +120,7 @@ def test_any_split_and_order_of_batches_gives_the_same_history(spark, frame, tmp
     want = rows(scd2.history_from_versions(frame(versions, DDL), "k"), *SHOWN)
     rng = random.Random(9)
     rng.shuffle(versions)
-    table = KeyedTable(
-        spark, str(tmp_path / "h"), ["scd_id"], buckets=4, bucket_by=["k"], max_segments=2
-    )
+    table = snap_table(spark, str(tmp_path / "h"), "day")
     for i in range(0, len(versions), 12):
         batch = frame(versions[i : i + 12], DDL)
         table.rewrite(batch, str(i), scd2.version_change("k", "updated_at"))
@@ -134,18 +134,59 @@ def test_a_feed_in_order_reaches_open_rows_alone(frame):
     assert rows(hit, "valid_to") == [(None,)]
 
 
-def test_stored_history_keeps_segments_a_batch_does_not_reach(spark, frame, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "h"), ["scd_id"], buckets=1, bucket_by=["k"])
+def periods(table):
+    """Data files of a history by period."""
+    found = {}
+    for f in Path(table.path).glob(f"{PERIOD}=*/*.parquet"):
+        found.setdefault(f.parent.name.split("=")[1], set()).add(f.name)
+    return found
+
+
+def test_stored_history_keeps_periods_a_batch_does_not_reach(spark, frame, tmp_path):
+    table = snap_table(spark, str(tmp_path / "h"), "day")
     change = scd2.version_change("k", "updated_at")
-    folders = []
     for day in (1, 2, 3):
         table.rewrite(frame([("k", str(day), at(day))], DDL), f"b{day}", change)
-        folders.append(set(table.live_folders()))
+    before = periods(table)
+    assert sorted(before) == ["2024-01-02", "2024-01-03", "__HIVE_DEFAULT_PARTITION__"]
     table.rewrite(frame([("other", "x", at(9))], DDL), "other", change)
-    assert folders[2] < set(table.live_folders())
+    after = periods(table)
+    assert {d for d in before if before[d] != after[d]} == {"__HIVE_DEFAULT_PARTITION__"}
     assert rows(table.read().filter("k = 'k'"), *SHOWN) == [
         ("k", "1", at(1), at(2)), ("k", "2", at(2), at(3)), ("k", "3", at(3), None),
     ]
+    # A late version opens the periods from its own time on, and no earlier one.
+    table.rewrite(frame([("k", "late", at(2, 12))], DDL), "late", change)
+    assert periods(table)["2024-01-03"] != before["2024-01-03"]
+    assert rows(table.read().filter("k = 'k'"), "v", "valid_to") == [
+        ("1", at(2)), ("2", at(2, 12)), ("3", None), ("late", at(3)),
+    ]
+
+
+def test_a_run_rewrites_open_versions_and_the_periods_it_closes_in(spark, frame, tmp_path):
+    table = snap_table(spark, str(tmp_path / "h"), "day")
+    run_snapshot(table, frame([("a", "1", at(1)), ("b", "1", at(1))], DDL), "k", at(1), "r1")
+    run_snapshot(table, frame([("a", "2", at(2)), ("b", "1", at(1))], DDL), "k", at(2), "r2")
+    before = periods(table)
+    run_snapshot(table, frame([("a", "2", at(2)), ("b", "2", at(3))], DDL), "k", at(3), "r3")
+    after = periods(table)
+    assert after["2024-01-02"] == before["2024-01-02"] and set(after) - set(before) == {"2024-01-03"}
+    assert table.read().count() == 4
+
+
+def test_closes_are_sought_for_unopened_members_alone(frame):
+    """Closed versions are narrowed to the members a run has to open before they are grouped."""
+    history = scd2.history_from_versions(frame(feed(6), DDL), "k")
+    source = frame([("a", "new", dt.datetime(2025, 1, 1)), ("back", "x", at(1))], DDL)
+    unopened = source.select("k").join(scd2.open_rows(history).select("k"), "k", "left_anti")
+    changes = scd2.snapshot_changes(history, source, "k", "updated_at", at(9), unopened=unopened)
+    plan = changes._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    grouped = next(i for i, line in enumerate(lines) if "Aggregate" in line and "_closed_key" in line)
+    assert any("LeftSemi" in line for line in lines[grouped + 1 : grouped + 4])
+    closed = frame([("a", at(2)), ("a", at(5)), ("b", at(3)), ("c", None)], "k string, valid_to timestamp")
+    got = scd2.last_closes(closed.filter("valid_to IS NOT NULL"), "k", frame([("a",), ("c",), ("d",)], "m string"))
+    assert rows(got) == [("a", at(5))]
 
 
 def test_long_timelines_keep_null_keys_and_times(frame):
@@ -158,7 +199,7 @@ def test_long_timelines_keep_null_keys_and_times(frame):
 
 
 def test_a_member_back_at_its_old_time_opens_after_its_close(spark, frame, tmp_path):
-    table = snap_table(spark, str(tmp_path / "h"), "k", buckets=2)
+    table = snap_table(spark, str(tmp_path / "h"))
     full, without = [("a", "x", at(1)), ("b", "y", at(1))], [("b", "y", at(1))]
     pure = None
     for day, source in ((2, full), (3, without), (5, full), (6, without), (7, full)):

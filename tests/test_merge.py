@@ -2,10 +2,12 @@
 
 import datetime as dt
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from stockroom.operators import keyed
 from stockroom.operators.bounds import (
     bound_literal,
     get_bound,
@@ -13,7 +15,7 @@ from stockroom.operators.bounds import (
     next_bound,
     table_bound,
 )
-from stockroom.operators.keyed import KeyedTable, upsert
+from stockroom.operators.keyed import PERIOD, KeyedTable, Period, upsert
 from stockroom.operators.latest import latest_by_key
 from stockroom.operators.lookups import fits_broadcast
 
@@ -70,71 +72,150 @@ def test_type_change_is_refused(frame):
 
 
 def table(spark, tmp_path, **options):
-    return KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], buckets=4, **options)
+    return KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], Period("updated_at"), **options)
+
+
+def files(tmp_path):
+    """Data files of a table by period."""
+    found = {}
+    for f in (tmp_path / "t").glob(f"{PERIOD}=*/*.parquet"):
+        found.setdefault(f.parent.name.split("=")[1], set()).add(f.name)
+    return found
 
 
 def test_table_before_and_after_merges(spark, frame, tmp_path):
     t = table(spark, tmp_path)
-    assert t.read() is None
+    assert t.read() is None and not t.exists()
     assert t.merge(frame([], DDL), "empty") is False
     assert t.read() is None
     assert t.merge(frame([("a", 1, at(1)), ("b", 1, at(1))], DDL), "one") is True
     assert t.merge(frame([("b", 2, at(2)), ("c", 2, at(2))], DDL), "two") is True
     assert rows(t.read(), "k", "v") == [("a", 1), ("b", 2), ("c", 2)]
+    assert t.read().columns == ["k", "v", "updated_at"]
+    assert not (tmp_path / "t" / "_staging").exists()
 
 
-def test_published_batch_is_not_applied_again(spark, frame, tmp_path):
+def test_last_batch_is_not_applied_again(spark, frame, tmp_path):
     t = table(spark, tmp_path)
     t.merge(frame([("a", 1, at(1))], DDL), "one")
     t.merge(frame([("a", 2, at(2))], DDL), "two")
-    assert t.merge(frame([("a", 1, at(1))], DDL), "one") is False
+    assert t.merge(frame([("a", 3, at(3))], DDL), "two") is False
     assert rows(t.read(), "v") == [(2,)]
 
 
-def test_unpublished_files_are_invisible_and_replaced(spark, frame, tmp_path):
+def test_a_batch_of_one_day_rewrites_that_day(spark, frame, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(frame([(f"{d}-{i}", 0, at(d)) for d in range(1, 6) for i in range(20)], DDL), "one")
+    before = files(tmp_path)
+    assert sorted(before) == [f"2024-01-0{d}" for d in range(1, 6)]
+    t.merge(frame([("new", 1, at(5)), ("5-3", 7, at(5, 9))], DDL), "day five")
+    after = files(tmp_path)
+    assert {d for d in before if before[d] != after[d]} == {"2024-01-05"}
+    t.merge(frame([("next", 1, at(6))], DDL), "day six")  # a new day adds one period
+    assert {d: f for d, f in files(tmp_path).items() if d != "2024-01-06"} == after
+    t.merge(frame([("2-0", 9, at(6))], DDL), "moved")  # leaves day two for day six
+    last = files(tmp_path)
+    assert {d for d in last if last[d] != after.get(d)} == {"2024-01-02", "2024-01-06"}
+    assert t.read().count() == 102 and rows(t.read().filter("k in ('2-0', '5-3')"), "v") == [(7,), (9,)]
+
+
+def test_an_emptied_period_goes(spark, frame, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(frame([("a", 1, at(1)), ("n", 1, None)], DDL), "one")
+    t.merge(frame([("a", 2, at(9)), ("n", 2, at(9))], DDL), "two")
+    assert list(files(tmp_path)) == ["2024-01-09"]
+    assert rows(t.read(), "k", "v") == [("a", 2), ("n", 2)]
+
+
+@pytest.mark.parametrize("broken", ["before", "between", "after"])
+def test_a_merge_that_broke_off_is_completed(spark, frame, tmp_path, monkeypatch, broken):
+    """The driver is lost before, while or after the periods are replaced."""
+    t = table(spark, tmp_path)
+    t.merge(frame([("a", 1, at(1)), ("b", 1, at(2)), ("c", 1, at(3))], DDL), "one")
+
+    class Lost(Exception):
+        pass
+
+    def lost(*_):
+        raise Lost
+
+    whole, calls = KeyedTable.finish, []
+
+    def finish(self):
+        calls.append(1)
+        if len(calls) == 1 or broken != "before":
+            return whole(self)
+        raise Lost
+
+    with monkeypatch.context() as patch:
+        patch.setattr(KeyedTable, "finish", finish)
+        if broken != "before":
+            patch.setattr(keyed, "remove", lost)
+        with pytest.raises(Lost):
+            # One period is emptied, one replaced, one added.
+            t.merge(frame([("a", 2, at(2)), ("d", 2, at(4))], DDL), "two")
+    if broken == "between":  # some periods were taken away, but not replaced yet
+        shutil.rmtree(tmp_path / "t" / f"{PERIOD}=2024-01-02")
+    again = table(spark, tmp_path)
+    want = [("a", 2), ("b", 1), ("c", 1), ("d", 2)]
+    assert again.merge(frame([("e", 3, at(4))], DDL), "three") is True
+    assert rows(again.read(), "k", "v") == [*want, ("e", 3)]
+    again.finish()  # nothing is left to do
+    assert again.read().count() == 5
+
+
+def test_staged_files_are_invisible(spark, frame, tmp_path):
     t = table(spark, tmp_path)
     t.merge(frame([("a", 1, at(1))], DDL), "one")
-    # A crash after writing data, before publishing it.
-    t._write(frame([("a", 99, at(9)), ("z", 99, at(9))], DDL), 2)
+    t._write(frame([("a", 99, at(9)), ("z", 99, at(9))], DDL), "overwrite")  # a crash before anything is ready
     assert rows(t.read(), "k", "v") == [("a", 1)]
     t.merge(frame([("a", 2, at(2))], DDL), "two")
     assert rows(t.read(), "k", "v") == [("a", 2)]
 
 
-def test_a_merge_rewrites_only_segments_that_hold_its_keys(spark, frame, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], buckets=4)
+def test_a_stored_row_stays_only_where_it_is_newer(spark, frame, tmp_path):
+    t = table(spark, tmp_path, newer="updated_at")
+    t.merge(frame([("late", 1, at(5)), ("tie", 1, at(5)), ("old", 1, at(5)), ("timeless", 1, None), ("timed", 1, at(5))], DDL), "one")
+    t.merge(frame([("late", 2, at(4)), ("tie", 2, at(5)), ("old", 2, at(6)), ("timeless", 2, at(1)), ("timed", 2, None), ("new", 2, at(1))], DDL), "two")
+    assert rows(t.read(), "k", "v") == [("late", 1), ("new", 2), ("old", 2), ("tie", 2), ("timed", 2), ("timeless", 2)]
 
-    def segments():
-        return {f.split("/data/")[1] for f in t.live_folders()}
 
-    t.merge(frame([(str(i), 0, at(1)) for i in range(200)], DDL), "one")
-    first = segments()
-    assert len(first) == 4
-    t.merge(frame([("new", 1, at(2))], DDL), "new key")  # one more segment, nothing rewritten
-    assert len(segments() - first) == 1 and first < segments()
-    before = segments()
-    t.merge(frame([("7", 1, at(3))], DDL), "known key")  # replaces the one segment with key 7
-    assert len(segments() - before) == 1 and len(before - segments()) == 1
-    assert t.read().count() == 201
-    assert rows(t.read().filter("k in ('7', 'new')"), "k", "v") == [("7", 1), ("new", 1)]
+def test_times_beyond_the_calendar(spark, frame, tmp_path):
+    t = table(spark, tmp_path)
+    far = frame([("far", 1), ("none", 1)], "k string, v int").withColumn(
+        "updated_at", F.expr("CASE WHEN k = 'far' THEN timestamp_micros(400000000000000000) END")
+    )
+    t.merge(far, "one")
+    t.merge(frame([("a", 1, at(1))], DDL), "two")
+    assert t.read().count() == 3
+    assert t.read(t.since(bound_literal(at(1)))).count() == 3  # kept in the period without a time
 
 
-def test_full_buckets_are_packed(spark, frame, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], buckets=1, max_segments=2)
-    sizes = []
-    for i in range(6):
-        t.merge(frame([(f"k{i}", i, at(1 + i))], DDL), f"b{i}")
-        sizes.append(len(t.live_folders()))
-    assert sizes == [1, 2, 1, 2, 1, 2]
-    assert t.read().count() == 6
+def test_merge_reads_key_columns_to_find_its_periods(spark, frame, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(frame([("a", 1, at(1))], DDL), "one")
+    stored = t._rows(t._state())
+    plan = stored.select("k", PERIOD).join(frame([("a",)], "k string"), "k", "left_semi")
+    assert "ReadSchema: struct<k:string>" in plan._jdf.queryExecution().executedPlan().treeString()
 
 
-def test_table_schema_evolves_over_untouched_buckets(spark, frame, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["k"], buckets=64)
-    t.merge(frame([(str(i), i) for i in range(50)], "k string, x int"), "one")
-    t.merge(frame([("7", 1), ("new", 2)], "k string, z int"), "two")
+def test_a_bound_opens_no_earlier_period(spark, frame, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(frame([(str(d), d, at(d)) for d in range(1, 9)] + [("none", 0, None)], DDL), "one")
+    late = t.read(t.since(bound_literal(at(7, 5))))
+    assert {f.split(f"{PERIOD}=")[1].split("/")[0] for f in late.inputFiles()} >= {"2024-01-07"}
+    assert rows(late, "k") == [("7",), ("8",), ("none",)]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and PERIOD in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_table_schema_evolves_over_untouched_periods(spark, frame, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["k"], Period("t"))
+    first = [(str(i), i, at(1 + i % 5)) for i in range(50)]
+    t.merge(frame(first, "k string, x int, t timestamp"), "one")
+    t.merge(frame([("7", 1, at(3)), ("new", 2, at(3))], "k string, z int, t timestamp"), "two")
     got = t.read()
-    assert got.columns == ["k", "x", "z"] and got.count() == 51
+    assert got.columns == ["k", "x", "t", "z"] and got.count() == 51
     assert rows(got.filter("k in ('7', '8', 'new')"), "k", "x", "z") == [
         ("7", None, 1), ("8", 8, None), ("new", None, 2),
     ]
@@ -148,7 +229,7 @@ def test_any_split_of_a_feed_gives_the_same_table(spark, frame, tmp_path):
         rng.shuffle(feed)
         cut = sorted(rng.sample(range(1, 40), 2))
         t = KeyedTable(
-            spark, str(tmp_path / str(n)), ["k"], ["updated_at"], buckets=4, keep_newest=True
+            spark, str(tmp_path / str(n)), ["k"], ["updated_at"], Period("updated_at"), keep_newest=True
         )
         for i, (lo, hi) in enumerate(zip([0, *cut], [*cut, 40], strict=True)):
             t.merge(frame(feed[lo:hi], DDL), f"b{i}")

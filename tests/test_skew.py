@@ -136,7 +136,7 @@ def test_latest_of_a_hot_key(spark, tmp_path):
     # One row per key and map task crosses the shuffle.
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
-    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"], buckets=4)
+    table = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["updated_at"])
     table.merge(feed, "one")
     assert table.read().count() == want.count()
 
