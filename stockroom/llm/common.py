@@ -15,11 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.session import work_dir
+from stockroom.sources.files import qualified
 
 # The white space that ends a word: U+0020 and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 GOLD = np.uint64(0x9E3779B97F4A7C15)
-WORDS_KEPT = 400_000  # entries of a worker's word table; only speed depends on it
+WORDS_KEPT = 40_000  # entries of a worker's word table, some 8 MB; only speed depends on it
+WORD_BYTES = 64  # longer words are not kept, so that the table is bounded in bytes
 
 
 def importable(spark: SparkSession) -> None:
@@ -48,7 +50,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, as a URI that tasks can open."""
     path = work_dir(spark, label)
-    return path if "://" in path else f"file://{path}"
+    scheme, colon, rest = qualified(spark, path if ":" in path else f"file:{path}").partition(":")
+    return f"{scheme}{colon}{rest if rest.startswith('//') else '//' + rest}"
 
 
 def vocabulary(name: str) -> str:
@@ -73,9 +76,11 @@ class _WordTable(dict):
     """Hash of a word, computed once for each word a worker meets."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= WORD_BYTES:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = value
         return value
 
 

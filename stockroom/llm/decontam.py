@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLD, WORDS_KEPT, fresh, mixed, pieces, stored, words
+from .common import GOLD, WORD_BYTES, WORDS_KEPT, fresh, mixed, pieces, stored, words
 
 # Positions of a window that the two masks hash.
 MASKS = ((0, 1, 3, 6, 7, 8), (0, 3, 4, 6, 8, 9))
@@ -52,10 +52,12 @@ class _Bare(dict):
     """Hash of a word without punctuation at its ends; 0 if nothing is left."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
         bare = word.strip(PUNCTUATION)
-        self[word] = value = (xxhash.xxh64_intdigest(bare) or 1) if bare else 0
+        value = (xxhash.xxh64_intdigest(bare) or 1) if bare else 0
+        if len(word) <= WORD_BYTES:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = value
         return value
 
 

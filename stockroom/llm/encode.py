@@ -15,7 +15,8 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT = 500_000  # entries of the table; only speed depends on it
+KEPT = 60_000  # entries of the table, some 10 MB; only speed depends on it
+LONGEST = 64  # longer cuts are not kept beyond a call, so that the table is bounded in bytes
 
 _RARE = re.compile("[\0\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BESIDE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ", "<|")  # a space beside white space; a special token
@@ -86,6 +87,9 @@ class Encoder:
                 out.append(b"".join(map(table.__getitem__, cut)))
             else:
                 out.append(self._ids(cut[0][1:]).tobytes() + b"".join(map(table.__getitem__, cut[1:])))
+        for c in unknown:
+            if len(c) > LONGEST:
+                del table[c]
         return out
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLD, mixed, pieces, shingles, stored, words
+from .common import GOLD, fresh, mixed, pieces, shingles, stored, words
 from .graph import components
 
 
@@ -338,5 +338,6 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 def deduplicate(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` whose document stays; rows with equal ids stay or go together."""
     kept: Column = F.col("kept")
-    stay = near_duplicates(docs, settings).filter(kept).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(stay.hint("shuffle_hash"), docs.doc_id.eqNullSafe(F.col("kept_id")), "left_semi")
+    name = fresh(docs, "kept_id")
+    stay = near_duplicates(docs, settings).filter(kept).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stay.hint("shuffle_hash"), docs.doc_id.eqNullSafe(F.col(name)), "left_semi")
