@@ -400,6 +400,20 @@ def _dq_report(m: Models) -> DataFrame:
     return checks.collect_report(m.spark, checks.run_checks(models, CHECKS))
 
 
+def _dq_failing_rows(m: Models) -> DataFrame:
+    """The rows behind a finding: payments without a store, as a run writes them beside its marts."""
+    tables = {"fct_payments": m.payments(["store", "customer"])}
+    check = next(c for c in CHECKS if (c.model, c.column) == ("fct_payments", "store_key"))
+    return checks.failing_rows(tables, check).select("payment_key", "payment_id", "order_id")
+
+
+def _revenue_first_half(m: Models) -> DataFrame:
+    """Revenue of the first six months of each year, from a sales fact stored by month."""
+    models = {"fct_sales": m.sales(["date"]), "dim_date": m.order_date}
+    stored = pipeline.write_marts(m.spark, models, work_dir(m.spark, "marts"), by_month=True)
+    return analytics.revenue_by_month(stored["fct_sales"], stored["dim_date"].filter("month <= 6"))
+
+
 # -- pages and streams ----------------------------------------------------------
 
 
@@ -579,9 +593,11 @@ _CATALOG: dict[str, Callable[[Models], DataFrame]] = {
     ),
     "dq_row_counts": lambda m: checks.row_counts({n: m.tables.entity(n) for n in ENTITIES}),
     "dq_report": _dq_report,
+    "dq_failing_rows": _dq_failing_rows,
     "revenue_by_store": lambda m: analytics.revenue_by_store(m.sales(["store"]), m.store),
     "top_products": lambda m: analytics.top_products(m.sales(["product"]), m.product),
     "revenue_by_month": lambda m: analytics.revenue_by_month(m.sales(["date"]), m.order_date),
+    "revenue_first_half": _revenue_first_half,
     "customer_segments": lambda m: analytics.customer_segments(
         m.sales(["customer"]), m.customer
     ),

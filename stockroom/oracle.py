@@ -565,6 +565,9 @@ def oracle_sql() -> dict[str, str]:
         "ORDER BY total_revenue DESC, product_name, category LIMIT 10",
         "revenue_by_month": f"SELECT year, month_name, {total.format('gross_amount', 'total_revenue')} "
         f"FROM {sales_date} GROUP BY year, month, month_name",
+        "revenue_first_half": f"SELECT year, month_name, {total.format('gross_amount', 'total_revenue')} "
+        f"FROM {sales_date} WHERE month <= 6 GROUP BY year, month, month_name",
+        "dq_failing_rows": "SELECT payment_key, payment_id, order_id FROM f_payments WHERE store_key IS NULL",
         "best_months": f"SELECT year, month_name, {total.format('gross_amount', 'total_revenue')} "
         f"FROM {sales_date} GROUP BY year, month, month_name "
         "ORDER BY total_revenue DESC, year, month LIMIT 3",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.plans.dims import current_only
+from stockroom.plans.dims import current_only, date_month
 
 
 def _total(column: str, alias: str) -> Column:
@@ -54,9 +54,18 @@ def top_products(fct_sales: DataFrame, dim_product: DataFrame, k: int = 10) -> D
 
 
 def _monthly(fct_sales: DataFrame, dim_date: DataFrame) -> DataFrame:
-    per_key = _per_key(fct_sales, "date_key", F.sum("gross_amount").alias("revenue"))
+    """Revenue per month of the calendar given.
+
+    A fact stored by month (``date_month``) joins on the month too: a calendar cut to
+    some time then prunes the fact's partitions while the query runs.
+    """
+    keys = ["date_key"]
+    if "date_month" in fct_sales.columns:
+        keys.append("date_month")
+        dim_date = dim_date.withColumn("date_month", date_month(F.col("date_key")))
+    per_key = fct_sales.groupBy(*keys).agg(F.sum("gross_amount").alias("revenue"))
     return (
-        per_key.join(dim_date, "date_key")
+        per_key.join(dim_date, keys)
         .groupBy("year", "month", "month_name")
         .agg(_total("revenue", "total_revenue"))
     )

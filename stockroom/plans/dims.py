@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.functions.scalars import surrogate_key, timestamp_text
@@ -111,5 +111,10 @@ def dim_date_covering(sources: Sequence[tuple[DataFrame, Sequence[str]]]) -> Dat
     return _calendar(span.select(F.explode(F.sequence("lo", "hi", day)).alias("full_date")))
 
 
+def date_month(date_key: Column) -> Column:
+    """The month of a date key, as facts stored by month are partitioned."""
+    return F.floor(date_key / 100).cast("int")
+
+
 def current_only(dim: DataFrame) -> DataFrame:
     return dim.filter("is_current")

@@ -168,8 +168,8 @@ def write_marts(
     """Write models side by side; ``by_month`` partitions those that have a date key."""
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        if by_month and "date_key" in df.columns:
-            month = F.floor(F.col("date_key") / 100).cast("int")
+        if by_month and name.startswith("fct_") and "date_key" in df.columns:
+            month = D.date_month(F.col("date_key"))
             return write_mart(df.withColumn("date_month", month), f"{root}/{name}", ["date_month"])
         return write_mart(df, f"{root}/{name}")
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockroom.operators import lookups, scd2
-from stockroom.plans import analytics, dims, facts
+from stockroom.plans import analytics, dims, facts, pipeline
 from stockroom.plans.staging import stg_orders, stg_payments, stg_products
 from stockroom.sources.registry import ENTITIES
 
@@ -263,3 +263,19 @@ def test_calendar_follows_the_facts(spark, frame):
     first, last = days.agg(F.min("date_key"), F.max("date_key")).first()
     assert (first, last) == (19850301, 20410709)
     assert dims.dim_date_covering([(df.limit(0), ["a"])]).isEmpty()
+
+
+def test_a_cut_calendar_prunes_the_months_of_a_stored_fact(spark, tmp_path):
+    """Only partitions of the calendar's months are read, found while the query runs."""
+    days = [dt.date(2024, m, d) for m in range(1, 7) for d in (1, 15)]
+    calendar = dims.dim_date(spark, dt.date(2024, 1, 1), dt.date(2024, 6, 30))
+    fact = spark.createDataFrame(
+        [(d.year * 10000 + d.month * 100 + d.day, Decimal(10)) for d in days], "date_key int, gross_amount decimal(18,2)"
+    )
+    stored = pipeline.write_marts(spark, {"fct_sales": fact, "dim_date": calendar}, str(tmp_path), by_month=True)
+    assert "date_month" not in stored["dim_date"].columns
+    got = analytics.revenue_by_month(stored["fct_sales"], stored["dim_date"].filter("month IN (2, 5)"))
+    assert [(r["month_name"], int(r["total_revenue"])) for r in got.collect()] == [("February", 20), ("May", 20)]
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    scanned = got._jdf.queryExecution().executedPlan().toString()
+    assert "date_month" in scanned.split("PartitionFilters: [")[1].split("]")[0]
