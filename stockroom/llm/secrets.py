@@ -17,6 +17,7 @@ module adds avoid theirs.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
@@ -67,6 +68,7 @@ MORE = (
 )
 RULES = BASE + MORE
 
+PART = 1024  # code points of the parts in which places of a text are sought; only speed depends on it
 MOST_STRINGS = 64  # alternatives kept apart while a query is derived; beyond, it gets weaker, never wrong
 
 
@@ -178,44 +180,75 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], key: str = "doc_id", te
     return met.groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """``step`` folded from 0 over an array of ints, with every result on the way: n + 1 of them.
+
+    An array can only be appended to by a copy, so the array is cut into about sqrt(n) parts of
+    sqrt(n) elements that are folded by themselves: n**1.5 small copies instead of n**2.
+    """
+    grown = F.array(F.lit(0))
+
+    def folded(part: Column) -> Column:
+        return F.aggregate(part, grown, lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x))))
+
+    def whole(of: Column) -> Column:
+        n = of["n"]
+        width = F.ceil(F.sqrt(n)).cast("int")
+        parts = F.transform(
+            F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")),
+            lambda k: folded(F.slice(of["v"], k * width + 1, width)),
+        )
+        return _let(
+            F.struct(parts.alias("parts"), width.alias("width")),
+            lambda p: _let(
+                folded(F.transform(p["parts"], lambda part: F.element_at(part, -1))),
+                lambda before: F.concat(
+                    grown,
+                    F.flatten(
+                        F.transform(
+                            p["parts"],
+                            lambda part, k: F.transform(F.slice(part, 2, p["width"]), lambda x: step(F.get(before, k), x)),
+                        )
+                    ),
+                ),
+            ),
+        )
+
+    return _let(
+        F.struct(values.alias("v"), F.size(values).alias("n")),
+        lambda of: F.when(of["n"] == 0, grown).otherwise(whole(of)),
+    )
+
+
 def _spans(text: Column, rule: Rule) -> Column:
     """Spans of a rule, leftmost and non-overlapping: pieces between matches give the places."""
     pattern = F.lit(rule.java())
 
     def placed(pieces: Column, found: Column, measured: Column) -> Column:
-        ends = F.aggregate(
-            F.arrays_zip(pieces.alias("p"), found.alias("m")),
-            F.array().cast("array<struct<s:int,e:int>>"),
-            lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(
-                F.concat(
-                    acc,
-                    F.array(
-                        _struct(
-                            F.coalesce(F.element_at(F.concat(F.array(F.lit(0)), acc["e"]), -1), F.lit(0))
-                            + F.length(x["p"]),
-                            F.length(x["m"]),
-                        )
-                    ),
-                )
+        used = _let(pieces, lambda p: F.transform(found, lambda m, i: F.length(F.get(p, i)) + F.length(m)))
+        spans = _let(
+            F.struct(_running(used, lambda a, x: a + x).alias("ends"), measured.alias("g")),
+            lambda t: F.transform(
+                found,
+                lambda m, i: F.struct(
+                    (F.get(t["ends"], i + 1) - F.length(m)).alias("s"),
+                    F.get(t["ends"], i + 1).alias("e"),
+                    F.length(F.get(t["g"], i)).alias("g"),
+                ),
             ),
         )
-        kept = F.filter(
-            F.transform(ends, lambda s, i: F.struct(s["s"].alias("s"), s["e"].alias("e"), F.get(measured, i).alias("g"))),
-            lambda s: F.length(s["g"]) >= rule.least,
-        )
+        kept = F.filter(spans, lambda s: s["g"] >= rule.least)
         return F.transform(kept, lambda s: F.struct(s["s"].alias("s"), s["e"].alias("e"), F.lit(rule.kind).alias("kind")))
 
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     measured = F.regexp_extract_all(text, pattern, F.lit(rule.group))
     none = F.array().cast("array<struct<s:int,e:int,kind:string>>")
-    return F.transform(
-        F.array(found),
-        lambda f: F.when(F.size(f) == 0, none).otherwise(placed(F.split(text, rule.java(), -1), f, measured)),
-    )[0]
-
-
-def _struct(start: Column, length: Column) -> Column:
-    return F.struct(start.cast("int").alias("s"), (start + length).cast("int").alias("e"))
+    return _let(found, lambda f: F.when(F.size(f) == 0, none).otherwise(placed(F.split(text, rule.java(), -1), f, measured)))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text", spans: str = "spans") -> DataFrame:
@@ -269,20 +302,30 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRE
     spans = fresh(docs, "secret_spans")
     df = scan(docs, rules, spans=spans)
     body = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(
-        F.col(spans),
-        start,
-        lambda a, x: F.when(
-            x["e"] > a["at"],
-            F.struct(
-                x["e"].alias("at"),
-                F.when(x["s"] >= a["at"], F.concat(a["out"], F.substring(body, a["at"] + 1, x["s"] - a["at"]), F.lit(mask)))
-                .otherwise(a["out"]).alias("out"),
+    # What lies between the end of all earlier spans and a later start is kept. A place is sought
+    # in its own part of the text: counting characters from the text's start would be quadratic.
+    def kept(gap: Column, parts: Column) -> Column:
+        first, last = F.floor(gap["a"] / PART), F.floor((gap["b"] - 1) / PART)
+        near = F.array_join(F.slice(parts, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return F.when(gap["b"] > gap["a"], F.substring(near, gap["a"] % PART + 1, gap["b"] - gap["a"])).otherwise("")
+
+    def gaps(reach: Column) -> Column:
+        every = F.transform(
+            F.concat(F.col(spans)["s"], F.array(F.length(body))),
+            lambda s, i: F.struct(F.get(reach, i).alias("a"), s.alias("b")),
+        )
+        return F.filter(every, lambda g: g["b"] >= g["a"])
+
+    done = _let(
+        F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)),
+        lambda parts: F.array_join(
+            F.transform(
+                _let(_running(F.col(spans)["e"], lambda a, x: F.greatest(a, x)), gaps),
+                lambda gap: kept(gap, parts),
             ),
-        ).otherwise(a),
-        lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.length(body) - a["at"])),
-    )
+            mask,
+        ),
+    )
     df = df.withColumn("text", F.when(F.size(spans) > 0, done).otherwise(body))
     if "n_chars" in docs.columns:
         counted = F.when(F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType))

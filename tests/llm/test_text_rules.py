@@ -1,5 +1,7 @@
 """Secret scans, quality rules and chat formatting against plain Python."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +85,27 @@ def test_redact(spark, odd):
     assert out[12].text == ODD[12][1] and out[0].text is None and out[12].secret_spans == "x"
 
 
+def test_many_matches_in_one_text(spark):
+    """100,000 matches, some within others, some side by side; é and 🙂 tell places in code points from bytes."""
+    parts = ["é token=abcdef12 🙂", "password: " + "0a" * 15 + ";", "AKIA" + "B" * 20 + "/", "x" * 2000 + " api_key=ghp_" + "a" * 40]
+    text = "\n".join(parts[3 if i % 5000 == 0 else i % 3] for i in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, "token=abcdef12" * 3), (3, "no")], "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r.doc_id: r for r in secrets.digest(docs).collect()}
+    out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert time.perf_counter() - start < 60
+    for r in docs.collect():
+        assert (r.doc_id, *got[r.doc_id][1:5]) == (r.doc_id, *brute.secrets(r.text))
+        places = sorted(tuple(map(int, s.split(":")[1:])) for s in got[r.doc_id].spans.split(",") if s)
+        want, at = [], 0
+        for s, e in places:
+            if s >= at:
+                want += [r.text[at:s], "[SECRET]"]
+            at = max(at, e)
+        assert out[r.doc_id] == "".join([*want, r.text[at:]])
+    assert got[1].n_assign > 60_000
+
+
 @pytest.mark.parametrize("source", ["odd", "table"])
 def test_quality(spark, odd, source):
     docs = odd if source == "odd" else documents(spark)
