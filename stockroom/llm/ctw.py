@@ -12,13 +12,13 @@ blocks, about ``BLOCK`` bytes of consecutive texts of an input partition.
 
 1. A block lists its distinct words and its distinct :func:`grams` (six bytes and the
    next) with their training counts. A shuffle by word sums the words' counts.
-2. The grams are packed by their last three context bytes, the ``top``, and shuffled by it;
-   many blocks are first merged in parts, so that a frequent top is no hot key. A top's
-   distinct grams hold its whole subtree: depths three to six are weighed there.
+2. The grams are packed into slices of their last three context bytes, the ``top``, and shuffled
+   by slice; many blocks are first merged in parts, so that a frequent top is no hot key. A
+   top's distinct grams hold its whole subtree: depths three to six are weighed there.
 3. Sums of the subtrees and of the counts by two bytes (at most 2**24 each, whatever
    the input) weigh the upper tree, which is broadcast.
 4. Every distinct gram gets its log probability, and goes back to the blocks that list
-   it, as the words' totals do. Blocks meet a top's predictions some at a time.
+   it, as the words' totals do. Blocks meet a slice's predictions some at a time.
 
 Defined results: a NULL or empty text has only its end; a NULL id is not held out; every
 row is a text of its own, repeated rows count as often as they occur; an empty table
@@ -39,15 +39,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, stored, word_hashes, words
+from .common import mixed, pieces, stored, word_hashes, words
 
 DEPTH = 16  # bits of context of the upper tree
 DEEPEST = 6  # bytes of context
 END_WORD = b"\n"  # no word holds a newline
 BLOCK = 24_000_000  # bytes of text in a block; the last text may go beyond
-SHARE = 3_000_000  # grams of a task, on average
-TOGETHER = 1024  # blocks whose lists of a top meet in a task
+PIECE = 2_000_000  # bytes of text taken at once
+SHARE = 2_000_000  # grams of a task, on average
+TOGETHER = 1024  # blocks whose lists of a slice meet in a task
 NODES = 8  # decisions of a byte
+SLICES = 4096  # groups of tops
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -234,17 +236,41 @@ class Sums:
         return self.keys, self.counts
 
 
-def packed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tops of sorted grams, and the bounds of their stretches."""
-    tops = keys >> 32
-    starts = np.flatnonzero(np.diff(tops, prepend=-1))
-    return tops[starts], np.append(starts, len(keys))
+def squeezed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 to 2**56 - 1 in groups of seven bits, the lowest first, and how many bytes each takes."""
+    sizes = np.ones(len(values), np.int64)
+    for k in range(1, 8):
+        sizes += values >= 1 << 7 * k
+    at = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint8)
+    left = np.arange(len(values))
+    for k in range(8):
+        more = sizes[left] > k + 1
+        out[at[left] + k] = (values[left] >> 7 * k) & 127 | more << 7
+        left = left[more]
+    return out, sizes
+
 
+def stretched(data: np.ndarray) -> np.ndarray:
+    """The numbers that :func:`squeezed` wrote."""
+    ends = np.flatnonzero(data < 128)
+    starts = np.append(0, ends[:-1] + 1)[: len(ends)]
+    out = np.zeros(len(ends), np.int64)
+    for k in range(int((ends - starts).max(initial=-1)) + 1):
+        some = np.flatnonzero(ends - starts >= k)
+        out[some] |= (data[starts[some] + k] & 127).astype(np.int64) << 7 * k
+    return out
 
-def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+
+def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Stretches of an array as binary values."""
-    ends = pa.py_buffer((bounds * values.itemsize).astype(np.int32))
-    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, ends, pa.py_buffer(np.ascontiguousarray(values))])
+    places = pa.py_buffer((bounds * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, places, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _squeezed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    data, sizes = squeezed(values)
+    return _cut(data, np.append(0, np.cumsum(sizes))[bounds])
 
 
 def _values(column: pa.Array | pa.ChunkedArray, kind) -> np.ndarray:
@@ -255,24 +281,38 @@ def _values(column: pa.Array | pa.ChunkedArray, kind) -> np.ndarray:
 
 def unpacked(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
     """Grams of packed rows, in their order."""
-    tops, sizes = rows.column("top").to_numpy().astype(np.int64), rows.column("size").to_numpy()
-    return np.repeat(tops << 32, sizes) | _values(rows.column("rest"), np.uint32).astype(np.int64)
-
-
-def _packs(keys: np.ndarray, **values: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Packed rows of sorted grams, about a megabyte of grams a batch, a top in one row."""
-    tops, bounds = packed(keys)
+    sums = np.cumsum(stretched(_values(rows.column("grams"), np.uint8)))
+    sizes = rows.column("size").to_numpy()
+    ends = np.cumsum(sizes)
+    return sums - np.repeat(np.append(0, sums[ends[:-1] - 1])[: len(sizes)], sizes)
+
+
+def _packs(keys: np.ndarray, counts: np.ndarray | None = None, logs: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Packed rows of sorted grams: a row a slice, which holds whole tops; grams by their differences."""
+    starts = np.flatnonzero(np.diff(keys >> 32, prepend=-1))
+    own = (mixed((keys[starts] >> 32).astype(np.uint64)) % np.uint64(SLICES)).astype(np.uint16)
+    of = np.repeat(own, np.diff(np.append(starts, len(keys))))
+    order = np.argsort(of, kind="stable")
+    of, keys = of[order], keys[order]
+    starts = np.flatnonzero(np.diff(of.astype(np.int64), prepend=-1))
+    bounds = np.append(starts, len(keys))
+    steps = np.diff(keys, prepend=0)
+    steps[starts] = keys[starts]
+    counts, logs = (None if v is None else v[order] for v in (counts, logs))
     at = 0
-    while at < len(tops):
+    while at < len(starts):  # about a quarter of a million grams a batch
         end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + 250_000, "right")) - 1)
         low, high = bounds[at], bounds[end]
         spans = bounds[at : end + 1] - low
         columns = {
-            "top": pa.array(tops[at:end].astype(np.int32)),
+            "slice": pa.array(of[starts[at:end]].astype(np.int32)),
             "size": pa.array(np.diff(spans).astype(np.int32)),
-            "rest": _blobs((keys[low:high] & 0xFFFFFFFF).astype(np.uint32), spans),
+            "grams": _squeezed(steps[low:high], spans),
         }
-        columns |= {name: _blobs(v[low:high], spans) for name, v in values.items()}
+        if counts is not None:
+            columns["counts"] = _squeezed(counts[low:high], spans)
+        if logs is not None:
+            columns["logs"] = _cut(logs[low:high], spans)
         yield pa.RecordBatch.from_pydict(columns)
         at = end
 
@@ -298,7 +338,7 @@ def _hashes(text: str | None) -> np.ndarray:
 
 
 def gathered(docs: DataFrame, trained: Column) -> DataFrame:
-    """A block's distinct words (``key``, ``n``) and its grams (``top``, ``size``, ``rest``, ``counts``), trained counts beside them."""
+    """A block's distinct words (``key``, ``n``) and its grams (``slice``, ``size``, ``grams``, ``counts``), trained counts beside them."""
 
     def listed(block: int, of_words: Sums, of_grams: Sums) -> Iterator[pa.RecordBatch]:
         def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -315,7 +355,7 @@ def gathered(docs: DataFrame, trained: Column) -> DataFrame:
         for at in range(0, len(keys), 100_000):
             yield rows(pa.RecordBatch.from_pydict({"key": keys[at : at + 100_000], "n": n[at : at + 100_000]}))
         keys, n = of_grams.merged()
-        yield from map(rows, _packs(keys, counts=n.astype(np.uint32)))
+        yield from map(rows, _packs(keys, counts=n))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current = None
@@ -324,7 +364,7 @@ def gathered(docs: DataFrame, trained: Column) -> DataFrame:
                 if current is not None:
                     yield from listed(current, of_words, of_grams)
                 current, of_words, of_grams = block, Sums(), Sums()
-            for part, texts in pieces([some]):
+            for part, texts in pieces([some], chars=PIECE):
                 learn = part.column("learn").to_pylist()
                 for used in (True, False):
                     own = [t for t, x in zip(texts, learn, strict=True) if x is used]
@@ -336,32 +376,32 @@ def gathered(docs: DataFrame, trained: Column) -> DataFrame:
             yield from listed(current, of_words, of_grams)
 
     return docs.select("text", trained.alias("learn")).mapInArrow(
-        count, "block long, key long, n long, top int, size int, rest binary, counts binary"
+        count, "block long, key long, n long, slice int, size int, grams binary, counts binary"
     )
 
 
 LISTED = pa.schema(
-    [("block", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("top", pa.int32()), ("size", pa.int32()),
-     ("rest", pa.binary()), ("counts", pa.binary())]
+    [("block", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("slice", pa.int32()), ("size", pa.int32()),
+     ("grams", pa.binary()), ("counts", pa.binary())]
 )
 
 
-def _merged(packs: DataFrame, tasks: int, by: list, kind) -> DataFrame:
+def _merged(packs: DataFrame, tasks: int, *by: str | Column) -> DataFrame:
     """Packed rows with the counts of equal grams added up, ``by`` deciding which rows meet."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Sums()
         for batch in batches:
-            sums.add(unpacked(batch), _values(batch.column("counts"), kind).astype(np.int64))
+            sums.add(unpacked(batch), stretched(_values(batch.column("counts"), np.uint8)))
         keys, counts = sums.merged()
         yield from _packs(keys, counts=counts)
 
-    met = packs.repartition(tasks, *by).select("top", "size", "rest", "counts")
-    return met.mapInArrow(merge, "top int, size int, rest binary, counts binary")
+    met = packs.repartition(tasks, *by).select("slice", "size", "grams", "counts")
+    return met.mapInArrow(merge, "slice int, size int, grams binary, counts binary")
 
 
 def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted grams and their counts of some whole tops at a time, about ``SHARE`` / 4 grams or one top."""
+    """Sorted grams and their counts of some whole slices at a time, about ``SHARE`` / 4 grams or one slice."""
     for batch in batches:
         ends = np.cumsum(batch.column("size").to_numpy())
         at = 0
@@ -369,7 +409,7 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
             before = ends[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(ends, before + SHARE // 4, "right")))
             some = batch.slice(at, end - at)
-            keys, counts = unpacked(some), _values(some.column("counts"), np.int64)
+            keys, counts = unpacked(some), stretched(_values(some.column("counts"), np.uint8))
             order = np.argsort(keys, kind="stable")
             yield keys[order], counts[order]
             at = end
@@ -398,13 +438,12 @@ def _upper(merged: DataFrame) -> Tree:
 
 
 def _answered(listed: DataFrame) -> DataFrame:
-    """(block, top, size, rest, logs): the log probability of every gram a block lists."""
+    """(block, size, grams, logs): the log probability of every gram a block lists."""
     total, most = listed.agg(F.sum("size"), F.count_distinct("block")).first()
     tasks, parts = 1 + (total or 0) // SHARE, 1 + most // TOGETHER
-    part, kind, merged = F.col("block") % parts, np.uint32, listed
-    if parts > 1:
-        merged, kind = _merged(listed, tasks, ["top", part], kind), np.int64
-    merged = stored(_merged(merged, tasks, ["top"], kind), "grams")
+    part = F.col("block") % parts
+    merged = listed if parts == 1 else _merged(listed, tasks, "slice", part)
+    merged = stored(_merged(merged, tasks, "slice"), "grams")
     shared = listed.sparkSession.sparkContext.broadcast(_upper(merged))
 
     def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,14 +456,14 @@ def _answered(listed: DataFrame) -> DataFrame:
         lists = lists.combine_chunks()
         own = logs[order][np.searchsorted(keys[order], unpacked(lists))]
         bounds = np.append(0, np.cumsum(lists.column("size").to_numpy()))
-        return lists.select(["block", "top", "size", "rest"]).append_column("logs", _blobs(own, bounds))
+        return lists.select(["block", "size", "grams"]).append_column("logs", _cut(own, bounds))
 
-    group = F.pmod(F.hash("top"), F.lit(tasks))
-    model = merged.mapInArrow(rated, "top int, size int, rest binary, logs binary")
-    model = model.select("*", group.alias("share"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    lists = listed.select("block", "top", "size", "rest", group.alias("share"), part.cast("int").alias("part"))
+    group = F.pmod(F.hash("slice"), F.lit(tasks))
+    model = merged.mapInArrow(rated, "slice int, size int, grams binary, logs binary")
+    model = model.select("size", "grams", "logs", group.alias("share"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    lists = listed.select("block", "size", "grams", group.alias("share"), part.cast("int").alias("part"))
     both = lists.groupBy("share", "part").cogroup(model.groupBy("share", "part"))
-    return both.applyInArrow(look_up, "block long, top int, size int, rest binary, logs binary")
+    return both.applyInArrow(look_up, "block long, size int, grams binary, logs binary")
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -445,7 +484,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     sizes = totals.agg(F.sum("n").alias("n"), F.count_if((F.col("c") > 0) & (F.col("block") == F.col("first"))).alias("v"))
     n_train, n_words = sizes.first()
     n_train = n_train or 0
-    answers = _answered(counts.filter("top IS NOT NULL").select("block", "top", "size", "rest", "counts"))
+    answers = _answered(counts.filter("slice IS NOT NULL").select("block", "slice", "size", "grams", "counts"))
     unit = math.log10(n_train + n_words + 1)
 
     def found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -455,7 +494,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         return at
 
     def rate(texts_of: pa.Table, listed: pa.Table) -> pa.Table:
-        words_of, grams_of = (listed.filter(pc.is_valid(listed.column(c))) for c in ("key", "top"))
+        words_of, grams_of = (listed.filter(pc.is_valid(listed.column(c))) for c in ("key", "grams"))
         order = np.argsort(words_of.column("key").to_numpy())
         keys, totals = (words_of.column(c).to_numpy()[order] for c in ("key", "c"))
         gains = np.log10(totals + 1.0)
@@ -463,8 +502,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         order = np.argsort(spots, kind="stable")
         spots, logs = spots[order], logs[order].astype(np.float64)
         out = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "bits")}
-        for batch in texts_of.to_batches():
-            for part, texts in pieces([batch]):
+        for some in texts_of.column("texts"):
+            for part, texts in pieces(pa.ipc.open_stream(some.as_buffer()), chars=PIECE):
                 hashes = [_hashes(t) for t in texts]
                 at = found(keys, np.concatenate(hashes))
                 sizes = np.array([len(f) for f in hashes])
@@ -482,7 +521,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                 out["bits"].append(-total / math.log10(2) / np.array([len(t) + 1 for t in data]))
                 out["doc_id"].append(part.column("doc_id"))
                 out["held_out"].append(part.column("held_out"))
-        rows = texts_of.num_rows
+        rows = sum(map(len, out["doc_id"]))
         return pa.table(
             {
                 "doc_id": pa.chunked_array(out["doc_id"], pa.int64()),
@@ -496,13 +535,16 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, some in _blocks(batches):
-            yield some.append_column("block", pa.array(np.full(some.num_rows, block)))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_batch(some)
+            yield pa.RecordBatch.from_pydict({"block": [block], "texts": [sink.getvalue().to_pybytes()]})
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"))
-    texts = texts.mapInArrow(numbered, "doc_id long, text string, held_out boolean, block long")
-    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("key", "long"), ("c", "long"), ("top", "int"), ("size", "int"), ("rest", "binary"), ("logs", "binary"))}
-    listed = totals.select("block", "key", "c", *(none[c] for c in ("top", "size", "rest", "logs"))).unionAll(
-        answers.select("block", none["key"], none["c"], "top", "size", "rest", "logs")
+    texts = texts.mapInArrow(numbered, "block long, texts binary")  # compressed: every text is shuffled once
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("key", "long"), ("c", "long"), ("size", "int"), ("grams", "binary"), ("logs", "binary"))}
+    listed = totals.select("block", "key", "c", *(none[c] for c in ("size", "grams", "logs"))).unionAll(
+        answers.select("block", none["key"], none["c"], "size", "grams", "logs")
     )
     return texts.groupBy("block").cogroup(listed.groupBy("block")).applyInArrow(
         rate,

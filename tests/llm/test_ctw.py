@@ -79,6 +79,18 @@ def test_grams():
     assert starts.tolist() == [0, 1, 11, 14]
 
 
+def test_packed_rows_hold_all_grams():
+    rng = np.random.default_rng(0)
+    values = np.r_[0, 1, 127, 128, (1 << 56) - 1, rng.integers(0, 1 << 56, 1000) >> rng.integers(0, 56, 1000)]
+    assert (ctw.stretched(ctw.squeezed(values)[0]) == values).all()
+    keys = np.unique(np.r_[values, rng.integers(97, 105, 5000) << 32 | rng.integers(0, 1 << 32, 5000)])
+    batches = list(ctw._packs(keys, counts=keys % 1000))
+    got = np.concatenate([ctw.unpacked(b) for b in batches])
+    counts = np.concatenate([ctw.stretched(ctw._values(b.column("counts"), np.uint8)) for b in batches])
+    assert (np.sort(got) == keys).all() and (counts == got % 1000).all()
+    assert not list(ctw._packs(np.empty(0, np.int64))) and len(ctw.stretched(np.empty(0, np.uint8))) == 0
+
+
 def test_upper_tree_follows_the_definition():
     rng = random.Random(0)
     pairs = [(rng.choice([97, 98, 0]) << 8 | rng.choice([97, 99, 0]), rng.choice([97, 98, 99, 255])) for _ in range(300)]
