@@ -45,8 +45,8 @@ DEPTH = 16  # bits of context of the upper tree
 DEEPEST = 6  # bytes of context
 END_WORD = b"\n"  # no word holds a newline
 BLOCK = 24_000_000  # bytes of text in a block; the last text may go beyond
-PIECE = 2_000_000  # bytes of text taken at once
-SHARE = 2_000_000  # grams of a task, on average
+PIECE = 1_000_000  # bytes of text taken at once
+SHARE = 1_000_000  # grams of a task, on average
 TOGETHER = 1024  # blocks whose lists of a slice meet in a task
 NODES = 8  # decisions of a byte
 SLICES = 4096  # groups of tops
@@ -221,7 +221,7 @@ class Sums:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.parts.append((keys, counts))
         self.waiting += len(keys)
-        if self.waiting > max(1_000_000, len(self.keys)):
+        if self.waiting > max(500_000, len(self.keys) // 2):
             self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
