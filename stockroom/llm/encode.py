@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT = 60_000  # entries of the table, some 10 MB; only speed depends on it
+KEPT = 60_000  # entries of either table, some 10 MB; only speed depends on it
 LONGEST = 64  # longer cuts are not kept beyond a call, so that the table is bounded in bytes
 
 _RARE = re.compile("[\0\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -45,6 +45,7 @@ class Encoder:
             self.opens = np.zeros(1 << 16, bool)
             self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.table: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
@@ -73,10 +74,13 @@ class Encoder:
                 cuts.append(text.split())
             else:  # the first cut has no space before it and is encoded by itself
                 cuts.append([" " + c for c in text.split(" ")])
-        table = self.table
-        if len(table) > KEPT:
-            table.clear()
-        unknown = list({c for cut in cuts if cut for c in (cut if self.drops_space else cut[1:]) if c not in table})
+        if len(self.table) > KEPT:  # cuts that are met again come over from the older table
+            self.older, self.table = self.table, {}
+        table, older = self.table, self.older
+        met = set().union(*(cut if self.drops_space else cut[1:] for cut in cuts if cut)).difference(table)
+        again = met.intersection(older)
+        table.update(zip(again, map(older.__getitem__, again), strict=True))
+        unknown = list(met - again)
         for at in range(0, len(unknown), 5000):
             self._learn(unknown[at : at + 5000])
         out = []
