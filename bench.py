@@ -15,13 +15,37 @@ from stockroom.catalog import queries
 from stockroom.session import local_session
 
 HEADLINE = (
-    "revenue_by_store top_products revenue_by_month customer_segments payment_methods "
-    "flagged_by_reason lifecycle_metrics revenue_by_category best_months lines_per_order "
-    "anomaly_share discount_by_product fct_sales fct_payments fct_inventory_daily "
-    "fct_order_lifecycle flagged_payments dim_customer dim_product scd2_bulk scd2_two_runs "
-    "latest_by_key upsert_two_batches merge_load_evolved json_flatten ingest_pages "
-    "stream_upsert stream_scd2 dq_unique dq_report"
-).split()
+    "revenue_by_store",
+    "top_products",
+    "revenue_by_month",
+    "customer_segments",
+    "payment_methods",
+    "flagged_by_reason",
+    "lifecycle_metrics",
+    "revenue_by_category",
+    "best_months",
+    "lines_per_order",
+    "anomaly_share",
+    "discount_by_product",
+    "fct_sales",
+    "fct_payments",
+    "fct_inventory_daily",
+    "fct_order_lifecycle",
+    "flagged_payments",
+    "dim_customer",
+    "dim_product",
+    "scd2_bulk",
+    "scd2_two_runs",
+    "latest_by_key",
+    "upsert_two_batches",
+    "merge_load_evolved",
+    "json_flatten",
+    "ingest_pages",
+    "stream_upsert",
+    "stream_scd2",
+    "dq_unique",
+    "dq_report",
+)
 
 
 def main(names: list[str]) -> None:
