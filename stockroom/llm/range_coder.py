@@ -1,16 +1,20 @@
 """An adaptive context-mixing range coder for token ids, run on many blocks side by side.
 
-Every block starts from the same empty model, so blocks are independent; numpy carries
-out one step of all of them at a time ("lanes"). A step codes one id per lane:
+A group of blocks has :class:`Tables`: how often each id comes (order 0) and follows each
+other id (order 1; pairs too rare to pay for their entry are left out). They are stored
+once, ahead of the blocks. Every block starts from them and an otherwise empty model, so
+blocks are independent; numpy carries out one step of all of them at a time ("lanes").
+A step codes one id per lane:
 
 * Order 2 (the two ids before) and order 1 (the id before) each remember the id that
-  followed last and how long it has held true. The order-2 id, or else the order-1 id,
-  is the candidate.
-* "Is it the candidate?" is one binary decision. Three adaptive estimates (order-2
-  confidence, order-1 confidence with agreement, order-0: how recent candidates fared)
-  are mixed in a stretched domain by weights learned along the way.
-* If not, the id is coded by order 0: adaptive choices of its bit length, of its next
-  four bits and of the four after them; what bits remain are even.
+  followed last in the block and how long it has held true. The order-2 id, else the
+  order-1 id, else the most frequent follower in the tables is the candidate.
+* "Is it the candidate?" is one binary decision. Estimates of orders 2 and 1 (by how sure
+  each is, and whether they agree), the candidate's share among the followers in the
+  tables, its share among all ids, and how recent candidates fared are mixed in a
+  stretched domain by weights learned along the way.
+* If not, a second decision, mixed likewise, says whether order 1 lists the id. If so it
+  is coded by its count among the followers, else by its count in order 0.
 
 Decisions drive a carry-less range coder of 64 bits that emits 16 at a time. Only
 IEEE additions, products and quotients are used, so every machine decodes alike.
@@ -18,15 +22,80 @@ IEEE additions, products and quotients are used, so every machine decodes alike.
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import numpy as np
 
 TOP, FLOOR, DIGIT, SHIFT = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16), np.uint64(48)
 ONE = np.uint64(1)
 ORDER1, ORDER2 = 1 << 10, 1 << 12  # contexts of a lane
-STEP, MOST = 24, 1 << 13  # what a choice's count gains, and when its row is halved
+LEAST = 4  # a pair that comes less often is not listed
 BITS, HALF = np.uint64(16), 1 << 16  # total of a binary decision
+RATE = 0.02  # of learning weights
 SURE = 15  # confidence stops here
-LENGTH = np.array([int(i).bit_length() for i in range(1 << 16)], np.int64)
+HEAD = struct.Struct("<III")  # ids, pairs, bytes of a group's tables
+
+
+class Tables:
+    """Counts of a group of blocks: of ids, and of the pairs worth listing."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray):
+        self.ids, self.counts, self.pairs, self.pair_counts = ids, counts, pairs, pair_counts
+        self.ends, self.total = counts.cumsum(), int(counts.sum())
+        self.rank = np.zeros(1 << 16, np.int64)
+        self.rank[ids] = np.arange(len(ids))
+        self.often = np.zeros(1 << 16, np.int64)
+        self.often[ids] = counts
+        # Followers of id i are the places first[i] to first[i + 1] of the pairs.
+        self.first = np.searchsorted(pairs, np.arange((1 << 16) + 1) << 16)
+        self.pair_ends = pair_counts.cumsum()
+        reached = np.concatenate([np.zeros(1, np.int64), self.pair_ends])
+        self.start = reached[self.first[:-1]]
+        self.listed = reached[self.first[1:]] - self.start
+        self.top = np.zeros(1 << 16, np.int64)
+        order = np.lexsort((pairs, pair_counts))
+        self.top[pairs[order] >> 16] = pairs[order] & 0xFFFF  # the last one written is the most frequent
+
+    @classmethod
+    def of(cls, blocks: list[np.ndarray]) -> Tables:
+        counts = np.bincount(np.concatenate([*blocks, np.empty(0, np.uint16)]), minlength=1 << 16)
+        ids = np.flatnonzero(counts)
+        follow = [b[:-1].astype(np.uint32) << np.uint32(16) | b[1:] for b in blocks]
+        pairs = np.sort(np.concatenate([*follow, np.empty(0, np.uint32)]))
+        bounds = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1], [True]])) if len(pairs) else np.zeros(1, int)
+        many = np.diff(bounds)
+        kept = many >= LEAST
+        return cls(ids, counts[ids], pairs[bounds[:-1][kept]].astype(np.int64), many[kept])
+
+    def pair(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs and how often they come; 0 for those not listed."""
+        if not len(self.pairs):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        place = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return place, np.where(self.pairs.take(place) == keys, self.pair_counts.take(place), 0)
+
+    def pack(self) -> bytes:
+        """Heads of pairs come back from how many followers each id has, so they are stored as gaps."""
+        follower = (self.pairs & 0xFFFF).astype("<u2")
+        lists = np.diff(self.first)[self.ids].astype("<u4")
+        body = zlib.compress(
+            np.diff(self.ids, prepend=0).astype("<u2").tobytes() + self.counts.astype("<u4").tobytes()
+            + lists.tobytes() + follower.tobytes() + self.pair_counts.astype("<u4").tobytes(), 9,
+        )
+        return HEAD.pack(len(self.ids), len(self.pairs), len(body)) + body
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Tables:
+        n, m, _ = HEAD.unpack_from(data)
+        body, at, columns = zlib.decompress(data[HEAD.size :]), 0, []
+        for size, kind in ((n, "<u2"), (n, "<u4"), (n, "<u4"), (m, "<u2"), (m, "<u4")):
+            column = np.frombuffer(body, kind, size, at)
+            at += column.nbytes
+            columns.append(column.astype(np.int64))
+        gaps, counts, lists, follower, pair_counts = columns
+        ids = gaps.cumsum()
+        return cls(ids, counts, np.repeat(ids, lists) << 16 | follower, pair_counts)
 
 
 class _Coder:
@@ -50,6 +119,10 @@ class _Coder:
                 self._shift(lanes, low)
                 self.low[lanes], self.range[lanes] = low << DIGIT, rng << DIGIT
 
+    def take(self, k, total, low, count) -> None:
+        unit = self.range[k] // total
+        self._narrow(k, self.low[k] + unit * low.astype(np.uint64), unit * count.astype(np.uint64))
+
 
 class Writer(_Coder):
     def __init__(self, lanes: int, most: int):
@@ -71,14 +144,9 @@ class Writer(_Coder):
         self._narrow(k, np.where(one, self.low[k] + zeros, self.low[k]), np.where(one, rng - zeros, zeros))
         return one
 
-    def choice(self, k, ends, counts, symbol, even, rest) -> tuple[np.ndarray, np.ndarray]:
-        """Code ``symbol`` by its count, and ``rest`` below ``2**even`` evenly."""
-        row = np.arange(len(symbol))
-        count = counts[row, symbol].astype(np.uint64)
-        low = ends[row, symbol].astype(np.uint64) - count
-        unit = self.range[k] // (ends[:, -1].astype(np.uint64) << even)
-        self._narrow(k, self.low[k] + unit * ((low << even) + rest.astype(np.uint64) * count), unit * count)
-        return symbol, rest
+    def seek(self, k, total, value) -> np.ndarray:
+        """A place below ``total`` inside the share that :meth:`take` narrows to next."""
+        return value
 
     def close(self) -> list[bytes]:
         every = np.arange(len(self.low))
@@ -112,34 +180,55 @@ class Reader(_Coder):
         self._narrow(k, np.where(one, low + zeros, low), np.where(one, rng - zeros, zeros))
         return one
 
-    def choice(self, k, ends, counts, symbol, even, rest) -> tuple[np.ndarray, np.ndarray]:
-        total = ends[:, -1].astype(np.uint64) << even
+    def seek(self, k, total, value) -> np.ndarray:
         unit = self.range[k] // total
-        value = np.minimum((self.code[k] - self.low[k]) // unit, total - ONE)
-        symbol = (ends <= (value >> even).astype(np.int64)[:, None]).sum(1)
-        row = np.arange(len(symbol))
-        count = counts[row, symbol].astype(np.uint64)
-        low = (ends[row, symbol].astype(np.uint64) - count) << even
-        rest = (value - low) // count
-        self._narrow(k, self.low[k] + unit * (low + rest * count), unit * count)
-        return symbol, rest.astype(np.int64)
+        return np.minimum((self.code[k] - self.low[k]) // unit, total - ONE).astype(np.int64)
+
+
+class _Mixer:
+    """A binary decision from several estimates, with weights of each lane."""
+
+    def __init__(self, lanes: int, tables: list[np.ndarray], plain: int):
+        """``tables`` hold the first estimate for each state; ``plain`` estimates come from outside."""
+        self.base = [np.arange(lanes) * len(t) for t in tables]
+        self.tables = [np.tile(t, lanes) for t in tables]
+        self.weight = np.full((len(tables) + plain, lanes), 0.9 / (len(tables) + plain))
+
+    def decide(self, coder, k, states, plain, truth) -> np.ndarray:
+        adaptive = [(t, b[k] + s) for t, b, s in zip(self.tables, self.base, states, strict=True)]
+        guesses = [t.take(at) for t, at in adaptive]
+        weights = self.weight[:, k]
+        stretched = []
+        for p in (*guesses, *plain):
+            t = 2 * p - 1
+            stretched.append(t / (1 - np.abs(t)))
+        dot = weights[0] * stretched[0]
+        for w, x in zip(weights[1:], stretched[1:], strict=True):
+            dot = dot + w * x
+        mixed = 0.5 + 0.5 * dot / (1 + np.abs(dot))
+        one = coder.bit(k, truth, np.clip(mixed * HALF, 32, HALF - 32).astype(np.uint64))
+        wrong = (one - mixed) * RATE
+        self.weight[:, k] = weights + np.stack([wrong * x for x in stretched])
+        for (table, at), p in zip(adaptive, guesses, strict=True):
+            table[at] = np.clip(p + (one - p) * 0.05, 1 / 512, 1 - 1 / 512)
+        return one
 
 
 class _Model:
     """The adaptive state of all lanes, in flat tables."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, tables: Tables, lanes: int):
         lane = np.arange(lanes)
-        # An id and how sure it is, as id << 8 | sure; 0 sure: nothing seen.
+        self.tables = tables
+        # The context's check, an id and how sure it is, as check << 20 | id << 4 | sure; 0 sure: nothing seen.
         self.base1, self.seen1 = lane * ORDER1, np.zeros(lanes * ORDER1, np.int32)
         self.base2, self.seen2 = lane * ORDER2, np.zeros(lanes * ORDER2, np.int32)
-        widths = (SURE + 1, 2 * (SURE + 1), 64)
-        self.estimate = [(lane * n, np.full(lanes * n, 0.3)) for n in widths]
-        self.weight = np.full((3, lanes), 0.4)
+        sure = np.arange(SURE + 1)
+        two = (sure + 0.6) / (sure + 2.0)
+        one = (sure + 0.3) / (sure + 2.5)
+        self.hit = _Mixer(lanes, [two, np.concatenate([np.full(SURE + 1, 0.3), one]), np.full(64, 0.4)], 2)
+        self.follows = _Mixer(lanes, [np.full(8, 0.7)], 1)
         self.recent = np.zeros(lanes, np.int64)
-        self.lengths = np.ones((lanes, 17), np.int32)
-        self.nexts = np.ones((lanes * 17, 16), np.int32)
-        self.thirds = np.ones((lanes * 17 * 16, 16), np.int32)
         self.before = np.zeros((2, lanes), np.int64)
 
     def run(self, coder, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -151,103 +240,99 @@ class _Model:
 
     def _step(self, coder, n: int, truth: np.ndarray) -> np.ndarray:
         one, two = self.before[0, :n], self.before[1, :n]
-        at1 = self.base1[:n] + ((one * 40503 >> 4) & (ORDER1 - 1))
-        at2 = self.base2[:n] + ((one * 40503 + two * 60493 >> 3) & (ORDER2 - 1))
+        key1, key2 = one * 0x9E3779B1, (one * 0x9E3779B1 ^ two * 0x85EBCA77) * 5
+        at1 = self.base1[:n] + (key1 >> 13 & (ORDER1 - 1))
+        at2 = self.base2[:n] + (key2 >> 13 & (ORDER2 - 1))
+        check1, check2 = key1 >> 25 & 0x7FF, key2 >> 25 & 0x7FF
         was1, was2 = self.seen1.take(at1), self.seen2.take(at2)
-        next1, sure1, next2, sure2 = was1 >> 8, was1 & 255, was2 >> 8, was2 & 255
-        candidate = np.where(sure2 > 0, next2, next1)
+        next1, next2 = was1 >> 4 & 0xFFFF, was2 >> 4 & 0xFFFF
+        sure1, sure2 = (was1 & 15) * (was1 >> 20 == check1), (was2 & 15) * (was2 >> 20 == check2)
+        candidate = np.where(sure2 > 0, next2, np.where(sure1 > 0, next1, self.tables.top.take(one)))
 
-        hit = self._decide(coder, n, sure2, sure1 + (SURE + 1) * (next1 == candidate), truth == candidate)
+        state1 = sure1 + (SURE + 1) * (next1 == candidate)
+        hit, place, together = self._is_candidate(coder, n, one, candidate, sure2, state1, truth)
         out = np.where(hit, candidate, truth)
         missed = np.flatnonzero(~hit)
         if len(missed):
-            out[missed] = self._spell(coder, missed, truth[missed])
+            out[missed] = self._spell(coder, missed, one[missed], truth[missed], place[missed], together[missed])
 
-        for seen, at, was, name, sure in (
-            (self.seen1, at1, was1, next1, sure1), (self.seen2, at2, was2, next2, sure2),
+        for seen, at, check, name, sure in (
+            (self.seen1, at1, check1, next1, sure1), (self.seen2, at2, check2, next2, sure2),
         ):
             # A right guess gains confidence, a wrong one halves it; at the bottom the new id takes the place.
-            right = (name == out) & (sure > 0)
-            wrong = np.where(sure <= 1, out << 8 | 1, name << 8 | sure >> 1)
-            seen[at] = np.where(right, was + (sure < SURE), wrong)
+            kept = np.where((name == out) & (sure > 0), np.minimum(sure + 1, SURE), sure >> 1)
+            seen[at] = check << 20 | np.where(kept > 0, name << 4 | kept, out << 4 | 1)
         self.before[1, :n] = one
         self.before[0, :n] = out
         return out
 
-    def _decide(self, coder, n: int, state2, state1, truth) -> np.ndarray:
-        dot, inputs = 0.0, []
-        for j, (state, (base, table)) in enumerate(
-            zip((state2, state1, self.recent[:n]), self.estimate, strict=True)
-        ):
-            at = base[:n] + state
-            p = table.take(at)
-            t = 2 * p - 1
-            x = t / (1 - np.abs(t))
-            dot = dot + self.weight[j, :n] * x
-            inputs.append((table, at, p, x))
-        mixed = 0.5 + 0.5 * dot / (1 + np.abs(dot))
-        chance = np.clip(mixed * HALF, 64, HALF - 64).astype(np.uint64)
-        one = coder.bit(slice(0, n), truth, chance)
-        wrong = (one - mixed) * 0.02
-        for j, (table, at, p, x) in enumerate(inputs):
-            self.weight[j, :n] += wrong * x
-            table[at] = np.clip(p + (one - p) * 0.06, 1 / 512, 1 - 1 / 512)
+    def _is_candidate(self, coder, n: int, before, candidate, state2, state1, truth) -> tuple:
+        """Whether it is, and where and how often the tables list it after the id before."""
+        tables = self.tables
+        place, together = tables.pair(before << 16 | candidate)
+        among = np.clip((together + 0.5) / (tables.often.take(before) + 2.0), 1 / 1024, 1 - 1 / 1024)
+        plain = np.clip(tables.often.take(candidate) / max(tables.total, 1), 1 / 1024, 1 - 1 / 1024)
+        states = (state2, state1, self.recent[:n])
+        one = self.hit.decide(coder, slice(0, n), states, (among, plain), truth == candidate)
         self.recent[:n] = (self.recent[:n] << 1 | one) & 63
-        return one
+        return one, place, together
+
+    def _spell(self, coder, k, before, ids, barred, bar) -> np.ndarray:
+        """Code ids that are not the candidate, which is listed at ``barred``, ``bar`` times."""
+        tables = self.tables
+        out = np.zeros(len(k), np.int64)
+        listed = tables.listed.take(before) - bar
+        inside = np.zeros(len(k), bool)
+        some = np.flatnonzero(listed)
+        if len(some):
+            place, count = tables.pair(before[some] << 16 | ids[some])
+            share = np.minimum(listed[some] / (tables.often.take(before[some]) - bar[some] + 1.0), 1 - 1 / 256)
+            one = self.follows.decide(coder, k[some], ((share * 8).astype(np.int64),), (share,), count > 0)
+            ours = some[one]
+            inside[ours] = True
+            if len(ours):
+                start, bar = tables.start.take(before[ours]), bar[ours]
+                edge = tables.pair_ends.take(barred[ours]) - bar - start  # the candidate's share begins here
+                low = tables.pair_ends[place[one]] - count[one] - start
+                total = listed[ours].astype(np.uint64)
+                value = coder.seek(k[ours], total, np.where(low > edge, low - bar, low))
+                value = np.where((value >= edge) & (bar > 0), value + bar, value)
+                place = np.searchsorted(tables.pair_ends, start + value, "right")
+                low = tables.pair_ends[place] - tables.pair_counts[place] - start
+                coder.take(k[ours], total, np.where(low > edge, low - bar, low), tables.pair_counts[place])
+                out[ours] = tables.pairs[place] & 0xFFFF
+        rest = np.flatnonzero(~inside)
+        if len(rest):
+            total = np.full(len(rest), tables.total, np.uint64)
+            rank = tables.rank.take(ids[rest])
+            value = coder.seek(k[rest], total, tables.ends[rank] - tables.counts[rank])
+            rank = np.searchsorted(tables.ends, value, "right")
+            coder.take(k[rest], total, tables.ends[rank] - tables.counts[rank], tables.counts[rank])
+            out[rest] = tables.ids[rank]
+        return out
+
 
-    def _spell(self, coder, k, ids) -> np.ndarray:
-        none = np.zeros(len(k), np.uint64)
-        length, _ = self._choose(coder, self.lengths, k, k, LENGTH[ids], none, none)
-        more = np.maximum(length - 1, 0)  # bits below the first one
-        below = ids & ((1 << more) - 1)
-        spot = k * 17 + length
-        third = np.maximum(more - 4, 0)  # bits below the second choice
-        second, _ = self._choose(coder, self.nexts, k, spot, below >> third, none, none)
-        done = second << third
-        deep = np.flatnonzero(third)
-        if len(deep):
-            left = third[deep]
-            even = np.maximum(left - 4, 0)
-            tail = below[deep] & ((1 << left) - 1)
-            symbol, rest = self._choose(
-                coder, self.thirds, k[deep], spot[deep] * 16 + second[deep],
-                tail >> even, even.astype(np.uint64), tail & ((1 << even) - 1),
-            )
-            done[deep] |= symbol << even | rest
-        return np.where(length > 0, (1 << more) | done, 0)
-
-    def _choose(self, coder, table, k, at, symbol, even, rest) -> tuple[np.ndarray, np.ndarray]:
-        counts = table[at]
-        ends = counts.cumsum(1)
-        symbol, rest = coder.choice(k, ends, counts, symbol, even, rest)
-        table[at, symbol] += STEP
-        full = np.flatnonzero(ends[:, -1] > MOST)
-        if len(full):
-            table[at[full]] = (table[at[full]] + 1) >> 1
-        return symbol, rest
-
-
-def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payload of each block of ids below 65,536."""
+def encode(blocks: list[np.ndarray], tables: Tables) -> list[bytes]:
+    """Payload of each block of ids, all of which the tables count."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     lengths = np.array([len(blocks[i]) for i in order], np.int64)
     ids = np.zeros((int(lengths.max(initial=0)), len(blocks)), np.uint16)
     for lane, i in enumerate(order):
         ids[: lengths[lane], lane] = blocks[i]
     writer = Writer(len(blocks), len(ids) + 8)
-    _Model(len(blocks)).run(writer, lengths, ids)
+    _Model(tables, len(blocks)).run(writer, lengths, ids)
     out = [b""] * len(blocks)
     for lane, payload in enumerate(writer.close()):
         out[order[lane]] = payload
     return out
 
 
-def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
+def decode(payloads: list[bytes], sizes: list[int], tables: Tables) -> list[np.ndarray]:
     """The ids of each block, given how many it has."""
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     lengths = np.array([sizes[i] for i in order], np.int64)
     ids = np.zeros((int(lengths.max(initial=0)), len(sizes)), np.uint16)
-    _Model(len(sizes)).run(Reader([payloads[i] for i in order]), lengths, ids)
+    _Model(tables, len(sizes)).run(Reader([payloads[i] for i in order]), lengths, ids)
     out = [np.empty(0, np.uint16)] * len(sizes)
     for lane, i in enumerate(order):
         out[i] = ids[: lengths[lane], lane].copy()

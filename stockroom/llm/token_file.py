@@ -2,12 +2,13 @@
 
 A file holds the documents of one range of ids, in ascending order::
 
-    b"TOKS" | blocks | index | footer
+    b"TOKS" | groups | index | footer
+    group:  blocks, bytes and crc32 of its tables (3 x u32), the coder's tables, its blocks
     block:  n_ids, payload bytes, crc32 of the payload, crc32 of the ids (4 x u32), payload
     index:  zlib of the documents' ids (i64), whether they have one (u8), sizes (i64)
     footer: index place (u64), index bytes, documents, crc32 of the index (3 x u32), b"TOKS"
 
-Blocks are reset and checked independently; damage to one is found and named. Files are
+Blocks are reset to their group's tables and checked independently; damage to one is found and named. Files are
 written beside their final name and renamed, so a task that is lost and run again leaves
 the same file. Range partitions keep the order across files without one task seeing all.
 
@@ -36,7 +37,7 @@ from .common import folder, pieces, stored
 from .encode import encoder
 
 MAGIC = b"TOKS"
-BLOCK, FOOTER = struct.Struct("<IIII"), struct.Struct("<QIII4s")
+GROUP, BLOCK, FOOTER = struct.Struct("<III"), struct.Struct("<IIII"), struct.Struct("<QIII4s")
 
 
 @dataclass(frozen=True)
@@ -74,7 +75,10 @@ class FileWriter:
         blocks = [flat[k : min(k + size, end)] for k in range(0, end, size)]
         for k in range(0, len(blocks), self.settings.lanes):
             some = blocks[k : k + self.settings.lanes]
-            for ids, payload in zip(some, range_coder.encode(some), strict=True):
+            tables = range_coder.Tables.of(some)
+            packed = tables.pack()
+            self.at += self.sink.write(GROUP.pack(len(some), len(packed), zlib.crc32(packed))) + self.sink.write(packed)
+            for ids, payload in zip(some, range_coder.encode(some, tables), strict=True):
                 head = BLOCK.pack(len(ids), len(payload), zlib.crc32(payload), zlib.crc32(ids.tobytes()))
                 self.at += self.sink.write(head) + self.sink.write(payload)
         self.waiting, self.held = [flat[end:].copy()], len(flat) - end
@@ -108,10 +112,19 @@ def read_index(source) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 
 def read_blocks(source, end: int, lanes: int) -> Iterator[np.ndarray]:
     """The ids of a file, block by block."""
-    at, number = 4, 0
+    at, number, left, tables = 4, 0, 0, None
     while at < end:
+        if not left:
+            left, length, crc = GROUP.unpack(source.read_at(GROUP.size, at))
+            packed = source.read_at(length, at + GROUP.size)
+            if not left or zlib.crc32(packed) != crc:
+                raise Damaged(f"tables of block {number}")
+            tables = range_coder.Tables.unpack(packed)
+            at += GROUP.size + length
         payloads, sizes, checks = [], [], []
-        while at < end and len(sizes) < lanes:
+        while left and len(sizes) < lanes:
+            if at + BLOCK.size > end:
+                raise Damaged(f"block {number + len(sizes)}")
             n, length, crc, check = BLOCK.unpack(source.read_at(BLOCK.size, at))
             payload = source.read_at(length, at + BLOCK.size)
             if zlib.crc32(payload) != crc:
@@ -120,7 +133,8 @@ def read_blocks(source, end: int, lanes: int) -> Iterator[np.ndarray]:
             sizes.append(n)
             checks.append(check)
             at += BLOCK.size + length
-        for ids, check in zip(range_coder.decode(payloads, sizes), checks, strict=True):
+            left -= 1
+        for ids, check in zip(range_coder.decode(payloads, sizes, tables), checks, strict=True):
             if zlib.crc32(ids.tobytes()) != check:
                 raise Damaged(f"ids of block {number}")
             number += 1

@@ -4,13 +4,14 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stockroom.llm import range_coder, token_count, token_file
+from stockroom.llm import encode, range_coder, token_count, token_file
 from stockroom.llm.common import vocabulary
 
 BYTE = vocabulary("byte_bpe_50k.json")
@@ -21,17 +22,20 @@ ODD = [(3, None), (1, ""), (2, "a b"), (2, "a c"), (2, "a b"), (None, "<|endofte
 @given(st.lists(st.lists(st.integers(0, 65535) | st.integers(0, 3), max_size=120), max_size=12))
 def test_round_trip(blocks):
     blocks = [np.array(b, np.uint16) for b in blocks]
-    payloads = range_coder.encode(blocks)
-    again = range_coder.decode(payloads, [len(b) for b in blocks])
+    tables = range_coder.Tables.of(blocks)
+    payloads = range_coder.encode(blocks, tables)
+    stored = range_coder.Tables.unpack(tables.pack())
+    again = range_coder.decode(payloads, [len(b) for b in blocks], stored)
     assert all((x == y).all() and len(x) == len(y) for x, y in zip(blocks, again, strict=True))
 
 
 def test_blocks_are_independent():
     rng = np.random.default_rng(0)
     blocks = [rng.zipf(1.3, n).clip(0, 50_000).astype(np.uint16) for n in (900, 17, 4000, 0)]
-    together = range_coder.encode(blocks)
-    assert together == [range_coder.encode([b])[0] for b in blocks]
-    assert (range_coder.decode([together[2]], [4000])[0] == blocks[2]).all()
+    tables = range_coder.Tables.of(blocks)
+    together = range_coder.encode(blocks, tables)
+    assert together == [range_coder.encode([b], tables)[0] for b in blocks]
+    assert (range_coder.decode([together[2]], [4000], tables)[0] == blocks[2]).all()
 
 
 def test_context_pays():
@@ -40,10 +44,30 @@ def test_context_pays():
     steady = np.tile(chain, 800)
     noise = rng.integers(0, 50_000, 4000).astype(np.uint16)
     few = rng.choice(np.array([3, 40, 500, 6000], np.uint16), 4000)
-    sizes = [8 * len(p) / 4000 for p in range_coder.encode([steady, noise, few])]
+    sizes = []
+    for block in (steady, noise, few):
+        tables = range_coder.Tables.of([block])
+        sizes.append(8 * len(range_coder.encode([block], tables)[0]) / 4000)
     assert sizes[0] < 0.3 and sizes[1] < 17.5 and sizes[2] < 4
 
 
+def order_0_bits(ids):
+    counts = np.unique(ids, return_counts=True)[1]
+    return -(counts * np.log2(counts / len(ids))).sum()
+
+
+def test_smaller_than_order_0():
+    """Blocks of real text, with the tables, take fewer bits than each block's own order-0 entropy."""
+    docs = pq.read_table("/root/testdata/sf0.1/documents.parquet").sort_by("doc_id").column("text")
+    library = encode.Encoder(BYTE)
+    flat = np.frombuffer(b"".join(t + b"\0\0" for t in library.encode(docs.to_pylist())), np.uint16)
+    for size, n in ((2048, 5_000_000), (8192, 1_000_000)):
+        blocks = [flat[k : k + size] for k in range(0, n, size)]
+        tables = range_coder.Tables.of(blocks)
+        bits = 8 * (len(tables.pack()) + sum(map(len, range_coder.encode(blocks, tables))))
+        assert bits < sum(map(order_0_bits, blocks))
+
+
 def expected(rows, end):
     library = Tokenizer.from_file(BYTE)
     out, at = [], 0
@@ -89,11 +113,14 @@ def test_damage_is_found(spark, tmp_path):
         writer.close()
     files = lambda: spark.createDataFrame([(0, f"file://{path}", 9, 270, 1)], "file long, path string, n_docs long, n_ids long, n_bytes long")
     assert token_file.read(files(), how).count() == 9
-    data = bytearray(path.read_bytes())
-    data[30] ^= 1
-    path.write_bytes(data)
-    with pytest.raises(Exception, match="Damaged"):
-        token_file.read(files(), how).collect()
+    whole = path.read_bytes()
+    tables = 4 + token_file.GROUP.unpack_from(whole, 4)[1] + token_file.GROUP.size
+    for place in (30, tables + 4, tables + 30):  # in the tables, in a block's head, in its payload
+        data = bytearray(whole)
+        data[place] ^= 1
+        path.write_bytes(data)
+        with pytest.raises(Exception, match="Damaged"):
+            token_file.read(files(), how).collect()
 
 
 @pytest.mark.parametrize("block", [1 << 22, 64, 1])
