@@ -7,12 +7,14 @@ all). Hashes of the benchmark fill a bit table of fixed size; documents are hash
 tasks, positions whose bits are set become regions of hashed words, and Spark joins their
 hashes with the benchmark's. A joined pair fixes an alignment, and alignments are
 verified word by word: a window of 13 words with 11 or more equal is contamination.
-Benchmark items shorter than a window are sought as exact runs of all their words.
+Benchmark items shorter than a window are sought whole, with the same share of equal
+words: one substitution from 7 words on, none below. Three masks, each without every
+third position, find those of 7 to 12 words; one solid mask those of fewer.
 
 Words are those of :func:`.common.words` without ASCII punctuation at their ends.
 
 Defined results: a NULL or empty text is clean; a NULL or empty item, or one of fewer
-than :attr:`Settings.least` words, finds nothing; repeated rows get equal verdicts;
+than :attr:`Settings.least` words, finds nothing (:func:`unsought` lists them); repeated rows get equal verdicts;
 equal ids with different texts are judged one by one; equal item ids are told apart by
 their texts and reported under their id; empty tables give an empty or a clean result;
 extra columns are kept by :func:`remove` and ignored by :func:`find`.
@@ -44,8 +46,27 @@ class Settings:
     bits: int = 1 << 25  # of the table of benchmark hashes; its size never changes results
 
     def masks(self) -> list[tuple[int, ...]]:
-        """Spaced masks first, then one per length of a short item."""
-        return [*MASKS, *(tuple(range(n)) for n in range(self.least, self.window))]
+        """The masks of whole windows, then those of short items, three places for each length from 1."""
+        short = (m for n in range(1, self.window) for m in self._short(n))
+        return [*MASKS, *short]
+
+    def _short(self, n: int) -> list[tuple[int, ...]]:
+        if self.needed(n) == n:
+            return [tuple(range(n))] * 3
+        return [tuple(i for i in range(n) if i % 3 != r) for r in range(3)]
+
+    def used(self, n: int) -> list[int]:
+        """Which masks an item of ``n`` words has."""
+        if n < self.least:
+            return []
+        if n >= self.window:
+            return list(range(len(MASKS)))
+        first = len(MASKS) + 3 * (n - 1)
+        return [first] if self.needed(n) == n else [first, first + 1, first + 2]
+
+    def needed(self, n: int) -> int:
+        """Equal words that an item of ``n`` words, or a window of it, must have."""
+        return self.equal if n >= self.window else -(-n * self.equal // self.window)
 
 
 class _Bare(dict):
@@ -90,10 +111,10 @@ def item_seeds(benchmark: DataFrame, settings: Settings) -> DataFrame:
         for part, texts in pieces(batches):
             for row, text in enumerate(texts):
                 h = hashed_words(text)
-                if len(h) < settings.least:
+                used = settings.used(len(h))
+                if not used:
                     continue
-                used = range(len(MASKS)) if len(h) >= settings.window else [len(MASKS) + len(h) - settings.least]
-                found = [(seeds(h, masks[m], m)) for m in used]
+                found = [seeds(h, masks[m], m) for m in used]
                 keys = np.concatenate(found)
                 n = len(keys)
                 item = int(np.int64(np.uint64(xxhash.xxh64_intdigest(h.tobytes()))))
@@ -112,6 +133,18 @@ def item_seeds(benchmark: DataFrame, settings: Settings) -> DataFrame:
     return chosen.mapInArrow(cut, "key long, item long, item_id long, place long, words binary")
 
 
+def unsought(benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(item_id, n_words) of the items that are too short to be sought, NULL and empty ones included."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in pieces(batches):
+            sizes = pa.array([len(hashed_words(t)) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("item_id"), sizes], names=["item_id", "n_words"])
+
+    chosen = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    return chosen.mapInArrow(count, "item_id long, n_words long").filter(F.col("n_words") < settings.least)
+
+
 def _table(keys: DataFrame, bits: int) -> np.ndarray:
     """A bit table with two bits set per key; at most ``bits / 64`` rows reach the driver."""
     slots = bits // 64
@@ -207,7 +240,7 @@ def _verify(pairs: DataFrame, settings: Settings) -> DataFrame:
                 shift = batch.column("shift")[row].as_py()
                 low, high = max(0, shift), min(len(x), shift + len(y))
                 same = x[low:high] == y[low - shift : high - shift]
-                width, need = (settings.window, settings.equal) if len(y) >= settings.window else (len(y), len(y))
+                width, need = min(settings.window, len(y)), settings.needed(len(y))
                 if len(same) < width:
                     continue
                 sums = np.convolve(same, np.ones(width, int), "valid")
@@ -231,9 +264,9 @@ def _verify(pairs: DataFrame, settings: Settings) -> DataFrame:
 def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Verified overlaps: (doc_id, place, item_id, start, length, equal), ``place`` a hash of the text."""
     items = stored(item_seeds(benchmark, settings), "seeds")
-    lengths = {r.n for r in items.select((F.length("words") / 8).cast("int").alias("n")).distinct().collect()}
-    used = [m for m in range(len(MASKS)) if any(n >= settings.window for n in lengths)]
-    used += [len(MASKS) + n - settings.least for n in sorted(lengths) if n < settings.window]
+    n_words = F.least((F.length("words") / 8).cast("int"), F.lit(settings.window))
+    lengths = {r.n for r in items.select(n_words.alias("n")).distinct().collect()}
+    used = sorted({m for n in lengths for m in settings.used(n)})
     if not used:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, place long, item_id long, start long, length long, equal long"

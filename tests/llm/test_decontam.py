@@ -1,6 +1,7 @@
 """Decontamination against comparing every alignment, and what the masks promise."""
 
 import itertools
+import math
 import random
 
 import pytest
@@ -17,8 +18,8 @@ def bare(text):
     return [w for w in (x.strip(decontam.PUNCTUATION) for x in words(text)) if w]
 
 
-def brute(docs, items):
-    """doc row -> item ids with some aligned window of 13 words, 11 equal (short items: all words)."""
+def brute(docs, items, least=5):
+    """doc row -> item ids with some aligned window of 13 words, 11 equal (short items: the same share of all words)."""
     out = []
     cut = [(i, bare(t)) for i, t in items]
     where = {}
@@ -30,8 +31,8 @@ def brute(docs, items):
         found = set()
         shifts = {(i, p - k, tuple(y)) for p, w in enumerate(x) for i, k, y in where.get(w, ())}
         for i, s, y in shifts:
-            width, need = (13, 11) if len(y) >= 13 else (len(y), len(y))
-            if len(y) < 5:
+            width, need = (13, 11) if len(y) >= 13 else (len(y), math.ceil(len(y) * 11 / 13))
+            if len(y) < least:
                 continue
             low, high = max(0, s), min(len(x), s + len(y))
             same = [x[p] == y[p - s] for p in range(low, high)]
@@ -91,6 +92,38 @@ def test_planted(spark, planted, bits):
     assert {r.doc_id for r in got if r.contaminated} >= {0, 1, 2, 60, 64, 66} and all(r.doc_id != 3 or not r.contaminated for r in got)
 
 
+@pytest.mark.parametrize("n", range(1, 13))
+def test_masks_of_short_items(n):
+    """Up to the substitutions allowed, one mask of an item's length avoids them all."""
+    masks = [SETTINGS.masks()[m] for m in decontam.Settings(least=1).used(n)]
+    allowed = n - SETTINGS.needed(n)
+    assert allowed == (n >= 7)
+    for bad in itertools.combinations(range(n), allowed):
+        assert any(not set(bad) & set(mask) for mask in masks)
+    assert all(max(mask) < n for mask in masks)
+
+
+@pytest.mark.parametrize("least", [5, 1])
+def test_short_items(spark, least):
+    """Items of 1 to 12 words, whole and with one or two words replaced, alone and at both ends of a text."""
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in range(1, 13)]
+    docs = []
+    for n, text in items:
+        for places in [(), *((i,) for i in range(n)), *itertools.combinations(range(0, n, 2), 2)]:
+            passage = [f"s{i}" if i in places else w for i, w in enumerate(text.split())]
+            for before, after in (([], []), (["a"] * 20, []), ([], ["b"] * 20), (["a"], ["b"])):
+                docs.append((len(docs), " ".join(before + passage + after)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([*items, (13, None), (14, " . ")], "item_id long, text string")
+    settings = decontam.Settings(least=least)
+    got = decontam.find(frame, benchmark, settings).collect()
+    want = brute(docs, items, least)
+    assert sorted(((r.doc_id, r["items"]) for r in got), key=str) == want
+    assert {i for _, x in want for i in x} == set(range(least, 13))
+    left = sorted(map(tuple, decontam.unsought(benchmark, settings).collect()))
+    assert left == [(n, n) for n in range(1, least)] + [(13, 0), (14, 0)]
+
+
 def test_remove(spark, planted):
     docs, items = planted
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("bad_id", F.lit(1))
