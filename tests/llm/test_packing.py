@@ -127,3 +127,18 @@ def test_no_exchange_is_left():
         for y, b in enumerate(bins):
             more = [t - g for t in parts(a)[1:] for g in parts(b) if x != y and 0 < t - g <= 4096 - fill[y]]
             assert all(m * (fill[y] - fill[x] + m) <= 0 for m in more)
+
+
+def test_cuts_share_their_letters(monkeypatch):
+    """Case and a mark behind a word cost no second call of the library."""
+    own, asked = encode.Encoder(WORD), []
+    library = own._ids
+    monkeypatch.setattr(own, "_ids", lambda text: asked.append(text) or library(text))
+    texts = [
+        "Brelo brelo, BRELO. brelo brelo! Brelo?", "Stra\u00dfe's \u00c9T\u00c9! \u00e9t\u00e9, don't x,, a.b E\u0301 \u0130 \u00b5 7, 'S",
+        "q" * 70 + ", " + "Q" * 70,
+    ]
+    got = own.encode(texts)
+    assert sum(t.lower().count("brelo") for t in asked) == 1
+    assert got == [np.array(own.library.encode(t, add_special_tokens=False).ids, np.uint16).tobytes() for t in texts]
+    assert max(map(len, own.table)) <= encode.LONGEST
