@@ -11,6 +11,9 @@ NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
 # Fixed value: timestamps enter keys with all six fraction digits.
 KEY_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
+# Fixed value: ends a packed text that is no key, which so has more than a packed key's 16 bytes.
+_OTHER = bytes(17)
+
 
 def full_name(first: Column, last: Column) -> Column:
     """``first last``; NULL when either part is NULL."""
@@ -30,6 +33,18 @@ def surrogate_key(*parts: Column) -> Column:
     return F.md5(F.concat_ws("-", *texts))
 
 
+def pack_key(key: Column) -> Column:
+    """A text in as few bytes as it can: 32 hex digits as 16 bytes, others longer than that."""
+    other = F.concat(key.cast("binary"), F.lit(_OTHER))
+    return F.when(key.rlike("^[0-9a-f]{32}\\z"), F.unhex(key)).otherwise(other)
+
+
+def unpack_key(packed: Column) -> Column:
+    """The text :func:`pack_key` was given."""
+    other = F.substring(packed, F.lit(1), F.octet_length(packed) - len(_OTHER)).cast("string")
+    return F.when(F.octet_length(packed) == 16, F.lower(F.hex(packed))).otherwise(other)
+
+
 def whole_days(start: Column, end: Column) -> Column:
     """Whole 24-hour days from ``start`` to ``end``, cut toward zero; NULL if either is NULL."""
     return F.extract(F.lit("DAY"), end - start).cast("int")

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.scalars import surrogate_key, whole_days
+from stockroom.functions.scalars import pack_key, surrogate_key, unpack_key, whole_days
 from stockroom.operators.bounds import bound_literal
 from stockroom.operators.lookups import fits_broadcast, lookup
 from stockroom.plans.dims import current_only
@@ -60,12 +60,18 @@ class Dims:
         self.measure([role])
         return self._small[role]
 
-    def attach(self, fact: DataFrame, *roles: str) -> DataFrame:
-        """Add the surrogate key of each role, by the natural id the fact carries."""
+    def attach(self, fact: DataFrame, *roles: str, packed: bool = False) -> DataFrame:
+        """Add the surrogate key of each role, by the natural id the fact carries.
+
+        ``packed`` keys take half the bytes in a later shuffle; see :func:`pack_key`.
+        """
         self.measure(roles)
         for role in roles:
             natural, key = _ROLES[role]
-            side = F.broadcast(self._sides[role]) if self._small[role] else self._sides[role]
+            side = self._sides[role]
+            if packed:
+                side = side.withColumn(key, pack_key(F.col(key)))
+            side = F.broadcast(side) if self._small[role] else side
             fact = lookup(fact, side, F.col(natural), natural, key)
         return fact
 
@@ -85,7 +91,8 @@ def fct_sales(
 
     ``roles`` limits the lookups to the keys a caller needs. Members that fit a
     broadcast are resolved on the joined lines, which adds no shuffle. Larger
-    ones are resolved on the orders first: fewer rows than lines to move.
+    ones are resolved before: those of orders on the orders, fewer rows than lines
+    to move, and products on the bare lines. Their keys are moved packed.
     """
     wanted = _wanted(("customer", "product", "store", "employee", "date"), roles)
     by_order = [r for r in wanted if r in ("customer", "store", "employee")]
@@ -94,9 +101,13 @@ def fct_sales(
     late = [r for r in by_order if dims.is_small(r)]
 
     headers = orders.select("order_id", "customer_id", "store_id", "employee_id", "ordered_at")
-    headers = dims.attach(headers, *early)
-    lines = items.drop("created_at", "updated_at", "loaded_at").join(headers, "order_id")
-    lines = dims.attach(lines, *late, *(r for r in wanted if r == "product"))
+    headers = dims.attach(headers, *early, packed=True)
+    lines = items.drop("created_at", "updated_at", "loaded_at")
+    if "product" in wanted and not dims.is_small("product"):
+        lines = dims.attach(lines, "product", packed=True)
+        early.append("product")
+    lines = lines.join(headers, "order_id")
+    lines = dims.attach(lines, *late, *(r for r in wanted if r == "product" and r not in early))
     if "date" in wanted:
         lines = dims.attach_date(lines, F.col("ordered_at"))
 
@@ -105,12 +116,12 @@ def fct_sales(
     share = (100 - F.coalesce("discount_pct", F.lit(0).cast("decimal(5,2)"))).cast("decimal(6,2)")
     hundredth = F.lit(Decimal("0.01"))
     list_price = F.col("unit_price") * F.col("quantity")
-    keys = ("date_key", "customer_key", "product_key", "store_key", "employee_key")
+    roles = [r for r in ("date", "customer", "product", "store", "employee") if r in wanted]
     return lines.select(
         surrogate_key(F.col("order_item_id")).alias("sales_key"),
         "order_item_id",
         "order_id",
-        *(k for k in keys if k.removesuffix("_key") in wanted),
+        *(unpack_key(F.col(f"{r}_key")).alias(f"{r}_key") if r in early else f"{r}_key" for r in roles),
         "quantity",
         "unit_price",
         "discount_pct",

@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     # The Spark default (INT96) carries no statistics, so an incremental bound
     # on a timestamp could not skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Surrogate keys are hex digits, which the default (Snappy) stores as they are.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -82,3 +82,21 @@ def test_empty_tables_fail_the_gate(frame):
     assert checks.require_rows({"a": full}) == {"a": 1}
     with pytest.raises(ChecksFailed, match="no rows in: b, c"):
         checks.require_rows({"a": full, "b": empty, "c": empty})
+
+
+def test_texts_without_repeats_are_settled_by_hash(spark, frame, capfd):
+    """Distinct texts are not grouped by their values; repeated ones and NULLs are counted exactly."""
+    ids = [(f"{i:032x}" if i else None, f"{i % 7:032x}", i) for i in range(20)]
+    tables = {"t": frame(ids, "a string, b string, n int")}
+    suite = [Check("t", c, test) for c in ("a", "b", "n") for test in ("not_null", "unique")]
+    report = checks.run_checks(tables, suite)
+    assert failures(report) == {
+        ("a", "not_null"): 1, ("a", "unique"): 0, ("b", "not_null"): 0, ("b", "unique"): 7,
+        ("n", "not_null"): 0, ("n", "unique"): 0,
+    }
+    one = checks.run_checks(tables, suite[:2])
+    one.explain()
+    assert "Aggregate" not in capfd.readouterr().out and failures(one)["a", "not_null"] == 1
+    assert failures(checks.run_checks({"t": frame([], "a string")}, suite[:2])) == {
+        ("a", "not_null"): 0, ("a", "unique"): 0,
+    }

@@ -14,7 +14,14 @@ from stockroom.functions.coerce import (
     coerce_ts,
 )
 from stockroom.functions.naming import snake_case, snake_case_columns
-from stockroom.functions.scalars import full_name, surrogate_key, timestamp_text, whole_days
+from stockroom.functions.scalars import (
+    full_name,
+    pack_key,
+    surrogate_key,
+    timestamp_text,
+    unpack_key,
+    whole_days,
+)
 
 
 def column(frame, values, kind, rule):
@@ -111,3 +118,11 @@ def test_surrogate_key_text_is_stable(frame):
     df = frame([(7, dt.datetime(2024, 1, 2, 3, 4, 5))], "x bigint, t timestamp")
     key = df.select(surrogate_key(F.col("x"), timestamp_text(F.col("t")))).first()[0]
     assert key == hashlib.md5(b"7-2024-01-02 03:04:05.000000").hexdigest()
+
+
+def test_packed_keys_come_back(frame):
+    texts = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "0123456789abcdef" * 2 + "\n", "", "k", "\u00e9" * 8, "a" * 16, "\0" * 40, None]
+    df = frame([(t,) for t in texts], "k string")
+    packed = df.select("k", pack_key(F.col("k")).alias("p"))
+    got = packed.select("k", unpack_key(F.col("p")).alias("back"), F.octet_length("p").alias("n")).collect()
+    assert [r["back"] for r in got] == texts and got[0]["n"] == 16
