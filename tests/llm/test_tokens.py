@@ -1,6 +1,7 @@
 """Token files, token counts and the range coder: exact round trips."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -68,6 +69,40 @@ def test_smaller_than_order_0():
         assert bits < sum(map(order_0_bits, blocks))
 
 
+def test_carry():
+    """A carry runs back over full digits of its lane, and no farther."""
+    writer = range_coder.Writer(2, 4)
+    writer.out[:3], writer.out[writer.row : writer.row + 3] = (5, 0xFFFF, 0xFFFF), (7, 8, 9)
+    writer.at += 3
+    writer._carry(np.array([0, 1]))
+    assert writer.out[:3].tolist() == [6, 0, 0]
+    assert writer.out[writer.row : writer.row + 3].tolist() == [7, 8, 10]
+
+
+def test_hard_ids():
+    """Ids that fare worst in each decision, in as many blocks as a group has, and few searches and fetches for a step."""
+    rng = np.random.default_rng(2)
+    rare = rng.permutation(1 << 16).astype(np.uint16)
+    tiled = [np.tile(rng.integers(0, 9, 7), 9).astype(np.uint16) for _ in range(2600)]
+    blocks = [np.concatenate([t, rare[25 * k : 25 * k + 25]]) for k, t in enumerate(tiled)]
+    tables = range_coder.Tables.of(blocks)
+    calls = 0
+
+    def count(_, event, what):
+        nonlocal calls
+        calls += event == "c_call" and getattr(what, "__name__", "") in ("searchsorted", "take", "concatenate", "nonzero")
+
+    sys.setprofile(count)
+    try:
+        payloads = range_coder.encode(blocks, tables)
+        encoding, calls = calls, 0
+        again = range_coder.decode(payloads, [len(b) for b in blocks], tables)
+    finally:
+        sys.setprofile(None)
+    assert all((x == y).all() for x, y in zip(blocks, again, strict=True))
+    assert encoding < 20 * 88 and calls < 20 * 88
+
+
 def expected(rows, end):
     library = Tokenizer.from_file(BYTE)
     out, at = [], 0
