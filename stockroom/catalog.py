@@ -26,7 +26,7 @@ from stockroom.plans import analytics, dims, facts, pipeline
 from stockroom.plans.staging import STAGING
 from stockroom.plans.suite import CHECKS, LIFECYCLE_STATUSES
 from stockroom.plans.sync import Context, load_entity, sync_entity
-from stockroom.session import configure, work_dir
+from stockroom.session import configure, shuffles_removed, work_dir
 from stockroom.sources.adapter import LOADED_AT, RUN_AT, Tables
 from stockroom.sources.pages import land_pages, read_pages, stream_pages
 from stockroom.sources.registry import ENTITIES
@@ -394,10 +394,11 @@ def _dq_unique(m: Models) -> DataFrame:
 def _dq_report(m: Models) -> DataFrame:
     """All checks over stored marts, as a run leaves them."""
     root = work_dir(m.spark, "warehouse")
-    # Raw tables are stored ones in a run; here they are written once, not derived for each check.
-    raw = {name: write_mart(m.tables.entity(name), f"{root}/raw/{name}") for name in ENTITIES}
-    models = pipeline.transform(m.spark, raw, root, RUN_AT, "run-1")
-    return checks.collect_report(m.spark, checks.run_checks(models, CHECKS))
+    with shuffles_removed(m.spark):
+        # Raw tables are stored ones in a run; here they are written once, not derived for each check.
+        raw = {name: write_mart(m.tables.entity(name), f"{root}/raw/{name}") for name in ENTITIES}
+        models = pipeline.transform(m.spark, raw, root, RUN_AT, "run-1")
+        return checks.collect_report(m.spark, checks.run_checks(models, CHECKS))
 
 
 def _dq_failing_rows(m: Models) -> DataFrame:

@@ -27,6 +27,7 @@ from stockroom.plans import facts
 from stockroom.plans.staging import stage_all
 from stockroom.plans.suite import CHECKS
 from stockroom.plans.sync import Context, load_entity, sync_entity
+from stockroom.session import shuffles_removed
 from stockroom.sources.registry import ENTITIES, EntitySpec
 from stockroom.sources.tables import register_views, write_mart
 
@@ -235,21 +236,22 @@ def run(ctx: Context, fail_on_checks: bool = False) -> RunReport:
     require_rows(raw)
 
     root = f"{ctx.root}/warehouse"
-    models = transform(
-        ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.partition_facts, ctx.calendar
-    )
-    checks = collect_report(ctx.spark, run_checks(models, CHECKS))
-    failed = {(r["model"], r["column"], r["test"]) for r in checks.filter("failures > 0").collect()}
-    for check in CHECKS:
-        if (check.model, check.column, check.test) in failed:
-            name = f"{check.model}.{check.column}.{check.test}"
-            write_mart(failing_rows(models, check), f"{root}/check_failures/{name}")
-    write_mart(checks, f"{root}/check_report")
-    if fail_on_checks:
-        raise_on_failure(checks)
-    marts = {n: df for n, df in models.items() if not n.startswith("stg_")}
-    counts = {r["entity"]: r["row_count"] for r in row_counts(marts).collect()}
-    return RunReport(checks, counts)
+    with shuffles_removed(ctx.spark):
+        models = transform(
+            ctx.spark, raw, root, ctx.as_of, ctx.run_id, ctx.partition_facts, ctx.calendar
+        )
+        checks = collect_report(ctx.spark, run_checks(models, CHECKS))
+        failed = {(r["model"], r["column"], r["test"]) for r in checks.filter("failures > 0").collect()}
+        for check in CHECKS:
+            if (check.model, check.column, check.test) in failed:
+                name = f"{check.model}.{check.column}.{check.test}"
+                write_mart(failing_rows(models, check), f"{root}/check_failures/{name}")
+        write_mart(checks, f"{root}/check_report")
+        if fail_on_checks:
+            raise_on_failure(checks)
+        marts = {n: df for n, df in models.items() if not n.startswith("stg_")}
+        counts = {r["entity"]: r["row_count"] for r in row_counts(marts).collect()}
+        return RunReport(checks, counts)
 
 
 def _present(table: KeyedTable) -> DataFrame:

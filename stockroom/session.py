@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,9 @@ RUNTIME_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Fixed value: the setting by which Spark removes the shuffle files of a query that has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`RUNTIME_CONF` to a session and return it."""
@@ -34,6 +39,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query leave the disk when the query ends.
+
+    Without it they stay until the driver collects garbage, so that a run of many steps
+    holds the shuffles of all of them. Only for steps that write or collect: a frame that
+    is collected twice is shuffled twice.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def local_session(cores: int = 8, app: str = "stockroom", **conf: str) -> SparkSession:
     """A single-machine session for tests and the bench."""
     builder = (

@@ -1,7 +1,10 @@
 """Data checks."""
 
+import time
+
 import pytest
 
+from stockroom import catalog
 from stockroom.operators import checks
 from stockroom.operators.checks import Check, ChecksFailed
 from stockroom.plans.suite import CHECKS
@@ -100,3 +103,41 @@ def test_texts_without_repeats_are_settled_by_hash(spark, frame, capfd):
     assert failures(checks.run_checks({"t": frame([], "a string")}, suite[:2])) == {
         ("a", "not_null"): 0, ("a", "unique"): 0,
     }
+
+
+ORDER_TABLES = {
+    "region": "SELECT 0 r_regionkey, 'EUROPE' r_name",
+    "nation": "SELECT 0 n_nationkey, 'FRANCE' n_name, 0 n_regionkey",
+    "customer": "SELECT id c_custkey, concat('Customer#', id) c_name, 0 c_nationkey, 1.5D c_acctbal, 'B' c_mktsegment "
+    "FROM range(40)",
+    "supplier": "SELECT id s_suppkey, concat('Supplier#', id) s_name, 0 s_nationkey, 1.5D s_acctbal FROM range(5)",
+    "part": "SELECT id p_partkey, 'bolt' p_name, 'Brand#1' p_brand, 'LARGE' p_type, 1 p_size, 9.5D p_retailprice "
+    "FROM range(30)",
+    "orders": "SELECT id o_orderkey, id % 40 o_custkey, 'F' o_orderstatus, 20.5D o_totalprice, "
+    "timestamp_ntz '1998-02-06 00:00:00' o_orderdate, '5-LOW' o_orderpriority FROM range(200)",
+    "lineitem": "SELECT id % 200 l_orderkey, id % 30 l_partkey, id % 5 l_suppkey, int(id / 200) l_linenumber, "
+    "2.0D l_quantity, 19.0D l_extendedprice, 0.05D l_discount, timestamp_ntz '1998-03-01 00:00:00' l_shipdate "
+    "FROM range(800)",
+    "events": "SELECT id event_id, timestamp_ntz '2024-01-01 00:00:11' ts, id % 30 user_id, 'signup' event_type, "
+    "3.5D value, '{}' props FROM range(60)",
+}
+
+
+def test_a_report_leaves_no_shuffle_files(spark, tmp_path):
+    """The shuffles of each step leave the disk when it ends, not when the driver collects garbage."""
+    for name, sql in ORDER_TABLES.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = disk.getAllBlocks()
+        names = (blocks.apply(i).name() for i in range(blocks.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    report = catalog.queries()["dq_report"](spark, str(tmp_path))
+    assert len(report.collect()) == 61
+    until = time.monotonic() + 20
+    while (left := shuffled() - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
