@@ -45,6 +45,23 @@ def unpack_key(packed: Column) -> Column:
     return F.when(F.octet_length(packed) == 16, F.lower(F.hex(packed))).otherwise(other)
 
 
+def pack_id(text: Column) -> Column:
+    """A text in few bytes: two characters a byte where it has digits and hyphens only."""
+    digits = F.replace(text, F.lit("-"), F.lit("A"))
+    # F stands for no character: it begins a packed text and fills it up to whole bytes.
+    filled = F.concat(F.when(F.length(text) % 2 == 1, "F").otherwise("FF"), digits)
+    other = F.concat(F.lit(b"\0"), text.cast("binary"))
+    return F.when(text.rlike("^[0-9-]*\\z"), F.unhex(filled)).otherwise(other)
+
+
+def unpack_id(packed: Column) -> Column:
+    """The text :func:`pack_id` was given."""
+    digits = F.hex(packed)
+    text = F.replace(F.ltrim(digits, F.lit("F")), F.lit("A"), F.lit("-"))
+    other = F.substring(packed, F.lit(2), F.octet_length(packed)).cast("string")
+    return F.when(digits.startswith("F"), text).otherwise(other)
+
+
 def whole_days(start: Column, end: Column) -> Column:
     """Whole 24-hour days from ``start`` to ``end``, cut toward zero; NULL if either is NULL."""
     return F.extract(F.lit("DAY"), end - start).cast("int")

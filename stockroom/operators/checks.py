@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # Fixed value: layout of a suite report.
 REPORT_SCHEMA = "model string, column string, test string, failures bigint, status string"
 
+# Texts are counted in so many groups of their hashes.
+HASH_GROUPS = 1 << 14
+
 
 @dataclass(frozen=True)
 class Check:
@@ -120,31 +123,48 @@ def identity(df: DataFrame, column: str, model: str = "") -> DataFrame:
     return rows.select(*_result(model, column, F.col("t.test"), F.col("t.n")))
 
 
-def _settled(
+def _hash_parts(value: Column) -> tuple[Column, Column]:
+    """Group and 32 further bits of a text's hash; NULL for NULL."""
+    hashed = F.when(value.isNotNull(), F.xxhash64(value))
+    group = F.pmod(F.shiftright(hashed, 32), F.lit(HASH_GROUPS)).cast("int")
+    return group, (hashed.bitwiseAND(0xFFFFFFFF) - (1 << 31)).cast("int")
+
+
+def _hashed(
     tables: Mapping[str, DataFrame], columns: Iterable[tuple[str, str]]
-) -> list[tuple[str, str, int]]:
-    """(model, column, NULL rows) of the text columns in which no value occurs twice, in one job.
+) -> dict[tuple[str, str], tuple[int, list[int]]]:
+    """NULL rows of each text column, and the groups of texts in which a hash repeats, in one job.
 
-    A row moves 8 bytes of hash, however long its text. Equal values have equal hashes,
-    so a column without a repeated hash has no repeated value; the others are left out.
+    A text moves 4 bytes of hash, however long it is, in a set for each group and map task.
+    Equal values have equal hashes, so a group without a repeated hash has no repeated value.
     """
     parts = []
     for model, column in columns:
-        df, value = tables[model], F.col(column)
+        df = tables[model]
         if dict(df.dtypes)[column] != "string":
             continue
-        hashed = F.when(value.isNotNull(), F.xxhash64(value)).alias("hash")
-        seen = df.groupBy(hashed).agg(F.count(F.lit(1)).alias("n"))
+        group, rest = _hash_parts(F.col(column))
+        seen = df.groupBy(group.alias("group")).agg(
+            F.collect_set(rest).alias("hashes"), F.count(F.lit(1)).alias("n")
+        )
+        repeats = F.col("group").isNotNull() & (F.col("n") > F.size("hashes"))
         found = seen.agg(
-            F.coalesce(F.sum(F.when(F.col("hash").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.count_if(F.col("hash").isNotNull() & (F.col("n") > 1)).alias("repeated"),
+            F.coalesce(F.sum(F.when(F.col("group").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.collect_list(F.when(repeats, F.col("group"))).alias("groups"),
         )
         names = (F.lit(model).alias("model"), F.lit(column).alias("column"))
-        parts.append(found.select(*names, "nulls", "repeated"))
+        parts.append(found.select(*names, "nulls", "groups"))
     if not parts:
-        return []
-    counted = reduce(DataFrame.unionByName, parts).filter("repeated = 0").collect()
-    return [(r["model"], r["column"], r["nulls"]) for r in counted]
+        return {}
+    counted = reduce(DataFrame.unionByName, parts).collect()
+    return {(r["model"], r["column"]): (r["nulls"], r["groups"]) for r in counted}
+
+
+def _of_groups(df: DataFrame, column: str, groups: Sequence[int]) -> DataFrame:
+    """The texts of some groups of hashes."""
+    wanted = df.sparkSession.createDataFrame([(g,) for g in groups], "_group int")
+    group, _ = _hash_parts(F.col(column))
+    return df.select(column).join(F.broadcast(wanted), group == F.col("_group"), "left_semi")
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -171,7 +191,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     """One report row per check.
 
     A column that must be filled and unique is counted once for both: a text by its
-    hash, at once, and by its values only where a hash repeats. All other not-null
+    hash, at once, and by its values only in groups where a hash repeats. All other not-null
     checks of a model share a pass; every other check reads its own column alone.
     """
     checks = list(checks)
@@ -182,20 +202,19 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
         if c.test == "not_null" and (c.model, c.column) not in both:
             nullable.setdefault(c.model, []).append(c.column)
     parts = [not_null(tables[m], columns, m) for m, columns in nullable.items()]
-    settled = {(m, c): nulls for m, c, nulls in _settled(tables, sorted(both))}
-    if settled:
-        rows = [
-            (m, c, test, n)
-            for (m, c), nulls in settled.items()
-            for test, n in (("not_null", nulls), ("unique", 0))
-        ]
+    hashed = _hashed(tables, sorted(both))
+    if hashed:
+        rows = [(m, c, "not_null", nulls) for (m, c), (nulls, _) in hashed.items()]
+        rows += [(m, c, "unique", 0) for (m, c), (_, groups) in hashed.items() if not groups]
         spark = next(iter(tables.values())).sparkSession
         parts.append(spark.createDataFrame(rows, REPORT_SCHEMA.removesuffix(", status string")))
     for c in checks:
         df = tables[c.model]
-        if c.test == "unique" and (c.model, c.column) in settled:
-            continue
-        if c.test == "unique" and (c.model, c.column) in both:
+        if c.test == "unique" and (c.model, c.column) in hashed:
+            _, groups = hashed[c.model, c.column]
+            if groups:
+                parts.append(unique(_of_groups(df, c.column, groups), c.column, c.model))
+        elif c.test == "unique" and (c.model, c.column) in both:
             parts.append(identity(df, c.column, c.model))
         elif c.test == "unique":
             parts.append(unique(df, c.column, c.model))

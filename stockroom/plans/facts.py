@@ -13,7 +13,14 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.scalars import pack_key, surrogate_key, unpack_key, whole_days
+from stockroom.functions.scalars import (
+    pack_id,
+    pack_key,
+    surrogate_key,
+    unpack_id,
+    unpack_key,
+    whole_days,
+)
 from stockroom.operators.bounds import bound_literal
 from stockroom.operators.lookups import fits_broadcast, lookup
 from stockroom.plans.dims import current_only
@@ -92,7 +99,8 @@ def fct_sales(
     ``roles`` limits the lookups to the keys a caller needs. Members that fit a
     broadcast are resolved on the joined lines, which adds no shuffle. Larger
     ones are resolved before: those of orders on the orders, fewer rows than lines
-    to move, and products on the bare lines. Their keys are moved packed.
+    to move, and products on the bare lines. Their keys are moved packed, and so are
+    the ids of lines that are moved twice.
     """
     wanted = _wanted(("customer", "product", "store", "employee", "date"), roles)
     by_order = [r for r in wanted if r in ("customer", "store", "employee")]
@@ -102,8 +110,10 @@ def fct_sales(
 
     headers = orders.select("order_id", "customer_id", "store_id", "employee_id", "ordered_at")
     headers = dims.attach(headers, *early, packed=True)
-    lines = items.drop("created_at", "updated_at", "loaded_at")
+    lines, item_id = items.drop("created_at", "updated_at", "loaded_at"), F.col("order_item_id")
     if "product" in wanted and not dims.is_small("product"):
+        if dict(lines.dtypes)["order_item_id"] == "string":
+            lines, item_id = lines.withColumn("order_item_id", pack_id(item_id)), unpack_id(item_id)
         lines = dims.attach(lines, "product", packed=True)
         early.append("product")
     lines = lines.join(headers, "order_id")
@@ -118,8 +128,8 @@ def fct_sales(
     list_price = F.col("unit_price") * F.col("quantity")
     roles = [r for r in ("date", "customer", "product", "store", "employee") if r in wanted]
     return lines.select(
-        surrogate_key(F.col("order_item_id")).alias("sales_key"),
-        "order_item_id",
+        surrogate_key(item_id).alias("sales_key"),
+        item_id.alias("order_item_id"),
         "order_id",
         *(unpack_key(F.col(f"{r}_key")).alias(f"{r}_key") if r in early else f"{r}_key" for r in roles),
         "quantity",

@@ -3,6 +3,7 @@
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockroom import catalog
 from stockroom.operators import checks
@@ -105,6 +106,38 @@ def test_texts_without_repeats_are_settled_by_hash(spark, frame, capfd):
     }
 
 
+def test_repeated_texts_are_counted_among_their_hash_group(frame, monkeypatch):
+    """A repeated text, or two texts of one hash, send their groups alone to the count of values."""
+    ids = [(f"k{i}",) for i in range(3000)] + [("k7",), ("k7",), ("k9",), (None,), (None,)]
+    tables = {"t": frame(ids, "a string")}
+    suite = [Check("t", "a", test) for test in ("not_null", "unique")]
+    want = {("a", "not_null"): 2, ("a", "unique"): 2}
+    nulls, groups = checks._hashed(tables, [("t", "a")])["t", "a"]
+    assert nulls == 2 and len(set(groups)) == 2
+    assert 2 <= checks._of_groups(tables["t"], "a", groups).distinct().count() < 30
+    assert failures(checks.run_checks(tables, suite)) == want
+    # Hashes that always meet prove nothing, so the values decide.
+    monkeypatch.setattr(checks, "_hash_parts", lambda value: (F.when(value.isNotNull(), 1), F.when(value.isNotNull(), 2)))
+    assert failures(checks.run_checks(tables, suite)) == want
+
+
+def test_a_unique_text_moves_few_bytes(spark):
+    """Texts cross the shuffle in half the bytes that a row for each hash took."""
+    n = 800_000
+    df = spark.range(0, n, 1, 2).selectExpr("sha2(string(id), 512) a")
+    suite = [Check("t", "a", test) for test in ("not_null", "unique")]
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllFiles()
+        files = (found.apply(i) for i in range(found.size()))
+        return {f.getName(): f.length() for f in files if f.getName().endswith(".data")}
+
+    before = shuffled()
+    assert failures(checks.run_checks({"t": df}, suite)) == {("a", "not_null"): 0, ("a", "unique"): 0}
+    assert 0 < sum(size for name, size in shuffled().items() if name not in before) < 7 * n
+
+
 ORDER_TABLES = {
     "region": "SELECT 0 r_regionkey, 'EUROPE' r_name",
     "nation": "SELECT 0 n_nationkey, 'FRANCE' n_name, 0 n_regionkey",

@@ -175,6 +175,23 @@ def test_large_members_are_resolved_without_broadcast(spark, star):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_lines_meet_large_products_with_packed_ids(spark, star):
+    """An id of digits crosses both shuffles in half its length; ids of any kind come out as they were."""
+    ids = ["1-20240101-7", "", "A-1", None, "i5"]
+    items = stage(spark, "order_items", [ITEMS[0] | {"id": i} for i in ids])
+    orders = stage(spark, "orders", ORDERS)
+    want = rows(facts.fct_sales(items, orders, star), "sales_key", "order_item_id", *KEYS)
+    assert sorted(r[1] for r in want if r[1] is not None) == ["", "1-20240101-7", "A-1", "i5"]
+    star._small.update(dict.fromkeys(star.members, False))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = facts.fct_sales(items, orders, star)
+        assert rows(got, "sales_key", "order_item_id", *KEYS) == want
+        assert "unhex(" in got._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_lookups_measure_before_broadcasting(spark, star, monkeypatch):
     monkeypatch.setattr(facts, "fits_broadcast", lambda sides: lookups.fits_broadcast(sides, 1))
     assert star.is_small("customer") and not star.is_small("store")

@@ -16,9 +16,11 @@ from stockroom.functions.coerce import (
 from stockroom.functions.naming import snake_case, snake_case_columns
 from stockroom.functions.scalars import (
     full_name,
+    pack_id,
     pack_key,
     surrogate_key,
     timestamp_text,
+    unpack_id,
     unpack_key,
     whole_days,
 )
@@ -126,3 +128,14 @@ def test_packed_keys_come_back(frame):
     packed = df.select("k", pack_key(F.col("k")).alias("p"))
     got = packed.select("k", unpack_key(F.col("p")).alias("back"), F.octet_length("p").alias("n")).collect()
     assert [r["back"] for r in got] == texts and got[0]["n"] == 16
+
+
+def test_packed_ids_come_back(frame):
+    """Ids of digits and hyphens take half a byte a character, and any other text comes back as it was."""
+    ids = ["1234567-3-123456-12345-1996-09-13", "0", "-", "00", "-1", "7-7"]
+    others = ["", "A", "F", "FF1", "ab-1", "1 2", "12\n", "1\x002", "\x00", "\u0661\u0662", "é-1", "1_2", None]
+    packed = frame([(t,) for t in ids + others], "t string").select("t", pack_id(F.col("t")).alias("p"))
+    got = packed.select("t", unpack_id(F.col("p")).alias("back"), F.octet_length("p").alias("n")).collect()
+    assert [r["back"] for r in got] == ids + others
+    assert [r["n"] for r in got[: len(ids)]] == [len(t) // 2 + 1 for t in ids]
+    assert packed.select("p").distinct().count() == len(ids + others)
