@@ -9,6 +9,7 @@ from stockroom import catalog
 from stockroom.operators import checks
 from stockroom.operators.checks import Check, ChecksFailed
 from stockroom.plans.suite import CHECKS
+from stockroom.session import SHUFFLE_CLEANUP
 
 from .conftest import rows
 
@@ -170,6 +171,7 @@ def test_a_report_leaves_no_shuffle_files(spark, tmp_path):
     before = shuffled()
     report = catalog.queries()["dq_report"](spark, str(tmp_path))
     assert len(report.collect()) == 61
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"  # as it was
     until = time.monotonic() + 20
     while (left := shuffled() - before) and time.monotonic() < until:
         time.sleep(0.2)
